@@ -31,10 +31,18 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def round_half_up(c, digits: int):
+    """``floor(x·10^d + 0.5) / 10^d`` — plain IEEE arithmetic, so Spark and
+    DuckDB produce bit-identical results from identical inputs (their
+    ``round`` functions differ near ties)."""
+    scale = float(10 ** digits)
+    return (F.floor(c * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).cast("double")
+
+
 def rounded(df: DataFrame, digits: int = 8, overrides: dict[str, int] | None = None) -> DataFrame:
     """Round every float/double column (``overrides`` sets digits per column)."""
     overrides = overrides or {}
-    fixes = {f.name: F.round(F.col(f.name), overrides.get(f.name, digits))
+    fixes = {f.name: round_half_up(F.col(f.name), overrides.get(f.name, digits))
              for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType))}
     return df.withColumns(fixes) if fixes else df
 
@@ -47,5 +55,7 @@ def oracle(body: str, views: list[str], round_cols: list[str] | None = None, dig
     if not cols:
         return sql
     overrides = overrides or {}
-    repl = ", ".join(f"round({c}, {overrides.get(c, digits)}) AS {c}" for c in cols)
+    repl = ", ".join(
+        f"CAST(floor({c} * 1e{overrides.get(c, digits)} + 0.5E0) / 1e{overrides.get(c, digits)} AS DOUBLE) AS {c}"
+        for c in cols)
     return f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n) AS _q"
