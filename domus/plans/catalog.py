@@ -6,6 +6,7 @@ import importlib
 
 MODULES = [
     "domus.plans.catalog_prep",
+    "domus.plans.catalog_features",
 ]
 
 

@@ -354,8 +354,8 @@ def a2_city_coverage(spark, d):
 
 
 @register("a3_group_share", oracle(
-    f"""SELECT {KEYS5}, 100.0E0 * num_transactions_month
-              / sum(num_transactions_month) OVER (PARTITION BY department, transaction_year, transaction_month)
+    f"""SELECT {KEYS5}, 100.0E0 * (CAST(num_transactions_month AS DOUBLE)
+              / sum(num_transactions_month) OVER (PARTITION BY department, transaction_year, transaction_month))
               AS city_transaction_ratio
         FROM kept""", ["tx", BASE_CTE, STATS_CTE, KEPT_CTE], ["city_transaction_ratio"]))
 def a3_group_share(spark, d):

@@ -136,5 +136,5 @@ def engineer_features(transactions: DataFrame, city_stats: DataFrame, annual: Da
     tx = J.add_economic_context(tx, annual, monthly)
     tx = one_hot(tx, "building_type", building_types)
     tx = one_hot(tx, "region_name", region_names)
-    features, meta = P.split_metadata(tx, METADATA_COLUMNS, "transaction_id")
+    features, meta = P.split_metadata(tx, METADATA_COLUMNS, "transaction_id", drop_also=["date"])
     return P.drop_incomplete(features), meta
