@@ -28,18 +28,24 @@ DEFAULT_BUCKETS = 128
 
 
 def cut_points(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS,
-               accuracy: int = 10000) -> DataFrame:
-    """One-row frame holding ``buckets-1`` approximate quantile cut points."""
+               accuracy: int = 10000, group_cols: list[str] | None = None) -> DataFrame:
+    """``buckets-1`` approximate quantile cut points (one row, or one row per
+    group)."""
     probs = [i / buckets for i in range(1, buckets)]
-    return df.agg(F.percentile_approx(F.col(col).cast("double"), probs, accuracy).alias("_cuts"))
+    agg = F.percentile_approx(F.col(col).cast("double"), probs, accuracy).alias("_cuts")
+    return df.groupBy(*group_cols).agg(agg) if group_cols else df.agg(agg)
 
 
 def assign_bucket(df: DataFrame, col: str, cuts: DataFrame, out: str = "_bucket",
-                  descending: bool = False, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                  descending: bool = False, buckets: int = DEFAULT_BUCKETS,
+                  group_cols: list[str] | None = None) -> DataFrame:
     """Bucket = number of cut points strictly below the value (monotone in the
-    value; equal values share a bucket).  The one-row cut table is bounded
-    by ``buckets`` and is broadcast."""
-    j = df.crossJoin(F.broadcast(cuts))
+    value; equal values share a bucket).  The cut table is bounded by
+    ``buckets`` per group and is broadcast."""
+    if group_cols:
+        j = df.join(F.broadcast(cuts), group_cols)
+    else:
+        j = df.crossJoin(F.broadcast(cuts))
     b = F.expr(f"size(filter(_cuts, c -> c < CAST(`{col}` AS DOUBLE)))")
     if descending:
         b = F.lit(buckets) - b
@@ -48,29 +54,44 @@ def assign_bucket(df: DataFrame, col: str, cuts: DataFrame, out: str = "_bucket"
 
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: list[str], descending: bool = False,
                 tie_cols: list[str] | None = None, prefix: str = "cum_",
-                buckets: int = DEFAULT_BUCKETS, exclusive: bool = False) -> DataFrame:
+                buckets: int = DEFAULT_BUCKETS, exclusive: bool = False,
+                group_cols: list[str] | None = None, with_next: bool = False) -> DataFrame:
     """Add ``cum_<c>`` = running sum of ``c`` in ``order_col`` order (inclusive
-    of the current row unless ``exclusive``).  ``order_col`` + ``tie_cols``
-    should be unique per row (typically a table of distinct values)."""
-    cuts = cut_points(df, order_col, buckets)
-    bdf = assign_bucket(df, order_col, cuts, descending=descending, buckets=buckets)
-    totals = bdf.groupBy("_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # ``totals`` has at most ``buckets + 1`` rows: a single-partition window
-    # over it is bounded.
-    offsets = totals.select(
-        "_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}")
-                     for c in sum_cols])
+    of the current row unless ``exclusive``), per ``group_cols`` if given.
+    ``order_col`` + ``tie_cols`` should be unique per row within a group
+    (typically a table of distinct values).  ``with_next`` also adds
+    ``next_<order_col>``, the following value in the order (NULL at the end).
+    """
+    g = list(group_cols or [])
+    cuts = cut_points(df, order_col, buckets, group_cols=g)
+    bdf = assign_bucket(df, order_col, cuts, descending=descending, buckets=buckets, group_cols=g)
+    aggs = [F.sum(c).alias(f"_t_{c}") for c in sum_cols]
+    if with_next:
+        first = F.max(order_col) if descending else F.min(order_col)
+        aggs.append(first.alias("_first"))
+    totals = bdf.groupBy(*g, "_bucket").agg(*aggs)
+    # ``totals`` has at most ``buckets + 1`` rows per group: a window over it
+    # (partitioned by group only) is bounded.
+    over = (Window.partitionBy(*g) if g else Window).orderBy("_bucket")
+    before = over.rowsBetween(Window.unboundedPreceding, -1)
+    cols = [F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sum_cols]
+    if with_next:
+        cols.append(F.lead("_first").over(over).alias("_next_bucket_first"))
+    offsets = totals.select(*g, "_bucket", *cols)
     ocol = F.col(order_col).desc() if descending else F.col(order_col).asc()
     orders = [ocol] + [F.col(t) for t in (tie_cols or [])]
     upper = -1 if exclusive else 0
-    within = (Window.partitionBy("_bucket").orderBy(*orders)
-              .rowsBetween(Window.unboundedPreceding, upper))
-    out = bdf.join(F.broadcast(offsets), "_bucket")
+    inside = Window.partitionBy(*g, "_bucket").orderBy(*orders)
+    within = inside.rowsBetween(Window.unboundedPreceding, upper)
+    out = bdf.join(F.broadcast(offsets), [*g, "_bucket"])
     out = out.withColumns({
         f"{prefix}{c}": F.col(f"_o_{c}") + F.coalesce(F.sum(c).over(within), F.lit(0))
         for c in sum_cols
     })
+    if with_next:
+        out = out.withColumn(f"next_{order_col}",
+                             F.coalesce(F.lead(order_col).over(inside), F.col("_next_bucket_first")))
+        out = out.drop("_next_bucket_first")
     return out.drop("_bucket", *[f"_o_{c}" for c in sum_cols])
 
 

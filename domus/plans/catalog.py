@@ -7,6 +7,7 @@ import importlib
 MODULES = [
     "domus.plans.catalog_prep",
     "domus.plans.catalog_features",
+    "domus.plans.catalog_eval",
 ]
 
 

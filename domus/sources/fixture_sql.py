@@ -86,4 +86,10 @@ def with_views(body: str, *names: str) -> str:
             parts.append(f"{n} AS ({VIEWS[n]}\n)")
         else:
             parts.append(n)
-    return ("WITH " + ",\n".join(parts) + "\n" + body) if parts else body
+    if not parts:
+        return body
+    stripped = body.lstrip()
+    if stripped[:5].upper() == "WITH ":
+        # the body brings its own CTEs: merge them into one WITH list
+        return "WITH " + ",\n".join(parts) + ",\n" + stripped[5:]
+    return "WITH " + ",\n".join(parts) + "\n" + body
