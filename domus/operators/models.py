@@ -256,18 +256,20 @@ def class_probability(scored: DataFrame, out: str = "probability_1", cls: int =
     return scored.withColumn(out, vector_to_array(F.col("probability"))[cls])
 
 
-def score_batch(df: DataFrame, xs: list[str], regressor, classifier) -> DataFrame:
-    """Price estimate and class-1 probability / label in one output."""
-    data = assemble(df, xs)
-    r = regressor.transform(data).withColumnRenamed("prediction", "predicted_price")
-    c = classifier.setPredictionCol("predicted_class").transform(r)
+def score_batch(df: DataFrame, reg_xs: list[str], regressor, cls_xs: list[str], classifier) -> DataFrame:
+    """Price estimate and class-1 probability / label in one output (two
+    ``transform`` calls over the same rows)."""
+    data = assemble(assemble(df, reg_xs, "_reg_features"), cls_xs, "_cls_features")
+    r = regressor.copy().setFeaturesCol("_reg_features").setPredictionCol("predicted_price").transform(data)
+    c = (classifier.copy().setFeaturesCol("_cls_features").setPredictionCol("predicted_class")
+         .setRawPredictionCol("_raw").setProbabilityCol("probability").transform(r))
     c = class_probability(c, "probability_below_market")
-    return c.drop("features", "rawPrediction", "probability")
+    return c.drop("_reg_features", "_cls_features", "_raw", "probability")
 
 
 # C8 -------------------------------------------------------------------------
 def cross_validate(df: DataFrame, y: str, xs: list[str], fold_col: str, k: int, fit,
-                   task: str = "classification", refit: bool = False, parallel: int = 2):
+                   task: str = "classification", refit: bool = False, parallel: int | None = None):
     """Fit on each fold's train rows, score train and test rows, evaluate all
     folds with one grouped aggregation.
 
@@ -285,7 +287,8 @@ def cross_validate(df: DataFrame, y: str, xs: list[str], fold_col: str, k: int,
         return scored.withColumn("fold", F.lit(f)).withColumn(
             "role", F.when(F.col(fold_col) == f, F.lit("test")).otherwise(F.lit("train")))
 
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
+    # the k fits are independent Spark jobs: submit them together
+    with ThreadPoolExecutor(max_workers=parallel or k) as pool:
         parts = list(pool.map(one, range(k)))
     allp = parts[0]
     for p in parts[1:]:
@@ -301,3 +304,16 @@ def cross_validate(df: DataFrame, y: str, xs: list[str], fold_col: str, k: int,
                                       *[F.stddev_pop(m).alias(f"std_{m}") for m in metric_cols])
     model = fit(data) if refit else None
     return per, summary, model
+
+
+class MostFrequentModel:
+    """Most-frequent-class dummy with the MLlib ``transform`` interface (used
+    inside :func:`cross_validate`)."""
+
+    def __init__(self, train: DataFrame, y: str):
+        row = (train.groupBy(y).agg(F.count(F.lit(1)).alias("_c"))
+               .orderBy(F.col("_c").desc(), F.col(y).asc()).limit(1).collect())
+        self.value = float(row[0][0]) if row else 0.0
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("prediction", F.lit(self.value))
