@@ -19,12 +19,24 @@ primitives here split the order into buckets first:
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from domus.session import cut_lineage
 
 DEFAULT_BUCKETS = 128
+# Tables at most this long are ordered in one window task per group; longer
+# ones go through the bucketed path.  Set ``domus.order.singleTaskRows``.
+SINGLE_TASK_ROWS = 1_000_000
+
+
+def measured(df: DataFrame) -> tuple[DataFrame, bool]:
+    """Persist ``df`` (it is read by several branches), count it once and
+    tell whether it fits the single-task bound."""
+    limit = int(df.sparkSession.conf.get("domus.order.singleTaskRows", str(SINGLE_TASK_ROWS)))
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    return kept, kept.count() <= limit
 
 
 def cut_points(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS,
@@ -63,6 +75,18 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: list[str], descending:
     ``next_<order_col>``, the following value in the order (NULL at the end).
     """
     g = list(group_cols or [])
+    ocol = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    orders = [ocol] + [F.col(t) for t in (tie_cols or [])]
+    upper = -1 if exclusive else 0
+    df, small = measured(df)
+    if small:
+        # bounded table: one ordered window per group
+        w = (Window.partitionBy(*g) if g else Window).orderBy(*orders)
+        out = df.withColumns({f"{prefix}{c}": F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, upper)),
+                                                          F.lit(0)) for c in sum_cols})
+        if with_next:
+            out = out.withColumn(f"next_{order_col}", F.lead(order_col).over(w))
+        return out
     cuts = cut_points(df, order_col, buckets, group_cols=g)
     bdf = assign_bucket(df, order_col, cuts, descending=descending, buckets=buckets, group_cols=g)
     aggs = [F.sum(c).alias(f"_t_{c}") for c in sum_cols]
@@ -78,9 +102,6 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: list[str], descending:
     if with_next:
         cols.append(F.lead("_first").over(over).alias("_next_bucket_first"))
     offsets = totals.select(*g, "_bucket", *cols)
-    ocol = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    orders = [ocol] + [F.col(t) for t in (tie_cols or [])]
-    upper = -1 if exclusive else 0
     inside = Window.partitionBy(*g, "_bucket").orderBy(*orders)
     within = inside.rowsBetween(Window.unboundedPreceding, upper)
     out = bdf.join(F.broadcast(offsets), [*g, "_bucket"])
@@ -124,6 +145,15 @@ def locate_quantile(value_counts: DataFrame, value_col: str, count_col: str, q:
     contains the target rank is ordered row by row.  Returns one row
     ``(value)``; NULL when the input is empty.
     """
+    value_counts, small = measured(value_counts)
+    if small:
+        # bounded table: one ordered window
+        w = Window.orderBy(value_col)
+        ranked = value_counts.select(
+            value_col, F.sum(count_col).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_cum"),
+            F.sum(count_col).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_N"))
+        target = F.greatest(F.lit(1), F.ceil(F.lit(float(q)) * F.col("_N")))
+        return ranked.where(F.col("_cum") >= target).agg(F.min(value_col).alias("value"))
     cuts = cut_points(value_counts, value_col, buckets)
     bdf = assign_bucket(value_counts, value_col, cuts, buckets=buckets)
     totals = bdf.groupBy("_bucket").agg(F.sum(count_col).alias("_t"))

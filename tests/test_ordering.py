@@ -1,13 +1,23 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from domus.operators.ordering import locate_quantile, prefix_sums, with_global_index
 
 
-def test_prefix_sums_match_cumsum(spark):
+@pytest.fixture(params=["single_task", "bucketed"])
+def path(request, spark):
+    """Run each ordering test through both execution paths."""
+    if request.param == "bucketed":
+        spark.conf.set("domus.order.singleTaskRows", "0")
+    yield request.param
+    spark.conf.unset("domus.order.singleTaskRows")
+
+
+def test_prefix_sums_match_cumsum(spark, path):
     random.seed(1)
     rows = [(float(i), random.randint(0, 5), random.randint(0, 3)) for i in range(500)]
     df = spark.createDataFrame(rows, "v double, a int, b int").repartition(7)
@@ -18,7 +28,7 @@ def test_prefix_sums_match_cumsum(spark):
     assert [r["cum_b"] for r in out] == list(cb)
 
 
-def test_prefix_sums_descending_grouped_with_next(spark):
+def test_prefix_sums_descending_grouped_with_next(spark, path):
     rows = [(g, float(v), 1) for g in ("x", "y") for v in range(50)]
     df = spark.createDataFrame(rows, "g string, v double, n int")
     out = prefix_sums(df, "v", ["n"], descending=True, group_cols=["g"], buckets=8, with_next=True).collect()
@@ -39,7 +49,7 @@ def test_global_index_equals_row_number(spark):
     assert got.count() == 3000
 
 
-def test_locate_quantile_is_percentile_disc(spark):
+def test_locate_quantile_is_percentile_disc(spark, path):
     random.seed(3)
     vals = [random.choice([1.0, 2.0, 2.0, 5.0]) + random.randint(0, 30) for _ in range(1000)]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
