@@ -242,11 +242,13 @@ def sample_rows(df: DataFrame, n: int, id_col: str, seed: int = 42) -> DataFrame
 
 def sample_columns(df: DataFrame, cols: list[str], n: int, id_col: str, seed: int = 42) -> DataFrame:
     """Each column sampled independently: for column j, the n rows with the
-    smallest hash(id, seed + j), then the columns are aligned by slot."""
+    smallest portable hash(id, seed + j) (ties by id), aligned by slot.
+    Every pick is a TakeOrdered of n rows, so each branch is bounded."""
+    from domus.operators.splits import portable_hash
+
     parts = []
     for j, c in enumerate(cols):
-        h = F.xxhash64(F.col(id_col), F.lit(seed + j))
-        picked = (df.select(id_col, c).withColumn("_h", h)
+        picked = (df.select(id_col, c).withColumn("_h", portable_hash(id_col, seed + j))
                   .orderBy("_h", id_col).limit(n))
         slot = Window.orderBy("_h", id_col)  # n rows only
         parts.append(picked.withColumn("slot", F.row_number().over(slot) - 1).select("slot", c))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, NumericType
 
+from domus.functions.columns import month_period, ratio
 from domus.operators.joins import join_small
 
 SURFACE_COLUMNS = [
@@ -21,7 +22,7 @@ SURFACE_COLUMNS = [
 
 def add_ratio(df: DataFrame, num: str, den: str, out: str) -> DataFrame:
     """P1 — ``num / den``; a zero or NULL denominator gives NULL (ANSI-safe)."""
-    return df.withColumn(out, F.try_divide(F.col(num).cast("double"), F.col(den).cast("double")))
+    return df.withColumn(out, ratio(num, den))
 
 
 def filter_since(df: DataFrame, col: str, since) -> DataFrame:
@@ -122,7 +123,7 @@ def assign_period(df: DataFrame, date_col: str, start: str, end: str, out: str =
                   labels=("pre", "during", "post")) -> DataFrame:
     """P14 — period label from the month (``yyyy-MM``): before ``start``,
     ``start``..``end`` inclusive, after ``end``."""
-    month = F.date_format(F.col(date_col), "yyyy-MM")
+    month = month_period(date_col)
     return df.withColumn(
         out,
         F.when(month < F.lit(start), F.lit(labels[0]))

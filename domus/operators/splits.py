@@ -9,17 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from domus.functions.columns import portable_hash  # noqa: F401  (re-exported)
 from domus.operators.ordering import with_global_index
 
-HASH_MOD = 1000003
-HASH_MUL = 7919
-
-
-def portable_hash(id_col: str, seed: int = 42) -> F.Column:
-    """Integer hash of an id in plain integer arithmetic (same value in any
-    SQL engine, stable under repartitioning): ((id mod p)·m + seed) mod p."""
-    return ((F.col(id_col) % HASH_MOD) * HASH_MUL + F.lit(seed)) % HASH_MOD
-
 
 # C1 -------------------------------------------------------------------------
 def train_test_label(df: DataFrame, id_col: str, test_share: float = 0.2, seed: int = 42,

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from domus.functions.columns import month_index  # noqa: F401  (re-exported)
 from domus.operators.aggregates import group_share, quantile
 
 
@@ -27,10 +28,6 @@ def _window(keys, order):
     return w.orderBy(*order)
 
 
-def month_index(year: str = "transaction_year", month: str = "transaction_month") -> F.Column:
-    return F.col(year).cast("int") * 12 + F.col(month).cast("int")
-
-
 # W1 -------------------------------------------------------------------------
 def add_lag(df: DataFrame, cols, keys: list[str], order: list[str], n: int = 1,
             calendar_index: F.Column | None = None) -> DataFrame:

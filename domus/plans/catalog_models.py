@@ -96,6 +96,20 @@ def m11_class_probability(spark, d):
                                                                           "probability_below_market")
 
 
+@register("m9_fit_by_segment_trees")
+def m9_fit_by_segment_trees(spark, d):
+    """One forest per building type (fits submitted concurrently), each row
+    scored by its segment's model, metrics per segment."""
+    from domus.plans.catalog_features import BUILDING_TYPES
+
+    data = _split(base(spark, d))
+    train = data.where(F.col("split") == "train")
+    models = M.fit_by_segment(train, "building_type", BUILDING_TYPES,
+                              lambda part: M.forest(part, "price", REG_FEATURES, "regression", trees=20, max_depth=6))
+    scored = M.score_by_segment(data.where(F.col("split") == "test"), "building_type", models, REG_FEATURES)
+    return V.regression_metrics(scored, "price", "prediction", by=["building_type"])
+
+
 # ------------------------------------------------------------------ C8
 @register("c8_cross_validate")
 def c8_cross_validate(spark, d):

@@ -536,6 +536,19 @@ def o6_sample_rows(spark, d):
     return rounded(out.drop("_h"))
 
 
+@register("o6_sample_columns", oracle(
+    " ".join(["WITH"] + [",".join(
+        f"""s{j} AS (SELECT CAST(row_number() OVER (ORDER BY ((transaction_id % 1000003) * 7919 + {42 + j}) % 1000003,
+                                              transaction_id) - 1 AS INT) AS slot, {c}
+                   FROM base ORDER BY ((transaction_id % 1000003) * 7919 + {42 + j}) % 1000003, transaction_id
+                   LIMIT 50)""" for j, c in enumerate(["price", "living_area", "building_type"]))]) +
+    " SELECT s0.slot, price, living_area, building_type FROM s0 JOIN s1 USING (slot) JOIN s2 USING (slot)",
+    ["tx", BASE_CTE], ["price", "living_area"]))
+def o6_sample_columns(spark, d):
+    out = A.sample_columns(base(spark, d), ["price", "living_area", "building_type"], 50, "transaction_id", 42)
+    return rounded(out.withColumn("slot", F.col("slot").cast("int")))
+
+
 # ---------------------------------------------------------------- U: labelled union
 @register("u1_label_union", oracle(
     """SELECT "group", segment, count(*) AS n, avg(score) AS mean_score FROM (
