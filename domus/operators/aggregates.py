@@ -226,10 +226,21 @@ def keep_top_groups(df: DataFrame, key: str, k: int = 5) -> DataFrame:
 
 # O5 -------------------------------------------------------------------------
 def best_by(df: DataFrame, keys: list[str], metric: str, tie: str | None = None) -> DataFrame:
-    """Row with the highest ``metric`` per group (ties: smallest ``tie``)."""
-    order = [F.col(metric).desc_nulls_last()] + ([F.col(tie).asc()] if tie else [])
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    """Row with the highest ``metric`` per group (ties: smallest ``tie``;
+    a group whose metrics are all NULL keeps one of its rows).
+
+    An aggregation, not a window: ``min`` over a struct whose first field
+    ranks the metric descending runs map-side, so a group holding a third
+    of all rows costs one partial row per input partition."""
+    rest = [c for c in df.columns if c not in keys]
+    m = F.col(metric).cast("double")
+    rank = F.when(m.isNull(), F.lit(float("inf"))).otherwise(-m)
+    fields = [rank.alias("_rank")]
+    if tie:
+        fields.append(F.col(tie).alias("_tie"))
+    fields += [F.col(c).alias(c) for c in rest]
+    best = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_best"))
+    return best.select(*keys, *[F.col("_best")[c].alias(c) for c in rest]).select(*df.columns)
 
 
 # O6 -------------------------------------------------------------------------

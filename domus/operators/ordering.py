@@ -121,7 +121,9 @@ def with_global_index(df: DataFrame, order_cols: list[str], out: str = "row_inde
     """Dense 0-based index of each row in ``order_cols`` order (must be a
     unique order — append an id as the last column)."""
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # as many ranges as the input has partitions (at least the shuffle
+    # setting): the range count grows with the data
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
     ranged = (df.repartitionByRange(n, *order_cols)
               .sortWithinPartitions(*order_cols)
               .withColumn("_pid", F.spark_partition_id())

@@ -273,7 +273,9 @@ def e4_minmax_scaler(spark, d):
     return _scaled(spark, d, "minmax")
 
 
-@register("e5_assemble")
+@register("e5_assemble", oracle(
+    "SELECT transaction_id, [price, living_area, CAST(num_rooms AS DOUBLE)] AS features FROM base",
+    ["tx", BASE_CTE]))
 def e5_assemble(spark, d):
     from pyspark.ml.functions import vector_to_array
 
