@@ -118,12 +118,15 @@ def select_by_cumulative_share(df: DataFrame, name: str, weight: str, threshold:
     reaches ``threshold``, the crossing row included.  ``normalise`` turns
     weights into shares of their total first.
 
-    Meant for feature-importance tables (one row per feature).
+    Built on :func:`~domus.operators.ordering.prefix_sums`, so a feature
+    table is ordered in one small task and a large table in buckets.
     """
-    order = Window.orderBy(F.col(weight).desc(), F.col(name).asc())
-    w_before = order.rowsBetween(Window.unboundedPreceding, -1)
-    total = Window.partitionBy(F.lit(1))
-    share = F.col(weight) / F.sum(weight).over(total) if normalise else F.col(weight)
-    out = df.withColumn("share", share)
-    out = out.withColumn("_before", F.coalesce(F.sum("share").over(w_before), F.lit(0.0)))
-    return out.where(F.col("_before") < F.lit(threshold)).drop("_before")
+    from domus.operators.ordering import prefix_sums
+
+    if normalise:
+        total = df.agg(F.sum(weight).alias("_total"))
+        df = df.crossJoin(F.broadcast(total)).withColumn("share", F.col(weight) / F.col("_total")).drop("_total")
+    else:
+        df = df.withColumn("share", F.col(weight))
+    cum = prefix_sums(df, weight, ["share"], descending=True, tie_cols=[name], exclusive=True, prefix="_before_")
+    return cum.where(F.col("_before_share") < F.lit(threshold)).drop("_before_share")
