@@ -287,9 +287,12 @@ def cross_validate(df: DataFrame, y: str, xs: list[str], fold_col: str, k: int,
         return scored.withColumn("fold", F.lit(f)).withColumn(
             "role", F.when(F.col(fold_col) == f, F.lit("test")).otherwise(F.lit("train")))
 
-    # the k fits are independent Spark jobs: submit them together
-    with ThreadPoolExecutor(max_workers=parallel or k) as pool:
+    # the k fold fits (and the refit on all rows) are independent Spark jobs:
+    # submit them together
+    with ThreadPoolExecutor(max_workers=parallel or (k + 1)) as pool:
+        refit_future = pool.submit(fit, data) if refit else None
         parts = list(pool.map(one, range(k)))
+        model = refit_future.result() if refit_future else None
     allp = parts[0]
     for p in parts[1:]:
         allp = allp.unionByName(p)
@@ -302,7 +305,6 @@ def cross_validate(df: DataFrame, y: str, xs: list[str], fold_col: str, k: int,
         metric_cols = ["rmse", "mae", "r2"]
     summary = per.groupBy("role").agg(*[F.avg(m).alias(f"mean_{m}") for m in metric_cols],
                                       *[F.stddev_pop(m).alias(f"std_{m}") for m in metric_cols])
-    model = fit(data) if refit else None
     return per, summary, model
 
 
