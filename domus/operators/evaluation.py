@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from domus.operators.aggregates import describe_columns
 from domus.operators.encoding import reverse_one_hot
+from domus.operators.joins import small_side
 from domus.operators.ordering import prefix_sums
 
 
@@ -63,8 +64,9 @@ def box_stats(df: DataFrame, value: str, by: list[str]) -> DataFrame:
     qs = qs.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo = F.col("q1") - F.lit(1.5) * F.col("iqr")
     hi = F.col("q3") + F.lit(1.5) * F.col("iqr")
-    # one stats row per group: joined back (grouped by category, so small)
-    j = df.select(*by, value).join(F.broadcast(qs), by)
+    # one stats row per group, joined back (broadcast after a size check)
+    qs = small_side(qs)
+    j = df.select(*by, value).join(qs, by)
     v = F.col(value)
     w = j.groupBy(*by).agg(
         F.min(F.when(v >= lo, v)).alias("whisker_low"),
@@ -329,11 +331,12 @@ def kde(df: DataFrame, x: str, by: list[str] | None = None, grid: int = 200, fin
                             F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
     st = st.withColumn("_bw", F.col("_sd") * F.pow(F.col("_n"), F.lit(-0.2)))
     st = st.withColumn("_fw", (F.col("_hi") - F.col("_lo")) / F.lit(fine_bins))
-    j = d.join(F.broadcast(st), by) if by else d.crossJoin(F.broadcast(st))  # one row per group
+    st = small_side(st) if by else st  # one row per group: size-checked
+    j = d.join(st, by) if by else d.crossJoin(F.broadcast(st))
     j = j.withColumn("_b", _bin(F.col("_x"), F.col("_lo"), F.when(F.col("_fw") == 0, 1.0).otherwise(F.col("_fw")),
                                 fine_bins))
     fine = j.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_c"))
-    fine = (fine.join(F.broadcast(st), by) if by else fine.crossJoin(F.broadcast(st)))
+    fine = (fine.join(st, by) if by else fine.crossJoin(F.broadcast(st)))
     fine = fine.withColumn("_centre", F.col("_lo") + (F.col("_b") + F.lit(0.5)) * F.col("_fw"))
     axis = df.sparkSession.range(grid).select(F.col("id").cast("int").alias("point"))
     pts = fine.crossJoin(F.broadcast(axis))  # grid rows, bounded

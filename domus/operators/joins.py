@@ -49,6 +49,17 @@ def small_side(df: DataFrame) -> DataFrame:
     return kept
 
 
+def bounded_broadcast(df: DataFrame, what: str) -> DataFrame:
+    """Broadcast a table that must be small for the operator to make sense
+    (e.g. classes × folds); fail clearly instead of shuffling it."""
+    max_rows, max_bytes = _limits(df)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = kept.count()
+    if n > max_rows or n * _row_width(kept) > max_bytes:
+        raise ValueError(f"{what}: {n} rows exceed the broadcast limit ({max_rows})")
+    return F.broadcast(kept)
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
     """Join ``big`` with a side expected to be small (dimension, aggregate,
     key list).  Broadcast only behind the size check of :func:`small_side`."""

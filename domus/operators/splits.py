@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from domus.functions.columns import portable_hash  # noqa: F401  (re-exported)
+from domus.operators.joins import bounded_broadcast
 from domus.operators.ordering import with_global_index
 
 
@@ -72,9 +73,12 @@ def stratified_kfold_label(df: DataFrame, target: str, order: list[str], k: int
     by_value = Window.orderBy(target)
     starts = classes.select(target, "_nc").withColumn(
         "_vstart", F.coalesce(F.sum("_nc").over(by_value.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    pos = idx.join(F.broadcast(starts.select(target, "_vstart")), target)  # classes only
+    # classes × k rows: must be small (a shuffle join on the class would put a
+    # whole class in one task)
+    folds = bounded_broadcast(folds, "stratified folds (classes × k)")
+    pos = idx.join(F.broadcast(starts.select(target, "_vstart")), target)  # one row per class
     pos = pos.withColumn("_j", F.col("_idx") - F.col("_vstart"))
-    j = pos.join(F.broadcast(folds), (pos[target] == folds[target])  # classes × k rows
+    j = pos.join(folds, (pos[target] == folds[target])
                  & (F.col("_j") >= F.col("_lo")) & (F.col("_j") < F.col("_hi")))
     return (j.drop(folds[target]).withColumn(out, F.col("_f").cast("int"))
             .drop("_idx", "_vstart", "_j", "_f", "_lo", "_hi"))

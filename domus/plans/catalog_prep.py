@@ -484,6 +484,13 @@ def a11_strong_pairs(spark, d):
     return rounded(A.strong_pairs(A.correlation_pairs(base(spark, d), CORR_COLS), 0.3), 6)
 
 
+@register("a11_prune_correlated")
+def a11_prune_correlated(spark, d):
+    """Greedy keep-first pruning over the pair table (schema-sized)."""
+    kept = A.prune_correlated(A.correlation_pairs(base(spark, d), CORR_COLS), CORR_COLS, 0.3)
+    return spark.createDataFrame([(i, f) for i, f in enumerate(kept)], "position int, feature string")
+
+
 # ---------------------------------------------------------------- O: sorts / top-k
 @register("o1_sort_rows", oracle(
     f"SELECT * FROM kept ORDER BY {KEYS5}", ["tx", BASE_CTE, STATS_CTE, KEPT_CTE], ["avg_price_per_m2"]))
