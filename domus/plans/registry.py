@@ -36,7 +36,9 @@ def round_half_up(c, digits: int):
     DuckDB produce bit-identical results from identical inputs (their
     ``round`` functions differ near ties)."""
     scale = float(10 ** digits)
-    return (F.floor(c * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).cast("double")
+    limit = float(10 ** (18 - digits))  # keep floor() inside the long range
+    rounded_ = (F.floor(c * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).cast("double")
+    return F.when(F.abs(c) < F.lit(limit), rounded_).otherwise(c)
 
 
 def rounded(df: DataFrame, digits: int = 8, overrides: dict[str, int] | None = None) -> DataFrame:
@@ -55,7 +57,10 @@ def oracle(body: str, views: list[str], round_cols: list[str] | None = None, dig
     if not cols:
         return sql
     overrides = overrides or {}
-    repl = ", ".join(
-        f"CAST(floor({c} * 1e{overrides.get(c, digits)} + 0.5E0) / 1e{overrides.get(c, digits)} AS DOUBLE) AS {c}"
-        for c in cols)
+    def expr(c):
+        d = overrides.get(c, digits)
+        return (f"CASE WHEN abs({c}) < 1e{18 - d} THEN CAST(floor({c} * 1e{d} + 0.5E0) / 1e{d} AS DOUBLE) "
+                f"ELSE {c} END AS {c}")
+
+    repl = ", ".join(expr(c) for c in cols)
     return f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n) AS _q"
