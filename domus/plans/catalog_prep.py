@@ -217,6 +217,25 @@ def p8_filter_above_quantile(spark, d):
     return rounded(out.select("transaction_id", "price"))
 
 
+@register("p8_cities_above_quantile", oracle(
+    """WITH mins AS (SELECT department, city, city_id, min(num_transactions_month) AS m
+                     FROM stats_all GROUP BY department, city, city_id),
+            top AS (SELECT * FROM mins WHERE m > (SELECT quantile_disc(m, 0.75E0) FROM mins))
+       SELECT 'min_num_transactions_month' AS "column", count(m) AS count,
+              CAST(sum(CASE WHEN m IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_count,
+              avg(m) AS mean, stddev_samp(m) AS std, CAST(min(m) AS DOUBLE) AS min,
+              quantile_cont(m, 0.25E0) AS q25, quantile_cont(m, 0.5E0) AS q50, quantile_cont(m, 0.75E0) AS q75,
+              CAST(max(m) AS DOUBLE) AS max FROM top""",
+    ["tx", BASE_CTE, STATS_CTE], ["mean", "std", "q25", "q50", "q75"], 6))
+def p8_cities_above_quantile(spark, d):
+    """Cities whose smallest monthly count is above the 0.75-quantile of
+    those minima, described (the exploratory step of the preparation)."""
+    _, all_groups = A.city_month_stats(base(spark, d), min_count=MIN_COUNT)
+    mins = A.city_min_monthly_count(all_groups)
+    top = P.filter_above_quantile(mins, "min_num_transactions_month", 0.75)
+    return rounded(A.describe_columns(top, ["min_num_transactions_month"]), 6)
+
+
 LAGGED_CTE = f"""lagged AS (
   SELECT *, lag(avg_price_per_m2) OVER (PARTITION BY department, city, city_id
                                         ORDER BY transaction_year, transaction_month) AS prev_avg
