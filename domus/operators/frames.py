@@ -56,14 +56,15 @@ def exclude_values(df: DataFrame, col: str, values: list) -> DataFrame:
 
 
 def filter_above_quantile(df: DataFrame, col: str, q: float, where: Column | None = None,
-                          method: str = "exact") -> DataFrame:
+                          method: str = "exact", inclusive: bool = False) -> DataFrame:
     """P8 — keep rows (optionally also matching ``where``) whose value is
-    strictly above the q-quantile of the **whole** column."""
+    above the q-quantile of the **whole** column (strictly, unless
+    ``inclusive``)."""
     from domus.operators.aggregates import quantile
 
     thr = quantile(df, col, q, method=method).withColumnRenamed("value", "_q")
     out = df.crossJoin(F.broadcast(thr))  # one row
-    cond = F.col(col) > F.col("_q")
+    cond = (F.col(col) >= F.col("_q")) if inclusive else (F.col(col) > F.col("_q"))
     if where is not None:
         cond = cond & where
     return out.where(cond).drop("_q")

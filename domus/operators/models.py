@@ -319,3 +319,20 @@ class MostFrequentModel:
 
     def transform(self, df: DataFrame) -> DataFrame:
         return df.withColumn("prediction", F.lit(self.value))
+
+
+def decision_grid(model, df: DataFrame, x1: str, x2: str, steps: int = 100, margin: float = 1.0) -> DataFrame:
+    """Predicted class over a ``steps × steps`` grid spanning the two
+    features' ranges (± ``margin``): the numbers behind a decision-region
+    plot.  The grid is parameter-sized."""
+    r = df.agg(F.min(x1).cast("double").alias("lo1"), F.max(x1).cast("double").alias("hi1"),
+               F.min(x2).cast("double").alias("lo2"), F.max(x2).cast("double").alias("hi2"))
+    axis = F.sequence(F.lit(0), F.lit(steps - 1))
+    grid = (r.select("*", F.explode(axis).alias("i")).select("*", F.explode(axis).alias("j"))
+            .select(F.col("i"), F.col("j"),
+                    ((F.col("lo1") - margin) + F.col("i") * ((F.col("hi1") - F.col("lo1") + 2 * margin) / (steps - 1)))
+                    .alias(x1),
+                    ((F.col("lo2") - margin) + F.col("j") * ((F.col("hi2") - F.col("lo2") + 2 * margin) / (steps - 1)))
+                    .alias(x2)))
+    scored = model.transform(assemble(grid, [x1, x2]))
+    return scored.select("i", "j", x1, x2, F.col("prediction").cast("int").alias("predicted_class"))

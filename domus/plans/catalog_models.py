@@ -110,6 +110,28 @@ def m9_fit_by_segment_trees(spark, d):
     return V.regression_metrics(scored, "price", "prediction", by=["building_type"])
 
 
+def _decision_data(spark, d):
+    from domus.operators.frames import filter_above_quantile
+
+    # Department 4, price at or above the 0.1-quantile of all prices
+    return filter_above_quantile(labelled(spark, d), "price", 0.1, where=F.col("department") == 4,
+                                 inclusive=True).select("living_area", "price", "below_market")
+
+
+@register("m4_decision_regions_logistic")
+def m4_decision_regions_logistic(spark, d):
+    data = _decision_data(spark, d)
+    model = M.logistic(data, "below_market", ["living_area", "price"])
+    return M.decision_grid(model, data, "living_area", "price", 50)
+
+
+@register("m5_decision_regions_forest")
+def m5_decision_regions_forest(spark, d):
+    data = _decision_data(spark, d)
+    model = M.forest(data, "below_market", ["living_area", "price"], "classification", trees=100, max_depth=10)
+    return M.decision_grid(model, data, "living_area", "price", 50)
+
+
 # ------------------------------------------------------------------ C8
 @register("c8_cross_validate")
 def c8_cross_validate(spark, d):
