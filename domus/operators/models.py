@@ -13,6 +13,10 @@ import math
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier  # noqa: F401
+from pyspark.ml.feature import VectorAssembler  # noqa: F401
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -283,9 +287,13 @@ def cross_validate(df: DataFrame, y: str, xs: list[str], fold_col: str, k: int,
     def one(f):
         train = data.where(F.col(fold_col) != f)
         model = fit(train)
-        scored = model.transform(assemble(data, xs)).select(y, fold_col, "prediction")
-        return scored.withColumn("fold", F.lit(f)).withColumn(
-            "role", F.when(F.col(fold_col) == f, F.lit("test")).otherwise(F.lit("train")))
+        scored = model.transform(assemble(data, xs))
+        score = (vector_to_array(F.col("probability"))[1] if "probability" in scored.columns
+                 else F.lit(None).cast("double"))
+        # role first: the row's own fold label decides train / test for fit f
+        role = F.when(F.col(fold_col) == F.lit(f), F.lit("test")).otherwise(F.lit("train"))
+        return scored.select(y, "prediction", score.alias("score"), role.alias("role"),
+                             F.lit(f).alias("cv_fold"))
 
     # the k fold fits (and the refit on all rows) are independent Spark jobs:
     # submit them together
@@ -297,12 +305,18 @@ def cross_validate(df: DataFrame, y: str, xs: list[str], fold_col: str, k: int,
     for p in parts[1:]:
         allp = allp.unionByName(p)
     if task == "classification":
-        per = binary_metrics(allp, y, "prediction", by=["fold", "role"]).select("fold", "role", "f1", "precision",
-                                                                             "recall", "accuracy")
-        metric_cols = ["f1", "precision", "recall", "accuracy"]
+        from domus.operators.evaluation import roc_auc
+
+        per = binary_metrics(allp, y, "prediction", by=["cv_fold", "role"]).select(
+            "cv_fold", "role", "f1", "precision", "recall", "accuracy")
+        auc = roc_auc(allp.where(F.col("score").isNotNull()), y, "score", by=["cv_fold", "role"])
+        per = per.join(auc, ["cv_fold", "role"], "left")
+        metric_cols = ["f1", "precision", "recall", "accuracy", "roc_auc"]
     else:
-        per = regression_metrics(allp, y, "prediction", by=["fold", "role"]).select("fold", "role", "rmse", "mae", "r2")
+        per = regression_metrics(allp, y, "prediction", by=["cv_fold", "role"]).select(
+            "cv_fold", "role", "rmse", "mae", "r2")
         metric_cols = ["rmse", "mae", "r2"]
+    per = per.withColumnRenamed("cv_fold", "fold")
     summary = per.groupBy("role").agg(*[F.avg(m).alias(f"mean_{m}") for m in metric_cols],
                                       *[F.stddev_pop(m).alias(f"std_{m}") for m in metric_cols])
     return per, summary, model

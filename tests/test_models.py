@@ -47,3 +47,23 @@ def test_simple_regression_grid(spark):
     df = spark.createDataFrame([(float(x), 2.0 * x + 1) for x in range(10)], "x double, y double")
     out = M.simple_regression(df, "x", "y", 100).orderBy("point").collect()
     assert len(out) == 100 and abs(out[0]["prediction"] - 1.0) < 1e-9 and abs(out[-1]["prediction"] - 19.0) < 1e-9
+
+
+def test_cross_validate_roles_and_folds(spark):
+    from domus.operators.splits import kfold_label
+
+    df = spark.range(100).select(F.col("id"), (F.col("id") % 10 < 3).cast("int").alias("y"),
+                                 (F.col("id") % 10).cast("double").alias("x"))
+    folds = kfold_label(df, ["id"], 4)
+    per, summary, model = M.cross_validate(folds, "y", ["x"], "fold", 4, lambda tr: M.MostFrequentModel(tr, "y"),
+                                           refit=True)
+    rows = per.collect()
+    assert sorted((r["fold"], r["role"]) for r in rows) == sorted(
+        (f, role) for f in range(4) for role in ("test", "train"))
+    # the dummy always predicts 0 → accuracy = share of zeros in each part
+    ys = [1 if i % 10 < 3 else 0 for i in range(100)]
+    for r in rows:
+        part = [ys[i] for i in range(100) if (i // 25 == r["fold"]) == (r["role"] == "test")]
+        assert abs(r["accuracy"] - part.count(0) / len(part)) < 1e-9 and r["f1"] == 0.0
+    assert model.value == 0.0
+    assert {r["role"] for r in summary.collect()} == {"train", "test"}
