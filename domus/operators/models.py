@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from domus.operators.joins import join_small
+from domus.session import cut_lineage
 
 
 # ---------------------------------------------------------------- helpers
@@ -282,7 +283,9 @@ def cross_validate(df: DataFrame, y: str, xs: list[str], fold_col: str, k: int,
     refitted model or None)."""
     from domus.operators.evaluation import binary_metrics, regression_metrics
 
-    data = df.select(y, fold_col, *xs)
+    # every fold fit reads the same rows: materialise them once in the shared
+    # checkpoint folder (also keeps the k-way union plan small)
+    data = cut_lineage(df.select(y, fold_col, *xs))
 
     def one(f):
         train = data.where(F.col(fold_col) != f)
