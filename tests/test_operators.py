@@ -107,3 +107,9 @@ def test_js_zero_on_identical(spark):
     df = spark.createDataFrame([(c,) for c in "aabbbc"], "c string")
     r = D.categorical_drift(df, df, ["c"]).collect()[0]
     assert r["js_distance"] < 1e-12 and r["chi2_p_value"] > 0.99
+
+
+def test_chi2_tail_probability(spark):
+    df = spark.createDataFrame([(3.841458820694124, 1.0), (0.0, 3.0), (11.070497693516351, 5.0)], "x double, k double")
+    got = [r[0] for r in df.select(D.chi2_sf("x", "k")).collect()]
+    assert abs(got[0] - 0.05) < 1e-9 and got[1] == 1.0 and abs(got[2] - 0.05) < 1e-9
