@@ -85,6 +85,28 @@ def add_time_rolling_mean(df: DataFrame, col: str, months: int = 6, out: str | N
     return df.withColumn(out or f"{col}_rolling_{months}m", F.avg(F.col(col)).over(w))
 
 
+def add_date_rolling_mean(df: DataFrame, col: str, date_col: str, months: int = 6, out: str | None = None,
+                          keys: list[str] | None = None) -> DataFrame:
+    """Mean over the half-open calendar interval ``(d - months, d]`` on rows
+    with arbitrary dates.  The interval frame ``RANGE … PRECEDING`` is
+    closed at its lower end, so the rows lying exactly at ``d - months`` are
+    subtracted with a second, one-point frame.  Partial windows are allowed
+    and NULLs are skipped."""
+    part = f"PARTITION BY {', '.join(f'`{k}`' for k in keys)} " if keys else ""
+    order = f"ORDER BY `{date_col}`"
+    full = f"RANGE BETWEEN INTERVAL {months} MONTHS PRECEDING AND CURRENT ROW"
+    edge = f"RANGE BETWEEN INTERVAL {months} MONTHS PRECEDING AND INTERVAL {months} MONTHS PRECEDING"
+
+    def over(agg, frame):
+        return F.expr(f"{agg}(`{col}`) OVER ({part}{order} {frame})")
+
+    s_all, n_all = over("sum", full), over("count", full)
+    s_edge = F.coalesce(over("sum", edge), F.lit(0))
+    n_edge = F.coalesce(over("count", edge), F.lit(0))
+    return df.withColumn(out or f"{col}_rolling_{months}m",
+                         F.try_divide(s_all - s_edge, (n_all - n_edge).cast("double")))
+
+
 # W5 -------------------------------------------------------------------------
 def forward_fill(df: DataFrame, cols, order: list[str], keys: list[str] | None = None) -> DataFrame:
     """Replace NULLs with the last non-null value earlier in ``order``."""

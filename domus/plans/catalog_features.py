@@ -150,6 +150,25 @@ def w4_time_rolling_mean(spark, d):
     return rounded(monthly(spark, d).select("date", "year", "month", "interest_rate_change_rolling_6m"))
 
 
+@register("w4_date_rolling_mean", oracle(
+    """WITH daily AS (SELECT CAST(l_shipdate AS DATE) AS d, avg(l_discount) AS discount FROM lineitem GROUP BY 1)
+       SELECT d, discount,
+              (sum(discount) OVER (ORDER BY d RANGE BETWEEN INTERVAL 6 MONTH PRECEDING AND CURRENT ROW)
+               - coalesce(sum(discount) OVER (ORDER BY d RANGE BETWEEN INTERVAL 6 MONTH PRECEDING
+                                                            AND INTERVAL 6 MONTH PRECEDING), 0))
+              / CAST(count(discount) OVER (ORDER BY d RANGE BETWEEN INTERVAL 6 MONTH PRECEDING AND CURRENT ROW)
+                     - coalesce(count(discount) OVER (ORDER BY d RANGE BETWEEN INTERVAL 6 MONTH PRECEDING
+                                                                  AND INTERVAL 6 MONTH PRECEDING), 0) AS DOUBLE)
+                AS discount_rolling_6m
+       FROM daily""", [], ["discount", "discount_rolling_6m"], 6))
+def w4_date_rolling_mean(spark, d):
+    """Daily series (one row per shipping day) with a 6-calendar-month
+    half-open rolling mean."""
+    li = fx.table(spark, d, "lineitem", "l_shipdate", "l_discount")
+    daily = li.groupBy(F.col("l_shipdate").cast("date").alias("d")).agg(F.avg("l_discount").alias("discount"))
+    return rounded(W.add_date_rolling_mean(daily, "discount", "d", 6), 6)
+
+
 @register("w5_forward_fill", oracle(
     "SELECT date, year, month, rent_reference_index FROM monthly", Q3_VIEWS, ["rent_reference_index"]))
 def w5_forward_fill(spark, d):

@@ -113,3 +113,19 @@ def test_chi2_tail_probability(spark):
     df = spark.createDataFrame([(3.841458820694124, 1.0), (0.0, 3.0), (11.070497693516351, 5.0)], "x double, k double")
     got = [r[0] for r in df.select(D.chi2_sf("x", "k")).collect()]
     assert abs(got[0] - 0.05) < 1e-9 and got[1] == 1.0 and abs(got[2] - 0.05) < 1e-9
+
+
+def test_date_rolling_mean_half_open_brute_force(spark):
+    import datetime as dt
+
+    import pandas as pd
+
+    dates = [dt.date(2020, 1, 31), dt.date(2020, 2, 29), dt.date(2020, 3, 15), dt.date(2020, 7, 31),
+             dt.date(2020, 8, 31), dt.date(2020, 9, 15), dt.date(2021, 2, 28)]
+    rows = [(d, float(i + 1)) for i, d in enumerate(dates)]
+    df = spark.createDataFrame(rows, "d date, x double")
+    got = {r["d"]: r["x_rolling_6m"] for r in W.add_date_rolling_mean(df, "x", "d", 6).collect()}
+    for t in dates:
+        lo = (pd.Timestamp(t) - pd.DateOffset(months=6)).date()
+        vals = [x for d, x in rows if lo < d <= t]
+        assert abs(got[t] - sum(vals) / len(vals)) < 1e-12, t
