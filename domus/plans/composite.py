@@ -6,6 +6,7 @@ the size checks of small sides (see ``domus.operators.joins``).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,7 +52,8 @@ def prepare_transactions(tx: DataFrame, regions: DataFrame, since: str = "2018-0
     """
     base = prepared_base(tx, since)
     kept, _ = city_month_stats(base, CITY_MONTH_KEY, min_count=min_count, with_row_count=True)
-    kept = J.small_side(kept)  # measured once; reused by every branch below
+    # the city-month table feeds three branches below: materialise it once
+    kept = J.small_side(kept.persist(StorageLevel.MEMORY_AND_DISK))
 
     # A7 on departments: rows per department after the join = Σ num_rows.
     dept_counts = kept.groupBy("department").agg(F.sum("num_rows").alias("count"))
@@ -79,6 +81,9 @@ def prepare_transactions(tx: DataFrame, regions: DataFrame, since: str = "2018-0
 def city_features(stats: DataFrame, q: float = 0.8, window: int = 6) -> DataFrame:
     """Q2 — city-month table → demand flag, previous-month values, rolling
     means over ``window`` retained months, incomplete rows dropped."""
+    # the city-month table feeds three branches (group totals, the share
+    # quantile, the windows): keep it instead of recomputing it
+    stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
     flagged = W.city_demand_flag(stats, "city_requested", q)
     order = MONTH_KEYS
     lagged = W.add_lag(flagged, {"avg_price_per_m2": "avg_price_per_m2_previous_month",
