@@ -15,7 +15,8 @@ from domus.operators.splits import train_test_label
 from domus.operators.windows import select_by_cumulative_share
 from domus.plans import composite as C
 from domus.plans.catalog_prep import base, labelled
-from domus.plans.registry import register, rounded
+from domus.plans.catalog_prep import BASE_CTE
+from domus.plans.registry import oracle, register, rounded
 
 REG_FEATURES = ["living_area", "num_rooms", "latitude", "longitude", "off_plan"]
 CLS_FEATURES = ["living_area", "num_rooms", "latitude", "longitude", "off_plan", "price"]
@@ -49,6 +50,24 @@ def m1_ols(spark, d):
     return M.ols(base(spark, d), "price", ["living_area", "num_rooms", "off_plan", "transaction_month"])
 
 
+@register("m1_ols_two_features", oracle(
+    """WITH s AS (SELECT sum(living_area * living_area) AS s11, sum(living_area * num_rooms) AS s12,
+                         sum(num_rooms * num_rooms) AS s22, sum(living_area * price) AS r1,
+                         sum(num_rooms * price) AS r2, sum(price * price) AS yy, count(*) AS n
+                  FROM base WHERE price IS NOT NULL AND living_area IS NOT NULL AND num_rooms IS NOT NULL),
+            b AS (SELECT *, (r1 * s22 - r2 * s12) / (s11 * s22 - s12 * s12) AS b1,
+                            (s11 * r2 - s12 * r1) / (s11 * s22 - s12 * s12) AS b2 FROM s),
+            f AS (SELECT *, 1.0E0 - (yy - 2 * (b1 * r1 + b2 * r2)
+                                     + (b1 * b1 * s11 + 2 * b1 * b2 * s12 + b2 * b2 * s22)) / yy AS r2_fit FROM b)
+       SELECT 'living_area' AS feature, b1 AS coef, r2_fit AS r2, n FROM f
+       UNION ALL SELECT 'num_rooms', b2, r2_fit, n FROM f""", ["tx", BASE_CTE], ["coef", "r2"], 4))
+def m1_ols_two_features(spark, d):
+    """Through-the-origin OLS on two features; coefficients and uncentred R²
+    (the t / p columns of ``ols`` need Student's t, checked in unit tests)."""
+    out = M.ols(base(spark, d), "price", ["living_area", "num_rooms"]).select("feature", "coef", "r2", "n")
+    return rounded(out, 4)
+
+
 @register("m2_backward_eliminate")
 def m2_backward_eliminate(spark, d):
     return M.backward_eliminate(base(spark, d), "price",
