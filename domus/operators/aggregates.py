@@ -71,13 +71,15 @@ def quantile(df: DataFrame, col: str, q: float, method: str = "exact",
       cumulative share reaches q.  Distributed: value counts, bucketed
       prefix sums, only the target bucket is ordered.
     * ``approx`` — ``percentile_approx`` (bounded memory sketch).
-    * ``linear`` — ``percentile`` (interpolated; keeps a value→count map in
-      one buffer, use on modest inputs).
+    * ``linear`` — interpolated between the two neighbouring ranks, exact
+      and distributed (``ordering.linear_quantiles``).
     """
     if method == "approx":
         return df.agg(F.percentile_approx(col, q, accuracy).alias("value"))
     if method == "linear":
-        return df.agg(F.percentile(col, q).alias("value"))
+        from domus.operators.ordering import linear_quantiles
+
+        return linear_quantiles(df, col, [q]).select("value")
     vc = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
     return locate_quantile(vc, col, "_n", q)
 
@@ -117,41 +119,64 @@ def drop_small_groups(df: DataFrame, key: str, q: float = 0.25,
 DESCRIBE_STATS = ["count", "null_count", "mean", "std", "min", "q25", "q50", "q75", "max"]
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on keys that may be NULL (NULL matches NULL)."""
+    if not keys:
+        return left.crossJoin(right)
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys]
+    return left.join(r, cond, "left").drop(*[f"_r_{k}" for k in keys])
+
+
 def describe_columns(df: DataFrame, cols: list[str], by: list[str] | None = None,
                      approx: bool = False, accuracy: int = 10000) -> DataFrame:
     """Long-form describe: one row per (by…, column) with count, nulls, mean,
-    sample std, min, linear quartiles, max.  One aggregation pass."""
+    sample std, min, linear quartiles, max.
+
+    Moments come from one aggregation pass.  Quartiles are exact and
+    distributed (:func:`~domus.operators.ordering.linear_quantiles` over the
+    stacked columns: value counts, ranked without holding a group in one
+    buffer); ``approx=True`` uses ``percentile_approx`` sketches instead.
+    """
+    from domus.operators.ordering import linear_quantiles
+
     by = by or []
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        if approx:
-            qs = F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy)
-        else:
-            qs = F.percentile(x, [0.25, 0.5, 0.75])
         aggs += [
             F.count(x).alias(f"{c}__count"),
             F.sum(F.when(x.isNull(), 1).otherwise(0)).alias(f"{c}__null_count"),
             F.avg(x).alias(f"{c}__mean"),
             F.stddev_samp(x).alias(f"{c}__std"),
             F.min(x).alias(f"{c}__min"),
-            qs.alias(f"{c}__qs"),
             F.max(x).alias(f"{c}__max"),
         ]
+        if approx:
+            aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias(f"{c}__qs"))
     wide = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-    structs = [F.struct(
-        F.lit(c).alias("column"),
-        F.col(f"{c}__count").cast("long").alias("count"),
-        F.col(f"{c}__null_count").cast("long").alias("null_count"),
-        F.col(f"{c}__mean").alias("mean"),
-        F.col(f"{c}__std").alias("std"),
-        F.col(f"{c}__min").alias("min"),
-        F.col(f"{c}__qs")[0].cast("double").alias("q25"),
-        F.col(f"{c}__qs")[1].cast("double").alias("q50"),
-        F.col(f"{c}__qs")[2].cast("double").alias("q75"),
-        F.col(f"{c}__max").alias("max"),
-    ) for c in cols]
-    return wide.select(*by, F.inline(F.array(*structs)))
+
+    def fields(c):
+        f = [F.lit(c).alias("column"),
+             F.col(f"{c}__count").cast("long").alias("count"),
+             F.col(f"{c}__null_count").cast("long").alias("null_count"),
+             F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"),
+             F.col(f"{c}__min").alias("min"), F.col(f"{c}__max").alias("max")]
+        if approx:
+            f += [F.col(f"{c}__qs")[i].cast("double").alias(n) for i, n in enumerate(("q25", "q50", "q75"))]
+        return f
+
+    long = wide.select(*by, F.inline(F.array(*[F.struct(*fields(c)) for c in cols])))
+    order = [*by, "column", "count", "null_count", "mean", "std", "min", "q25", "q50", "q75", "max"]
+    if approx:
+        return long.select(*order)
+    stacked = df.select(*by, F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])))
+    qs = linear_quantiles(stacked, "value", [0.25, 0.5, 0.75], [*by, "column"])
+    piv = qs.groupBy(*by, "column").agg(*[F.max(F.when(F.col("q") == q, F.col("value"))).alias(n)
+                                          for q, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
+    return _null_safe_join(long, piv, [*by, "column"]).select(*order)
 
 
 # A9 -------------------------------------------------------------------------

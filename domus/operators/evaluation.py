@@ -54,13 +54,16 @@ def add_error(df: DataFrame, y: str, yhat: str, out: str = "error") -> DataFrame
 
 # V4 -------------------------------------------------------------------------
 def box_stats(df: DataFrame, value: str, by: list[str]) -> DataFrame:
-    """Box-plot numbers per group: linear quartiles, whiskers at the most
-    extreme values within 1.5·IQR of the box, outlier count."""
-    qs = df.groupBy(*by).agg(
-        F.percentile(F.col(value), [0.25, 0.5, 0.75]).alias("_q"),
-        F.count(F.col(value)).alias("n"))
-    qs = qs.select(*by, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                   F.col("_q")[2].alias("q3"))
+    """Box-plot numbers per group: exact linear quartiles (distributed),
+    whiskers at the most extreme values within 1.5·IQR of the box, outlier
+    count."""
+    from domus.operators.ordering import linear_quantiles
+
+    lq = linear_quantiles(df, value, [0.25, 0.5, 0.75], by)
+    qs = lq.groupBy(*by).agg(*[F.max(F.when(F.col("q") == q, F.col("value"))).alias(n)
+                               for q, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
+    n = df.groupBy(*by).agg(F.count(F.col(value)).alias("n"))
+    qs = n.join(qs, by).select(*by, "n", "q1", "median", "q3")
     qs = qs.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo = F.col("q1") - F.lit(1.5) * F.col("iqr")
     hi = F.col("q3") + F.lit(1.5) * F.col("iqr")

@@ -175,3 +175,34 @@ def locate_quantile(value_counts: DataFrame, value_col: str, count_col: str, q:
     inside = inside.withColumn("_cum", F.sum(count_col).over(w))
     hit = inside.where(F.col("_cum") >= F.col("_need")).agg(F.min(value_col).alias("value"))
     return hit
+
+
+def linear_quantiles(df: DataFrame, value_col: str, qs: list[float], group_cols: list[str] | None = None,
+                     out: str = "value") -> DataFrame:
+    """Exact linearly-interpolated quantiles per group without holding a
+    group's values in one buffer → one row per (group…, q).
+
+    Position ``p = q·(n-1)`` (0-based) between the neighbours ``floor(p)``
+    and ``ceil(p)``.  Values are counted per (group, value), ranked with
+    :func:`prefix_sums` (bucketed when large), and the two neighbours are
+    found by a range join against the small (group, q) target table.
+    """
+    from domus.operators.joins import join_small
+
+    g = list(group_cols or [])
+    d = df.where(F.col(value_col).isNotNull()).select(*g, F.col(value_col).cast("double").alias("_v"))
+    vc = d.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    cum = prefix_sums(vc, "_v", ["_c"], group_cols=g)
+    sizes = vc.groupBy(*g).agg(F.sum("_c").alias("_n"))
+    targets = sizes.crossJoin(F.broadcast(vc.sparkSession.createDataFrame([(float(q),) for q in qs], "q double")))
+    pos = (F.col("_n") - 1) * F.col("q")
+    targets = targets.select(*g, "q", pos.alias("_pos"), F.floor(pos).alias("_lo"), F.ceil(pos).alias("_hi"))
+    # value at 0-based rank i: the row with cum_c - c <= i < cum_c
+    t = join_small(cum, targets, g) if g else cum.crossJoin(F.broadcast(targets))
+    start, end = F.col("cum__c") - F.col("_c"), F.col("cum__c")
+    lo_v = t.where((start <= F.col("_lo")) & (F.col("_lo") < end)).select(*g, "q", "_pos", "_lo",
+                                                                         F.col("_v").alias("_vlo"))
+    hi_v = t.where((start <= F.col("_hi")) & (F.col("_hi") < end)).select(*g, "q", F.col("_v").alias("_vhi"))
+    res = lo_v.join(hi_v, [*g, "q"])
+    frac = F.col("_pos") - F.col("_lo")
+    return res.select(*g, "q", (F.col("_vlo") + frac * (F.col("_vhi") - F.col("_vlo"))).alias(out))

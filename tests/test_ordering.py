@@ -60,3 +60,16 @@ def test_locate_quantile_is_percentile_disc(spark, path):
         exp = s[pos - 1]
         got = locate_quantile(vc, "x", "n", q, buckets=8).collect()[0]["value"]
         assert got == exp, q
+
+
+def test_linear_quantiles_match_numpy(spark, path):
+    from domus.operators.ordering import linear_quantiles
+
+    random.seed(9)
+    rows = [(random.choice("ab"), float(random.randint(0, 40))) for _ in range(301)] + [("c", 5.0)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {(r["g"], r["q"]): r["value"] for r in linear_quantiles(df, "x", [0.1, 0.5, 0.9], ["g"]).collect()}
+    for g in "abc":
+        xs = np.array([x for k, x in rows if k == g])
+        for q in (0.1, 0.5, 0.9):
+            assert abs(got[(g, q)] - np.quantile(xs, q)) < 1e-9
