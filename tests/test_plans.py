@@ -22,3 +22,40 @@ def test_q2_windows_partitioned_by_city(spark, small_dir):
     plan = _plan(C.city_features(kept))
     assert "Window" in plan
     assert "hashpartitioning(department" in plan
+
+
+def _nodes(df):
+    import os
+    import sys
+
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+    from plan_report import node_lines
+
+    return node_lines(df._jdf.queryExecution().executedPlan())
+
+
+def test_q1_q5_final_pass_has_no_shuffle_and_no_python(spark, small_dir):
+    from domus.plans.catalog_features import BUILDING_TYPES, REGION_NAMES, annual, monthly
+
+    out, kept = C.prepare_transactions(fx.tx(spark, small_dir), fx.regions(spark, small_dir), "1996-01-01", 0)
+    feats, _ = C.engineer_features(out, C.city_features(kept), annual(spark, small_dir), monthly(spark, small_dir),
+                                   BUILDING_TYPES, REGION_NAMES)
+    for df in (out, feats):
+        nodes = _nodes(df)
+        assert not [n for n in nodes if n.startswith("Exchange")], nodes
+        assert not [n for n in nodes if "Python" in n or "InPandas" in n]
+
+
+def test_hot_key_operators_aggregate_instead_of_window(spark):
+    from pyspark.sql import functions as F
+
+    from domus.operators.aggregates import best_by, group_share
+
+    # one key holds a third of all rows
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+                                  (F.col("id") % 97).cast("double").alias("v"), F.col("id"))
+    for out in (best_by(df, ["k"], "v", tie="id"), group_share(df, "v", ["k"], "share")):
+        nodes = _nodes(out)
+        assert not [n for n in nodes if n.startswith("Window")], nodes
+    top = {r["k"]: (r["v"], r["id"]) for r in best_by(df, ["k"], "v", tie="id").collect()}
+    assert top[0] == (96.0, 96) and top[1] == (1.0, 1)
