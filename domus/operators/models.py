@@ -274,7 +274,8 @@ def score_batch(df: DataFrame, reg_xs: list[str], regressor, cls_xs: list[str],
 
 # C8 -------------------------------------------------------------------------
 def cross_validate(df: DataFrame, y: str, xs: list[str], fold_col: str, k: int, fit,
-                   task: str = "classification", refit: bool = False, parallel: int | None = None):
+                   task: str = "classification", refit: bool = False, parallel: int | None = None,
+                   materialise: bool = True):
     """Fit on each fold's train rows, score train and test rows, evaluate all
     folds with one grouped aggregation.
 
@@ -285,7 +286,9 @@ def cross_validate(df: DataFrame, y: str, xs: list[str], fold_col: str, k: int,
 
     # every fold fit reads the same rows: materialise them once in the shared
     # checkpoint folder (also keeps the k-way union plan small)
-    data = cut_lineage(df.select(y, fold_col, *xs))
+    data = df.select(y, fold_col, *xs)
+    if materialise:  # callers that already checkpointed their folds pass False
+        data = cut_lineage(data)
 
     def one(f):
         train = data.where(F.col(fold_col) != f)
