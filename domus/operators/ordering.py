@@ -117,9 +117,11 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: list[str], descending:
 
 
 def with_global_index(df: DataFrame, order_cols: list[str], out: str = "row_index",
-                      partitions: int | None = None) -> DataFrame:
+                      partitions: int | None = None, total: str | None = None) -> DataFrame:
     """Dense 0-based index of each row in ``order_cols`` order (must be a
-    unique order — append an id as the last column)."""
+    unique order — append an id as the last column).  ``total`` also adds
+    the row count under that name, taken from the per-partition counts
+    (no extra pass over the data)."""
     spark = df.sparkSession
     # as many ranges as the input has partitions (at least the shuffle
     # setting): the range count grows with the data
@@ -131,11 +133,15 @@ def with_global_index(df: DataFrame, order_cols: list[str], out: str = "row_inde
     ranged = cut_lineage(ranged)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+                            F.sum("_n").over(everything).alias("_total"))
     local = F.col("_mono") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return (ranged.join(F.broadcast(offsets), "_pid")  # one row per partition
-            .withColumn(out, F.col("_off") + local)
-            .drop("_pid", "_mono", "_off"))
+    res = (ranged.join(F.broadcast(offsets), "_pid")  # one row per partition
+           .withColumn(out, F.col("_off") + local))
+    if total:
+        res = res.withColumnRenamed("_total", total)
+    return res.drop("_pid", "_mono", "_off", "_total")
 
 
 def locate_quantile(value_counts: DataFrame, value_col: str, count_col: str, q: float,

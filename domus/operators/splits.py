@@ -23,16 +23,11 @@ def train_test_label(df: DataFrame, id_col: str, test_share: float = 0.2, seed:
                          .otherwise(F.lit("train")))
 
 
-def _count_col(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("_n"))
-
-
 # C2 -------------------------------------------------------------------------
 def kfold_label(df: DataFrame, order: list[str], k: int = 5, out: str = "fold") -> DataFrame:
     """Contiguous blocks over ``order`` (unique), the first ``n mod k``
     blocks one row larger — the same as ``ntile(k) - 1``."""
-    idx = with_global_index(df, order, "_idx")
-    j = idx.crossJoin(F.broadcast(_count_col(df)))  # one row
+    j = with_global_index(df, order, "_idx", total="_n")  # count from the per-partition sizes
     q = F.floor(F.col("_n") / F.lit(k))
     r = F.col("_n") % F.lit(k)
     big = r * (q + 1)
@@ -100,8 +95,7 @@ def time_series_folds(df: DataFrame, order: list[str], k: int = 5) -> DataFrame:
     before.  Adds ``row_index``, ``test_fold`` (NULL if never tested) and
     ``first_train_fold`` (the first fold whose train set holds the row;
     NULL if none) — the long form is :func:`fold_roles`."""
-    idx = with_global_index(df, order, "row_index")
-    j = idx.crossJoin(F.broadcast(_count_col(df)))  # one row
+    j = with_global_index(df, order, "row_index", total="_n")
     t = F.floor(F.col("_n") / F.lit(k + 1))
     first_test = F.col("_n") - F.lit(k) * t
     i = F.col("row_index")
