@@ -251,20 +251,21 @@ def keep_top_groups(df: DataFrame, key: str, k: int = 5) -> DataFrame:
 
 # O5 -------------------------------------------------------------------------
 def best_by(df: DataFrame, keys: list[str], metric: str, tie: str | None = None) -> DataFrame:
-    """Row with the highest ``metric`` per group (ties: smallest ``tie``;
-    a group whose metrics are all NULL keeps one of its rows).
+    """Row with the highest ``metric`` per group (ties: smallest ``tie``,
+    then the other orderable columns; a group whose metrics are all NULL
+    keeps one of its rows).
 
-    An aggregation, not a window: ``min`` over a struct whose first field
-    ranks the metric descending runs map-side, so a group holding a third
-    of all rows costs one partial row per input partition."""
+    An aggregation, not a window: ``min_by`` with a key that ranks the
+    metric descending runs map-side, so a group holding a third of all rows
+    costs one partial row per input partition.  The payload may hold maps."""
     rest = [c for c in df.columns if c not in keys]
     m = F.col(metric).cast("double")
     rank = F.when(m.isNull(), F.lit(float("inf"))).otherwise(-m)
-    fields = [rank.alias("_rank")]
-    if tie:
-        fields.append(F.col(tie).alias("_tie"))
-    fields += [F.col(c).alias(c) for c in rest]
-    best = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_best"))
+    orderable = [f.name for f in df.schema.fields
+                 if f.name in rest and f.name != tie and "map<" not in f.dataType.simpleString()]
+    order_key = F.struct(rank.alias("_rank"), *([F.col(tie).alias("_tie")] if tie else []),
+                         *[F.col(c).alias(f"_o_{c}") for c in orderable])
+    best = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in rest]), order_key).alias("_best"))
     return best.select(*keys, *[F.col("_best")[c].alias(c) for c in rest]).select(*df.columns)
 
 
