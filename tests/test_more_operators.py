@@ -79,3 +79,52 @@ def test_decision_grid_and_segment_scoring(spark):
                               lambda part: M.forest(part, "y", ["a", "b"], "classification", trees=3, max_depth=3))
     scored = M.score_by_segment(df, "seg", models, ["a", "b"])
     assert scored.count() == 200
+
+
+def test_drift_paths_agree(spark):
+    from domus.operators import drift as D
+
+    rng = np.random.default_rng(5)
+    ref = spark.createDataFrame([(float(x), float(y)) for x, y in zip(rng.normal(size=400).round(2),
+                                                                      rng.exponential(size=400).round(2))],
+                                "a double, b double")
+    cur = spark.createDataFrame([(float(x), float(y)) for x, y in zip(rng.normal(0.3, 1, 300).round(2),
+                                                                      rng.exponential(size=300).round(2))],
+                                "a double, b double")
+    single = {r["column"]: r for r in D.numeric_drift(ref, cur, ["a", "b"]).collect()}
+    spark.conf.set("domus.order.singleTaskRows", "0")
+    try:
+        bucketed = {r["column"]: r for r in D.numeric_drift(ref, cur, ["a", "b"]).collect()}
+    finally:
+        spark.conf.unset("domus.order.singleTaskRows")
+    for c in ("a", "b"):
+        assert abs(single[c]["ks_statistic"] - bucketed[c]["ks_statistic"]) < 1e-12
+        assert abs(single[c]["wasserstein_norm"] - bucketed[c]["wasserstein_norm"]) < 1e-9
+    assert single["a"]["ks_statistic"] > single["b"]["ks_statistic"]
+
+
+def test_reverse_one_hot_strict_rejects_invalid_rows(spark):
+    import pytest
+
+    from domus.operators.encoding import reverse_one_hot
+
+    ok = spark.createDataFrame([(1, 0)], "t_a int, t_b int")
+    assert reverse_one_hot(ok, "t").collect()[0]["t"] == "a"
+    bad = spark.createDataFrame([(1, 1)], "t_a int, t_b int")
+    assert reverse_one_hot(bad, "t", strict=False).collect()[0]["t"] is None
+    with pytest.raises(Exception):
+        reverse_one_hot(bad, "t").collect()
+
+
+def test_categorical_drift_new_category(spark):
+    from domus.operators import drift as D
+
+    ref = spark.createDataFrame([(c,) for c in "aaabbb"], "c string")
+    cur = spark.createDataFrame([(c,) for c in "aabbcc"], "c string")
+    r = D.categorical_drift(ref, cur, ["c"]).collect()[0]
+    p = np.array([0.5, 0.5, 1e-4])
+    p = p / p.sum()
+    q = np.array([1 / 3, 1 / 3, 1 / 3])
+    m = (p + q) / 2
+    js = np.sqrt(0.5 * np.sum(p * np.log(p / m)) + 0.5 * np.sum(q * np.log(q / m)))
+    assert abs(r["js_distance"] - js) < 1e-12 and r["dof"] == 2 and r["method"] == "chisquare"
