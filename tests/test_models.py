@@ -67,3 +67,16 @@ def test_cross_validate_roles_and_folds(spark):
         assert abs(r["accuracy"] - part.count(0) / len(part)) < 1e-9 and r["f1"] == 0.0
     assert model.value == 0.0
     assert {r["role"] for r in summary.collect()} == {"train", "test"}
+
+
+def test_permutation_importance_ranks_informative_feature(spark):
+    rng = np.random.default_rng(11)
+    n = 400
+    x1, x2 = rng.uniform(size=n), rng.uniform(size=n)
+    y = 5 * x1 + rng.normal(scale=0.05, size=n)
+    df = spark.createDataFrame([(i, float(a), float(b), float(c)) for i, (a, b, c) in enumerate(zip(x1, x2, y))],
+                               "id long, x1 double, x2 double, y double")
+    model = M.forest(df, "y", ["x1", "x2"], "regression", trees=10, max_depth=6)
+    imp = {r["feature"]: r["importance_mean"] for r in
+           X.permutation_importance(model, df, ["x1", "x2"], "y", "id", "r2", repeats=3).collect()}
+    assert imp["x1"] > 0.5 and abs(imp["x2"]) < 0.1
