@@ -80,3 +80,22 @@ def test_permutation_importance_ranks_informative_feature(spark):
     imp = {r["feature"]: r["importance_mean"] for r in
            X.permutation_importance(model, df, ["x1", "x2"], "y", "id", "r2", repeats=3).collect()}
     assert imp["x1"] > 0.5 and abs(imp["x2"]) < 0.1
+
+
+def test_gbt_attributions_sum_to_prediction(spark):
+    df, *_ = _data(spark)
+    model = M.boosting(df, "y", ["x1", "x2"], "regression", iters=5, depth=3)
+    attr = X.tree_attributions(model, df, ["x1", "x2"], "id", kind="gbt_regression")
+    scored = model.transform(M.assemble(df, ["x1", "x2"]))
+    worst = X.attribution_check(attr, scored, "id").agg(F.max("abs_diff")).collect()[0][0]
+    assert worst < 1e-9
+
+
+def test_forest_classification_attributions_sum_to_probability(spark):
+    df, *_ = _data(spark)
+    df = df.withColumn("label", (F.col("y") > 0).cast("int"))
+    model = M.forest(df, "label", ["x1", "x2"], "classification", trees=5, max_depth=4)
+    attr = X.tree_attributions(model, df, ["x1", "x2"], "id", kind="forest_classification")
+    scored = M.class_probability(model.transform(M.assemble(df, ["x1", "x2"])), "p1")
+    worst = X.attribution_check(attr, scored, "id", prediction="p1").agg(F.max("abs_diff")).collect()[0][0]
+    assert worst < 1e-9
