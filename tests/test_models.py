@@ -99,3 +99,24 @@ def test_forest_classification_attributions_sum_to_probability(spark):
     scored = M.class_probability(model.transform(M.assemble(df, ["x1", "x2"])), "p1")
     worst = X.attribution_check(attr, scored, "id", prediction="p1").agg(F.max("abs_diff")).collect()[0][0]
     assert worst < 1e-9
+
+
+def test_logistic_matches_c_parametrised_objective(spark):
+    rng = np.random.default_rng(2)
+    n = 300
+    X1 = rng.normal(size=(n, 2))
+    p = 1 / (1 + np.exp(-(1.5 * X1[:, 0] - X1[:, 1] + 0.3)))
+    yv = (rng.uniform(size=n) < p).astype(int)
+    df = spark.createDataFrame([(float(a), float(b), int(c)) for (a, b), c in zip(X1, yv)], "a double, b double, y int")
+    model = M.logistic(df, "y", ["a", "b"], c=1.0, max_iter=200)
+    # Newton's method on  C·Σ logloss + ½‖w‖²  (intercept not penalised)
+    Z = np.column_stack([X1, np.ones(n)])
+    w = np.zeros(3)
+    reg = np.diag([1.0, 1.0, 0.0])
+    for _ in range(50):
+        mu = 1 / (1 + np.exp(-Z @ w))
+        grad = Z.T @ (mu - yv) + reg @ w
+        hess = Z.T @ (Z * (mu * (1 - mu))[:, None]) + reg
+        w -= np.linalg.solve(hess, grad)
+    got = np.r_[model.coefficients.toArray(), model.intercept]
+    assert np.allclose(got, w, rtol=1e-3, atol=1e-3), (got, w)
