@@ -120,3 +120,10 @@ def test_logistic_matches_c_parametrised_objective(spark):
         w -= np.linalg.solve(hess, grad)
     got = np.r_[model.coefficients.toArray(), model.intercept]
     assert np.allclose(got, w, rtol=1e-3, atol=1e-3), (got, w)
+
+
+def test_student_t_p_values():
+    # two-sided tail probabilities of Student's t (reference values)
+    assert abs(M.t_two_sided_p(2.0, 10) - 0.07338803477074) < 1e-9
+    assert abs(M.t_two_sided_p(1.959963984540054, 1e9) - 0.05) < 1e-6
+    assert abs(M.t_two_sided_p(0.0, 5) - 1.0) < 1e-12
