@@ -85,16 +85,39 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner") -> Data
     return big.join(small_side(small), on, how)
 
 
+def salted_join(detail: DataFrame, agg: DataFrame, keys: list[str], salts: int,
+                salt_source: list[str] | None = None, how: str = "inner") -> DataFrame:
+    """Shuffle join that spreads every key over ``salts`` partitions: each
+    aggregate row is replicated once per salt, each detail row gets the salt
+    ``hash(salt_source) mod salts`` (deterministic, so a recomputed task
+    routes its rows the same way).  A key holding a third of all detail rows
+    is split across ``salts`` tasks even without AQE."""
+    src = [F.col(c) for c in (salt_source or detail.columns)]
+    d = detail.withColumn("_salt", F.pmod(F.xxhash64(*src), F.lit(salts)).cast("int"))
+    a = agg.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return d.join(a, [*keys, "_salt"], how).drop("_salt")
+
+
 # J1 -------------------------------------------------------------------------
 def join_detail_aggregate(detail: DataFrame, agg: DataFrame, keys: list[str],
-                          how: str = "inner") -> DataFrame:
+                          how: str = "inner", salts: int | None = None,
+                          salt_source: list[str] | None = None) -> DataFrame:
     """Detail rows ⋈ their group aggregate on the full composite key.
 
-    The aggregate has one row per key, so a hot key on the detail side is a
-    replicate-one-row join: AQE's skew join splits the hot partition.  When
-    the aggregate fits the broadcast limits no detail row is shuffled.
+    The aggregate has one row per key.  When it fits the broadcast limits no
+    detail row is shuffled.  Otherwise it is a shuffle join in which a hot
+    key is a replicate-one-row join: AQE's skew join splits the hot
+    partition, or — with ``salts`` — the key is salted explicitly
+    (:func:`salted_join`).
     """
-    return join_small(detail, agg, keys, how)
+    small = small_side(agg)
+    if salts and salts > 1 and not _is_broadcast(small):
+        return salted_join(detail, small, keys, salts, salt_source, how)
+    return detail.join(small, keys, how)
+
+
+def _is_broadcast(df: DataFrame) -> bool:
+    return "ResolvedHint (strategy=broadcast)" in df._jdf.queryExecution().analyzed().toString()
 
 
 # J3 -------------------------------------------------------------------------

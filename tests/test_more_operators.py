@@ -128,3 +128,19 @@ def test_categorical_drift_new_category(spark):
     m = (p + q) / 2
     js = np.sqrt(0.5 * np.sum(p * np.log(p / m)) + 0.5 * np.sum(q * np.log(q / m)))
     assert abs(r["js_distance"] - js) < 1e-12 and r["dof"] == 2 and r["method"] == "chisquare"
+
+
+def test_salted_join_equals_plain_join(spark):
+    detail = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 50).alias("k"),
+                                      F.col("id"))
+    agg = detail.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    a = J.salted_join(detail, agg, ["k"], 8, ["id"])
+    b = detail.join(agg, ["k"])
+    assert a.count() == b.count() == 3000
+    assert a.exceptAll(b.select(*a.columns)).count() == 0
+    spark.conf.set("domus.broadcast.maxRows", "1")
+    try:
+        c = J.join_detail_aggregate(detail, agg, ["k"], salts=4, salt_source=["id"])
+        assert c.exceptAll(b.select(*c.columns)).count() == 0
+    finally:
+        spark.conf.unset("domus.broadcast.maxRows")
