@@ -255,6 +255,15 @@ def x6_attribution_summary(spark, d):
     return X.attribution_summary(attr)
 
 
+@register("x6_attribution_breakdown")
+def x6_attribution_breakdown(spark, d):
+    """All contributions of one row (the smallest test id), with its base
+    value: the numbers behind a single-prediction waterfall."""
+    attr, _ = _attributions(spark, d)
+    first = attr.agg(F.min("transaction_id").alias("transaction_id"))  # one row
+    return attr.join(F.broadcast(first), "transaction_id").orderBy(F.abs("contribution").desc())
+
+
 @register("x6_attribution_dependence")
 def x6_attribution_dependence(spark, d):
     attr, _ = _attributions(spark, d)
