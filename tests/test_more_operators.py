@@ -144,3 +144,15 @@ def test_salted_join_equals_plain_join(spark):
         assert c.exceptAll(b.select(*c.columns)).count() == 0
     finally:
         spark.conf.unset("domus.broadcast.maxRows")
+
+
+def test_small_side_broadcasts_only_proven_small_sides(spark):
+    small = spark.createDataFrame([(i, str(i)) for i in range(10)], "k int, v string")
+    assert J._is_broadcast(J.small_side(small))
+    spark.conf.set("domus.broadcast.maxRows", "5")
+    spark.conf.set("domus.broadcast.maxBytes", "64")
+    try:
+        assert not J._is_broadcast(J.small_side(spark.range(100).withColumnRenamed("id", "k")))
+    finally:
+        spark.conf.unset("domus.broadcast.maxRows")
+        spark.conf.unset("domus.broadcast.maxBytes")
