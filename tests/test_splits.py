@@ -65,3 +65,19 @@ def test_group_label(spark):
     df = spark.createDataFrame([(i, g) for i, g in enumerate("cabbac")], "i int, g string")
     got = {r["i"]: r["fold"] for r in S.group_label(df, "g").collect()}
     assert got == {0: 2, 1: 0, 2: 1, 3: 1, 4: 0, 5: 2}
+
+
+def test_global_index_more_partitions_than_rows(spark):
+    from domus.operators.ordering import with_global_index
+
+    df = spark.range(5).withColumnRenamed("id", "i")
+    got = sorted((r["i"], r["row_index"]) for r in with_global_index(df, ["i"], partitions=16).collect())
+    assert got == [(i, i) for i in range(5)]
+
+
+def test_time_series_folds_need_enough_rows(spark):
+    import pytest
+
+    df = spark.range(4).withColumnRenamed("id", "i")
+    with pytest.raises(Exception):
+        S.time_series_folds(df, ["i"], 5).collect()
