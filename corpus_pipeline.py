@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from domus.llm import bpe, common, decontaminate, language, secrets
+from domus.llm import bpe, common, decontaminate, jaccard, language, secrets
 from domus.llm.tokens import tokenizer_path
 
 
@@ -21,6 +21,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return got.filter(~got["rejected"]).select(*docs.columns)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document (the smallest doc_id) of each group of near duplicates:
+    five-word shingles, similarity 0.8 or more."""
+    return jaccard.keep_one(docs, gram=5, percent=80)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
     return decontaminate.keep_clean(docs, common.table(spark, sf_dir, "benchmark"))
@@ -38,6 +44,7 @@ def encode_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language ID", identify_language),
+    ("n-gram Jaccard join", drop_near_duplicates),
     ("benchmark decontamination", drop_contaminated),
     ("secret scans", redact_secrets),
     ("BPE encoding and decoding", encode_bpe),
