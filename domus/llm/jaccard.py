@@ -14,7 +14,10 @@ here: unrelated documents all lie at distance 1 from every pivot.)  Sizes of
 linked sets differ by the factor t at most, so parts are made per size band
 and a document also takes part in the next larger band.
 
-A region is joined exactly and recursively: the distances to its pivot link
+Before texts move, every region sees its documents' sizes and sketches (counts
+by cells of the n-gram space, whose L1 distance bounds the symmetric difference
+from below) and drops documents that can have no link there.  A region is then
+joined exactly and recursively: the distances to its pivot link
 what lies within the radius; every document outside the largest component is a
 pivot in turn, and is compared with the documents whose distance to the first
 pivot differs by the radius at most (triangle inequality).  Regions of more
@@ -38,6 +41,7 @@ from domus.llm.common import LOWER, SPACE_WORDS, gram_hashes, materialise, mix64
 GRAM = 3
 PERCENT = 90
 REGION_DOCS = 4096
+BROADCAST_IDS = 2_000_000
 
 
 class Bands:
@@ -213,6 +217,42 @@ def _pivots(rows: pa.Table) -> pa.Table:
     return B.answers(rows, 2, [x.tobytes() for x in np.split(out, np.cumsum(sizes)[:-1])])
 
 
+def sketch(x: np.ndarray) -> np.ndarray:
+    """Counts of a set's n-grams in equal cells of the hash space (256 at least
+    count as 255).  Their L1 distance never exceeds the symmetric difference."""
+    bits = min(10, max(4, int(np.ceil(np.log2(max(len(x), 1) / 6)))))
+    return np.minimum(np.bincount((x >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8)
+
+
+def sketch_matrix(sketches: list) -> np.ndarray:
+    """Sketches folded to the coarsest of them."""
+    k = min(len(x) for x in sketches)
+    return np.stack([x.astype(np.int32) if len(x) == k else x.reshape(k, -1).sum(axis=1, dtype=np.int32) for x in sketches])
+
+
+def may_link(s: np.ndarray, sizes: np.ndarray, k: int, others, percent: int) -> np.ndarray:
+    """Whether sizes and sketches leave a link of ``k`` with the others possible."""
+    total = sizes[others] + sizes[k]
+    return np.abs(s[others] - s[k]).sum(axis=1) * (100 + percent) <= total * (100 - percent)
+
+
+def survivors(sizes: np.ndarray, sketches: list, percent: int) -> np.ndarray:
+    """Which documents of a region may have a link there."""
+    order = np.argsort(sizes, kind="stable")
+    n, s = sizes[order], sketch_matrix([sketches[i] for i in order.tolist()])
+    last = np.searchsorted(n, n * 100 // percent, side="right")
+    out = np.zeros(len(n), bool)
+    for k in range(len(n) - 1):
+        if last[k] > k + 1:
+            ok = may_link(s, n, k, slice(k + 1, int(last[k])), percent)
+            if ok.any():
+                out[k] = True
+                out[k + 1:last[k]] |= ok
+    keep = np.empty(len(n), bool)
+    keep[order] = out
+    return keep
+
+
 class Region:
     """The sets of a region's documents over one numbering of their n-grams."""
 
@@ -251,6 +291,7 @@ def join_region(sets: list, percent: int, targets: int | None = None) -> np.ndar
     near = linked(common, r.sizes, r.sizes[0], percent)
     comp[np.isin(comp, comp[near])] = comp[0]
     radius = 1 - percent / 100 + 1e-9
+    sketches = sketch_matrix([sketch(x) for x in sets])
     done = np.zeros(m, bool)
     done[0] = True
     while True:
@@ -263,6 +304,7 @@ def join_region(sets: list, percent: int, targets: int | None = None) -> np.ndar
         done[k] = True
         window = np.flatnonzero((np.abs(distance - distance[k]) <= radius) & (comp != comp[k])
                                 & (100 * r.sizes >= percent * r.sizes[k]) & (100 * r.sizes[k] >= percent * r.sizes))
+        window = window[may_link(sketches, r.sizes, k, window, percent)]
         if len(window):
             c = r.common(k, window)
             hit = window[linked(c, r.sizes[window], r.sizes[k], percent)]
@@ -285,8 +327,9 @@ def _edges(ids: np.ndarray, comp: np.ndarray):
 _EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def region_edges(regions: DataFrame, gram: int, percent: int, buckets: int) -> DataFrame:
-    """Edges (a, b) that give every region's components."""
+def region_edges(regions: DataFrame, large: DataFrame, gram: int, percent: int, buckets: int) -> DataFrame:
+    """Edges (a, b) that give every region's components; ``large`` has the
+    regions (and their counts) that are joined in chunks."""
     def unpack(payloads: list) -> list:
         raws = [B.decompress(p) for p in payloads]
         return block_sets(np.frombuffer(b"".join(raws), np.uint8), np.cumsum([0, *map(len, raws)]).astype(np.int64), gram)
@@ -304,8 +347,6 @@ def region_edges(regions: DataFrame, gram: int, percent: int, buckets: int) -> D
                 b.append(y)
         return pa.Table.from_arrays([np.concatenate(x) if x else pa.array([], pa.int64()) for x in (a, b)], schema=_EDGE)
 
-    sizes = regions.groupBy("region").count().filter(F.col("count") > REGION_DOCS)
-    large = materialise(sizes, "jaccard-large-regions")
     key = F.pmod(F.xxhash64("region"), F.lit(buckets)).cast("int").alias("bucket")
     if large.isEmpty():
         return regions.select(key, "region", "doc_id", "payload").groupBy("bucket").applyInArrow(small, "a long, b long")
@@ -399,21 +440,52 @@ def join_documents(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) ->
         w.cuts(answer, bands)
         doc, pivot = w.regions(answer)
         heads = w.classes(answer)
-        raw = w.data.tobytes()
-        packed = {k: B.compress(raw[w.offs[k]:w.offs[k + 1]]) for k in np.unique(doc).tolist()}
+        sketches = {k: sketch(w.sets[k]).tobytes() for k in np.unique(doc).tolist()}
         n, m = len(w.ids), len(doc)
-        return pa.table({"doc_id": np.concatenate([w.ids, w.ids[doc]]), "n_shingles": np.concatenate([w.sizes, np.zeros(m, np.int64)]),
-                         "class_id": np.concatenate([heads, np.zeros(m, np.int64)]),
+        return pa.table({"block": pa.array([key[0].as_py()] * (n + m)), "doc_id": np.concatenate([w.ids, w.ids[doc]]),
+                         "n_shingles": np.concatenate([w.sizes, w.sizes[doc]]), "class_id": np.concatenate([heads, w.ids[doc]]),
                          "region": pa.array(np.concatenate([np.zeros(n, np.int64), pivot]), mask=np.arange(n + m) < n),
-                         "payload": pa.array([None] * n + [packed[k] for k in doc.tolist()], pa.binary())})
+                         "sketch": pa.array([None] * n + [sketches[k] for k in doc.tolist()], pa.binary())})
 
-    out = "doc_id long, n_shingles long, class_id long, region long, payload binary"
+    def possible(rows):
+        """(block, region, doc_id) of documents that may have a link in the region."""
+        rows = rows.sort_by([("region", "ascending"), ("doc_id", "ascending")])
+        region, size = rows.column("region").to_numpy(), rows.column("n_shingles").to_numpy()
+        sketches = [np.frombuffer(x, np.uint8) for x in rows.column("sketch").to_pylist()]
+        keep = np.ones(len(region), bool)
+        cuts_ = np.concatenate([[0], np.flatnonzero(np.diff(region)) + 1, [len(region)]])
+        for lo, hi in zip(cuts_[:-1].tolist(), cuts_[1:].tolist(), strict=True):
+            if hi - lo <= REGION_DOCS:  # larger regions go on whole
+                keep[lo:hi] = survivors(size[lo:hi], sketches[lo:hi], percent)
+        return rows.select(["block", "region", "doc_id"]).filter(pa.array(keep))
+
+    def send_texts(key, rows, wanted):
+        ids, data, offs = B.unpack(rows)
+        raw = data.tobytes()
+        at: dict = {}
+        for k, i in enumerate(ids.tolist()):
+            at.setdefault(i, []).append(k)
+        doc, region = [], []
+        for i, p in zip(wanted.column("doc_id").to_pylist(), wanted.column("region").to_pylist(), strict=True):
+            for k in at[i]:  # of rows that repeat a doc_id every one comes along
+                doc.append(k)
+                region.append(p)
+        packed = {k: B.compress(raw[offs[k]:offs[k + 1]]) for k in set(doc) if offs[k + 1] > offs[k]}
+        pairs = sorted({(p, k) for p, k in zip(region, doc, strict=True) if k in packed})
+        return pa.table({"region": pa.array([p for p, _ in pairs], pa.int64()), "doc_id": pa.array([int(ids[k]) for _, k in pairs], pa.int64()),
+                         "payload": pa.array([packed[k] for _, k in pairs], pa.binary())})
+
+    out = "block string, doc_id long, n_shingles long, class_id long, region long, sketch binary"
     heads = texts.groupBy("block").applyInArrow(sets, B.SENT).groupBy("bucket").applyInArrow(_class_heads, B.ANSWER)
     found = texts.groupBy("block").cogroup(heads.groupBy("block")).applyInArrow(cuts, B.SENT)
     pivots = found.groupBy("bucket").applyInArrow(_pivots, B.ANSWER)
     placed = materialise(texts.groupBy("block").cogroup(heads.unionByName(pivots).groupBy("block")).applyInArrow(place, out), "jaccard-placed")
-    regions = placed.filter(F.col("region").isNotNull()).select("region", "doc_id", "payload")
-    comp = components(region_edges(regions, gram, percent, buckets))
+    near = placed.filter(F.col("region").isNotNull()).select(
+        F.pmod(F.xxhash64("region"), F.lit(buckets)).cast("int").alias("bucket"), "block", "region", "doc_id", "n_shingles", "sketch")
+    wanted = near.groupBy("bucket").applyInArrow(possible, "block string, region long, doc_id long")
+    regions = texts.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(send_texts, "region long, doc_id long, payload binary")
+    large = materialise(wanted.groupBy("region").count().filter(F.col("count") > REGION_DOCS), "jaccard-large-regions")
+    comp = components(region_edges(regions, large, gram, percent, buckets))
     rows = placed.filter(F.col("region").isNull()).select("doc_id", "n_shingles", "class_id")
     got = rows.join(comp.withColumnRenamed("v", "class_id"), "class_id", "left")
     known = lambda c: F.when(c != B.NO_ID, c)
@@ -425,7 +497,9 @@ def keep_one(docs: DataFrame, gram: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without the near duplicates of a document with a smaller doc_id
     in the same component; of rows that repeat a doc_id, all stay or go."""
     got = join_documents(docs, gram, percent)
-    gone = got.filter(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("_gone")).distinct()
+    gone = materialise(got.filter(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("_gone")).distinct(), "jaccard-gone")
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)  # beyond that the join shuffles
     return docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
 
 
