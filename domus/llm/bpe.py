@@ -29,7 +29,7 @@ from domus.llm import blocks as B
 from domus.llm.common import id_and_text, table, word_hashes
 from domus.llm.tokens import load_tokenizer, tokenizer_path
 
-BLOCK_BYTES = 8 << 20  # text of a block: bounds the memory of every task
+BLOCK_BYTES = 6 << 20  # text of a block: bounds the memory of every task
 
 
 class _Numbering(dict):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
@@ -9,6 +11,7 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@functools.lru_cache(maxsize=2)
 def load_tokenizer(path: str):
     from tokenizers import Tokenizer
 
