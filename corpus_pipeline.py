@@ -17,8 +17,7 @@ from domus.llm.tokens import tokenizer_path
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the language classifier does not reject."""
-    got = language.predict(docs, language.fit(docs))
-    return got.filter(~got["rejected"]).select(*docs.columns)
+    return language.accepted(docs, language.fit(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

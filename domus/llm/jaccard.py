@@ -497,10 +497,11 @@ def keep_one(docs: DataFrame, gram: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without the near duplicates of a document with a smaller doc_id
     in the same component; of rows that repeat a doc_id, all stay or go."""
     got = join_documents(docs, gram, percent)
-    gone = materialise(got.filter(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("_gone")).distinct(), "jaccard-gone")
+    gone = materialise(got.filter(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct(), "jaccard-gone")
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)  # beyond that the join shuffles
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    packed = docs.select(F.struct(*docs.columns).alias("whole"), F.col("doc_id").cast("long").alias("doc_id"))
+    return packed.join(gone, "doc_id", "left_anti").select("whole.*")
 
 
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

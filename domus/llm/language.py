@@ -197,6 +197,12 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
     return docs.withColumn("_lettered", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))).mapInArrow(run, out)
 
 
+def accepted(docs: DataFrame, model: dict) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that are not rejected."""
+    packed = docs.select(F.struct(*docs.columns).alias("whole"), "text")
+    return predict(packed, model).filter(~F.col("rejected")).select("whole.*")
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     got = predict(docs.select("doc_id", "text"), fit(docs))

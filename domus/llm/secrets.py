@@ -146,13 +146,14 @@ def redact(docs: DataFrame) -> DataFrame:
     may = F.coalesce(may, F.lit(False))
     found = scan_secrets(docs).filter(F.size("spans") > 0).dropDuplicates(["doc_id", "hash"])
     found = found.select(F.col("doc_id").alias("s_doc"), F.col("hash").alias("s_hash"), _merged_spans("spans").alias("s_spans"))
-    hit = docs.filter(may).join(found, docs["doc_id"].cast("long").eqNullSafe(F.col("s_doc")) & (F.xxhash64(docs["text"]) == F.col("s_hash")), "left")
+    packed = docs.filter(may).select(F.struct(*docs.columns).alias("whole"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    hit = packed.join(found, F.col("doc_id").eqNullSafe(F.col("s_doc")) & (F.xxhash64("text") == F.col("s_hash")), "left")
     before = lambda i: F.when(i == 0, F.lit(0).cast("long")).otherwise(F.get("s_spans", i - 1)["end"])
     pieces = F.transform("s_spans", lambda s, i: F.concat(
         F.substring(text, (before(i) + 1).cast("int"), (s["start"] - before(i)).cast("int")), F.lit(MASK)))
     tail = F.substring(text, (F.try_element_at("s_spans", F.lit(-1))["end"] + 1).cast("int"), F.length(text))
     masked = F.when(F.size("s_spans") > 0, F.concat(F.array_join(pieces, ""), tail)).otherwise(text)
-    return hit.select(*[masked.alias(c) if c == "text" else docs[c] for c in docs.columns]).unionByName(docs.filter(~may))
+    return hit.select(F.col("whole").withField("text", masked).alias("whole")).select("whole.*").unionByName(docs.filter(~may))
 
 
 def _merged_spans(name: str):

@@ -41,10 +41,9 @@ def integer_vectors(vectors: DataFrame, scale: int) -> DataFrame:
     return rows.select("vec_id", v.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
-def _matrix(col: pa.ChunkedArray, dim: int) -> np.ndarray:
-    col = col.combine_chunks()
-    flat = col.flatten() if isinstance(col, pa.Array) else pa.chunked_array([c.flatten() for c in col.chunks])
-    return np.asarray(flat.to_numpy(zero_copy_only=False) if isinstance(flat, pa.Array) else flat.to_numpy(), np.int64).reshape(-1, dim)
+def _matrix(rows: pa.Table, dim: int) -> np.ndarray:
+    flat = pa.concat_arrays([c.flatten() for c in rows.column("v").chunks])
+    return np.asarray(flat.to_numpy(zero_copy_only=False), np.int64).reshape(len(rows), dim)
 
 
 def segment_features(x: np.ndarray, width: int) -> np.ndarray:
@@ -138,7 +137,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = 1024) -> DataF
         quer = quer.sort_by("vec_id")
         cand = cand.sort_by("vec_id")
         q_ids, c_ids = (t.column("vec_id").to_numpy().astype(np.int64) for t in (quer, cand))
-        best = search_cell(q_ids, _matrix(quer.column("v"), dim), c_ids, _matrix(cand.column("v"), dim), k)
+        best = search_cell(q_ids, _matrix(quer, dim), c_ids, _matrix(cand, dim), k)
         return pa.table({"query_id": q_ids[best.query], "vec_id": best.ident, "score": best.score})
 
     keys = ["dim", "c", "q"]
