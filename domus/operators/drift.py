@@ -67,11 +67,12 @@ def numeric_drift(ref: DataFrame, cur: DataFrame, cols: list[str], method: str =
         F.stddev_pop(F.when(F.col("side") == "ref", F.col("value"))).alias("ref_std"))
     cum = prefix_sums(counts, "value", ["n_ref", "n_cur"], group_cols=["column"], with_next=True)
     cum = cum.join(F.broadcast(tot), "column")  # one row per column
-    gap = F.abs(F.col("cum_n_ref") / F.col("tot_ref") - F.col("cum_n_cur") / F.col("tot_cur"))
+    # NULL statistics where a side has no value
+    gap = F.abs(F.try_divide("cum_n_ref", "tot_ref") - F.try_divide("cum_n_cur", "tot_cur"))
     step = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
     st = cum.groupBy("column", "tot_ref", "tot_cur", "ref_std").agg(
         F.max(gap).alias("ks_statistic"), F.sum(gap * step).alias("wasserstein"))
-    en = F.col("tot_ref") * F.col("tot_cur") / (F.col("tot_ref") + F.col("tot_cur"))
+    en = F.try_divide(F.col("tot_ref") * F.col("tot_cur"), F.col("tot_ref") + F.col("tot_cur"))
     st = st.withColumn("ks_p_value", kolmogorov_sf(F.col("ks_statistic") * F.sqrt(en)))
     st = st.withColumn("wasserstein_norm", F.try_divide(F.col("wasserstein"), F.col("ref_std")))
     chosen = (F.lit(method) if method != "auto" else
@@ -137,11 +138,11 @@ def categorical_drift(ref: DataFrame, cur: DataFrame, cols: list[str], method: s
     tot = counts.groupBy("column").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"),
                                        F.count(F.lit(1)).alias("k"))
     c = counts.join(F.broadcast(tot), "column")  # one row per column
-    p = F.col("n_ref") / F.col("tot_ref")
-    q = F.col("n_cur") / F.col("tot_cur")
+    p = F.try_divide("n_ref", "tot_ref")
+    q = F.try_divide("n_cur", "tot_cur")
     c = c.withColumn("p", F.when(p == 0, F.lit(EMPTY_SHARE)).otherwise(p)) \
          .withColumn("q", F.when(q == 0, F.lit(EMPTY_SHARE)).otherwise(q))
-    c = c.withColumn("exp", F.col("n_ref") * (F.col("tot_cur") / F.col("tot_ref")))
+    c = c.withColumn("exp", F.col("n_ref") * F.try_divide("tot_cur", "tot_ref"))
     sums = c.groupBy("column").agg(F.sum("p").alias("sp"), F.sum("q").alias("sq"))
     c = c.join(F.broadcast(sums), "column")
     pn, qn = F.col("p") / F.col("sp"), F.col("q") / F.col("sq")
@@ -157,13 +158,14 @@ def categorical_drift(ref: DataFrame, cur: DataFrame, cols: list[str], method: s
     st = st.withColumn("method", chosen)
     cols_out = [F.col("column"), F.col("tot_ref").alias("n_ref"), F.col("tot_cur").alias("n_cur"),
                 "js_distance", "chi2_statistic", "dof", "method"]
-    if with_p_value:
+    drift = F.col("js_distance") >= JS_THRESHOLD
+    if method != "jensenshannon":  # the flag follows the method named in the row
+        st = st.withColumn("chi2_p_value", chi2_sf(F.col("chi2_statistic"), F.col("dof").cast("double")))
+        drift = F.when(F.col("method") == "chisquare", F.col("chi2_p_value") < CHI_ALPHA).otherwise(drift)
+    elif with_p_value:
         st = st.withColumn("chi2_p_value", chi2_sf(F.col("chi2_statistic"), F.col("dof").cast("double")))
-        drift = F.when(F.col("method") == "chisquare", F.col("chi2_p_value") < CHI_ALPHA) \
-            .otherwise(F.col("js_distance") >= JS_THRESHOLD)
+    if with_p_value:
         cols_out.append("chi2_p_value")
-    else:
-        drift = F.col("js_distance") >= JS_THRESHOLD
     return st.withColumn("drifted", drift).select(*cols_out, "drifted")
 
 

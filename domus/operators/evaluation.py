@@ -57,25 +57,26 @@ def box_stats(df: DataFrame, value: str, by: list[str]) -> DataFrame:
     """Box-plot numbers per group: exact linear quartiles (distributed),
     whiskers at the most extreme values within 1.5·IQR of the box, outlier
     count."""
+    from domus.operators.aggregates import _null_safe_join
     from domus.operators.ordering import linear_quantiles
 
     lq = linear_quantiles(df, value, [0.25, 0.5, 0.75], by)
     qs = lq.groupBy(*by).agg(*[F.max(F.when(F.col("q") == q, F.col("value"))).alias(n)
                                for q, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
     n = df.groupBy(*by).agg(F.count(F.col(value)).alias("n"))
-    qs = n.join(qs, by).select(*by, "n", "q1", "median", "q3")
+    qs = _null_safe_join(n, qs, by).select(*by, "n", "q1", "median", "q3")
     qs = qs.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo = F.col("q1") - F.lit(1.5) * F.col("iqr")
     hi = F.col("q3") + F.lit(1.5) * F.col("iqr")
     # one stats row per group, joined back (broadcast after a size check)
     qs = small_side(qs)
-    j = df.select(*by, value).join(qs, by)
+    j = _null_safe_join(df.select(*by, value), qs, by)
     v = F.col(value)
     w = j.groupBy(*by).agg(
         F.min(F.when(v >= lo, v)).alias("whisker_low"),
         F.max(F.when(v <= hi, v)).alias("whisker_high"),
         F.sum(F.when((v < lo) | (v > hi), 1).otherwise(0)).alias("n_outliers"))
-    return qs.join(w, by)
+    return _null_safe_join(qs, w, by)
 
 
 # V5 -------------------------------------------------------------------------
@@ -87,8 +88,8 @@ def segment_errors(df: DataFrame, prefix: str, y: str, yhat: str) -> DataFrame:
 
 # V6 / V12 -------------------------------------------------------------------
 def _bin(x: Column, lo: Column, width: Column, bins: int) -> Column:
-    b = F.floor((x - lo) / width)
-    return F.least(F.greatest(b, F.lit(0)), F.lit(bins - 1)).cast("int")
+    b = F.when(x.isNotNull(), F.coalesce(F.floor(F.try_divide(x - lo, width)), F.lit(0)))  # a constant column is bin 0
+    return F.when(b.isNotNull(), F.least(F.greatest(b, F.lit(0)), F.lit(bins - 1))).cast("int")
 
 
 def _range(df: DataFrame, x: str, by: list[str] | None = None) -> DataFrame:
@@ -147,7 +148,9 @@ def confusion_matrix(df: DataFrame, y: str, yhat: str) -> DataFrame:
     grid = labels.withColumnRenamed("label", "actual").crossJoin(labels.withColumnRenamed("label", "predicted"))
     counts = df.groupBy(F.col(y).alias("actual"), F.col(yhat).alias("predicted")).agg(
         F.count(F.lit(1)).alias("count"))
-    return grid.join(counts, ["actual", "predicted"], "left").na.fill(0, ["count"])
+    counts = counts.withColumnsRenamed({"actual": "_a", "predicted": "_p"})
+    same = [F.col("actual").eqNullSafe(F.col("_a")), F.col("predicted").eqNullSafe(F.col("_p"))]  # NULL is a label too
+    return grid.join(counts, same, "left").drop("_a", "_p").na.fill(0, ["count"])
 
 
 # V9 -------------------------------------------------------------------------
@@ -213,13 +216,13 @@ def binary_metrics(df: DataFrame, y: str, yhat: str, by: list[str] | None = None
 
 # V11 ------------------------------------------------------------------------
 def prediction_type(y: str, yhat: str) -> Column:
-    """'TP' / 'TN' / 'FP' / 'FN', 'unknown' for anything else (NULLs,
-    labels outside 0/1)."""
+    """Outcome name, 'unknown' for anything else (NULLs, labels outside 0/1)."""
     a, p = F.col(y), F.col(yhat)
-    return (F.when((a == 1) & (p == 1), F.lit("TP"))
-            .when((a == 0) & (p == 0), F.lit("TN"))
-            .when((a == 0) & (p == 1), F.lit("FP"))
-            .when((a == 1) & (p == 0), F.lit("FN"))
+    # fixed values: the outcome names
+    return (F.when((a == 1) & (p == 1), F.lit("true_positive"))
+            .when((a == 0) & (p == 0), F.lit("true_negative"))
+            .when((a == 0) & (p == 1), F.lit("false_positive"))
+            .when((a == 1) & (p == 0), F.lit("false_negative"))
             .otherwise(F.lit("unknown")))
 
 
@@ -246,7 +249,7 @@ def confident_errors(df: DataFrame, y: str, yhat: str, score: str, lo: float = 0
     """False negatives scored below ``lo`` and false positives above ``hi``."""
     fn = (F.col(y) == 1) & (F.col(yhat) == 0) & (F.col(score) < F.lit(lo))
     fp = (F.col(y) == 0) & (F.col(yhat) == 1) & (F.col(score) > F.lit(hi))
-    return df.where(fn | fp).withColumn("error_type", F.when(fn, F.lit("FN")).otherwise(F.lit("FP")))
+    return df.where(fn | fp).withColumn("error_type", F.when(fn, F.lit("false_negative")).otherwise(F.lit("false_positive")))
 
 
 # V15 / V16 ------------------------------------------------------------------
@@ -283,15 +286,15 @@ def pr_auc(df: DataFrame, y: str, score: str) -> DataFrame:
     tp0, fp0 = tp - F.col("pos"), fp - F.col("neg")
     prec = F.when(tp + fp == 0, F.lit(0.0)).otherwise(tp / (tp + fp))
     prec0 = F.when(tp0 + fp0 == 0, F.lit(1.0)).otherwise(tp0 / (tp0 + fp0))
-    area = (tp - tp0) / F.col("P") * (prec + prec0) / F.lit(2.0)
+    area = F.try_divide(tp - tp0, F.col("P")) * (prec + prec0) / F.lit(2.0)  # NULL without positives
     return c.agg(F.sum(area).alias("pr_auc"))
 
 
 def roc_curve(df: DataFrame, y: str, score: str) -> DataFrame:
     """(fpr, tpr) per distinct score plus the origin (threshold NULL)."""
     c = _curve_base(df, y, score)
-    pts = c.select("threshold", (F.col("cum_neg") / F.col("N")).alias("fpr"),
-                   (F.col("cum_pos") / F.col("P")).alias("tpr"))
+    pts = c.select("threshold", F.try_divide("cum_neg", "N").alias("fpr"),
+                   F.try_divide("cum_pos", "P").alias("tpr"))
     start = df.sparkSession.range(1).select(F.lit(None).cast("double").alias("threshold"),
                                             F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return pts.unionByName(start)
@@ -304,18 +307,16 @@ def roc_auc(df: DataFrame, y: str, score: str, by: list[str] | None = None) -> D
     c = _curve_base(df, y, score)
     neg_below = F.col("N") - F.col("cum_neg")
     area = F.col("pos") * (neg_below + F.col("neg") / F.lit(2.0))
-    return c.agg((F.sum(area) / (F.first("P") * F.first("N"))).alias("roc_auc"))
+    return c.agg(F.try_divide(F.sum(area), F.first("P") * F.first("N")).alias("roc_auc"))
 
 
 def _roc_auc_grouped(df: DataFrame, y: str, score: str, by: list[str]) -> DataFrame:
     counts = df.where(F.col(score).isNotNull()).groupBy(*by, F.col(score).alias("threshold")).agg(
         F.sum(F.when(F.col(y) == 1, 1).otherwise(0)).alias("pos"),
         F.sum(F.when(F.col(y) == 1, 0).otherwise(1)).alias("neg"))
-    w = Window.partitionBy(*by).orderBy("threshold").rowsBetween(Window.unboundedPreceding, -1)
-    c = counts.withColumn("neg_below", F.coalesce(F.sum("neg").over(w), F.lit(0)))
-    return c.groupBy(*by).agg(
-        (F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / F.lit(2.0)))
-         / (F.sum("pos") * F.sum("neg"))).alias("roc_auc"))
+    c = prefix_sums(counts, "threshold", ["neg"], exclusive=True, group_cols=by)
+    area = F.sum(F.col("pos") * (F.col("cum_neg") + F.col("neg") / F.lit(2.0)))
+    return c.groupBy(*by).agg(F.try_divide(area, F.sum("pos") * F.sum("neg")).alias("roc_auc"))  # NULL for one class
 
 
 # V17 ------------------------------------------------------------------------
@@ -346,6 +347,6 @@ def kde(df: DataFrame, x: str, by: list[str] | None = None, grid: int = 200, fin
     start = F.col("_lo") - F.lit(cut) * F.col("_bw")
     step = ((F.col("_hi") + F.lit(cut) * F.col("_bw")) - start) / F.lit(grid - 1)
     pts = pts.withColumn("x", start + F.col("point") * step)
-    z = (F.col("x") - F.col("_centre")) / F.col("_bw")
-    kern = F.col("_c") * F.exp(F.lit(-0.5) * z * z) / (F.col("_n") * F.col("_bw") * F.lit(math.sqrt(2 * math.pi)))
+    z = F.try_divide(F.col("x") - F.col("_centre"), F.col("_bw"))  # a constant group has no density: NULL
+    kern = F.try_divide(F.col("_c") * F.exp(F.lit(-0.5) * z * z), F.col("_n") * F.col("_bw") * F.lit(math.sqrt(2 * math.pi)))
     return pts.groupBy(*by, "point", "x").agg(F.sum(kern).alias("density"))

@@ -48,7 +48,12 @@ def estimated_bytes(df: DataFrame) -> int | None:
 
 
 def small_side(df: DataFrame) -> DataFrame:
-    """Return ``df`` hinted for broadcast only when its size is proven
+    """The frame of :func:`sized_side`."""
+    return sized_side(df)[0]
+
+
+def sized_side(df: DataFrame) -> tuple[DataFrame, bool]:
+    """Return ``df`` and whether it is hinted: it is hinted for broadcast only when its size is proven
     under the limits, otherwise unhinted (a shuffle join).
 
     Proof 1 (no job): Catalyst's upper-bound size estimate, with a 16×
@@ -60,12 +65,12 @@ def small_side(df: DataFrame) -> DataFrame:
     max_rows, max_bytes = _limits(df)
     est = estimated_bytes(df)
     if est is not None and est * ESTIMATE_HEADROOM <= max_bytes and est // 8 <= max_rows:
-        return F.broadcast(df)
+        return F.broadcast(df), True
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = kept.count()
     if n <= max_rows and n * _row_width(kept) <= max_bytes:
-        return F.broadcast(kept)
-    return kept
+        return F.broadcast(kept), True
+    return kept, False
 
 
 def bounded_broadcast(df: DataFrame, what: str) -> DataFrame:
@@ -110,16 +115,12 @@ def join_detail_aggregate(detail: DataFrame, agg: DataFrame, keys: list[str],
     partition, or — with ``salts`` — the key is salted explicitly
     (:func:`salted_join`).
     """
-    small = small_side(agg)
-    if salts and salts > 1 and not _is_broadcast(small):
+    small, hinted = sized_side(agg)
+    if salts and salts > 1 and not hinted:
         return salted_join(detail, small, keys, salts, salt_source, how)
     return detail.join(small, keys, how)
 
 
-def _is_broadcast(df: DataFrame) -> bool:
-    return "ResolvedHint (strategy=broadcast)" in df._jdf.queryExecution().analyzed().toString()
-
-
 # J3 -------------------------------------------------------------------------
 def join_on_date(a: DataFrame, b: DataFrame, on: str = "date") -> DataFrame:
     """Inner join of two calendar tables on their date key."""

@@ -166,10 +166,31 @@ def simple_regression(df: DataFrame, x: str, y: str, grid: int = 100) -> DataFra
 
 
 # M4–M6 ----------------------------------------------------------------------
+def complete(xs: list[str]):
+    """Condition: every column has a value (neither NULL nor NaN)."""
+    ok = F.lit(True)
+    for c in xs:
+        ok = ok & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    return ok
+
+
 def assemble(df: DataFrame, xs: list[str], out: str = "features") -> DataFrame:
+    """Feature vector of every row; a missing feature becomes NaN in it."""
     from pyspark.ml.feature import VectorAssembler
 
-    return VectorAssembler(inputCols=xs, outputCol=out, handleInvalid="skip").transform(df)
+    return VectorAssembler(inputCols=xs, outputCol=out, handleInvalid="keep").transform(df)
+
+
+def training_rows(df: DataFrame, y: str, xs: list[str]) -> DataFrame:
+    """Rows a model can be fitted on: features and label present."""
+    return assemble(df.where(complete([*xs, y])), xs)
+
+
+def score_rows(model, df: DataFrame, xs: list[str]) -> DataFrame:
+    """Every row of ``df`` with the model's outputs; ``prediction`` is NULL
+    where a feature is missing."""
+    scored = model.transform(assemble(df, xs))
+    return scored.withColumn("prediction", F.when(complete(xs), F.col("prediction")))
 
 
 def logistic(df: DataFrame, y: str, xs: list[str], c: float = 1.0, max_iter: int = 100):
@@ -177,7 +198,7 @@ def logistic(df: DataFrame, y: str, xs: list[str], c: float = 1.0, max_iter: int
     C·Σ loss ⇔ regParam = 1 / (C·n), no standardisation)."""
     from pyspark.ml.classification import LogisticRegression
 
-    data = assemble(df, xs)
+    data = training_rows(df, y, xs)
     n = data.count()
     lr = LogisticRegression(featuresCol="features", labelCol=y, regParam=1.0 / (c * max(n, 1)),
                             elasticNetParam=0.0, standardization=False, maxIter=max_iter)
@@ -192,7 +213,7 @@ def forest(df: DataFrame, y: str, xs: list[str], task: str = "regression", trees
     cls = RandomForestRegressor if task == "regression" else RandomForestClassifier
     est = cls(featuresCol="features", labelCol=y, numTrees=trees, maxDepth=max_depth, maxBins=max_bins,
               seed=seed, featureSubsetStrategy="all" if task == "regression" else "sqrt")
-    return est.fit(assemble(df, xs))
+    return est.fit(training_rows(df, y, xs))
 
 
 def boosting(df: DataFrame, y: str, xs: list[str], task: str = "classification", iters: int = 50,
@@ -202,7 +223,7 @@ def boosting(df: DataFrame, y: str, xs: list[str], task: str = "classification",
 
     cls = GBTRegressor if task == "regression" else GBTClassifier
     est = cls(featuresCol="features", labelCol=y, maxIter=iters, maxDepth=depth, stepSize=step, seed=seed)
-    return est.fit(assemble(df, xs))
+    return est.fit(training_rows(df, y, xs))
 
 
 # M7 -------------------------------------------------------------------------
@@ -242,15 +263,13 @@ def fit_by_segment(df: DataFrame, segment: str, segments: list, fit) -> dict:
 def score_by_segment(df: DataFrame, segment: str, models: dict, xs: list[str],
                      out: str = "prediction") -> DataFrame:
     """Score each row with its segment's model; union of per-segment
-    transforms (rows of unknown segments get no prediction)."""
-    parts = []
+    transforms.  Rows of unknown or NULL segments and rows with a missing
+    feature are kept with a NULL prediction."""
+    known = F.coalesce(F.col(segment).isin(list(models)), F.lit(False))
+    res = df.where(~known).withColumn(out, F.lit(None).cast("double"))
     for s, m in models.items():
-        part = assemble(df.where(F.col(segment) == F.lit(s)), xs)
-        parts.append(m.transform(part).withColumnRenamed("prediction", out).drop("features", "rawPrediction",
-                                                                               "probability"))
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
+        part = score_rows(m, df.where(F.col(segment) == F.lit(s)), xs)
+        res = res.unionByName(part.withColumnRenamed("prediction", out).drop("features", "rawPrediction", "probability"))
     return res
 
 
@@ -258,7 +277,8 @@ def score_by_segment(df: DataFrame, segment: str, models: dict, xs: list[str],
 def class_probability(scored: DataFrame, out: str = "probability_1", cls: int = 1) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
 
-    return scored.withColumn(out, vector_to_array(F.col("probability"))[cls])
+    p = vector_to_array(F.col("probability"))[cls]
+    return scored.withColumn(out, F.when(F.col("prediction").isNotNull(), p) if "prediction" in scored.columns else p)
 
 
 def score_batch(df: DataFrame, reg_xs: list[str], regressor, cls_xs: list[str], classifier) -> DataFrame:
@@ -269,6 +289,9 @@ def score_batch(df: DataFrame, reg_xs: list[str], regressor, cls_xs: list[str],
     c = (classifier.copy().setFeaturesCol("_cls_features").setPredictionCol("predicted_class")
          .setRawPredictionCol("_raw").setProbabilityCol("probability").transform(r))
     c = class_probability(c, "probability_below_market")
+    for name, ok in (("predicted_price", complete(reg_xs)), ("predicted_class", complete(cls_xs)),
+                     ("probability_below_market", complete(cls_xs))):
+        c = c.withColumn(name, F.when(ok, F.col(name)))
     return c.drop("_reg_features", "_cls_features", "_raw", "probability")
 
 
@@ -293,7 +316,7 @@ def cross_validate(df: DataFrame, y: str, xs: list[str], fold_col: str, k: int,
     def one(f):
         train = data.where(F.col(fold_col) != f)
         model = fit(train)
-        scored = model.transform(assemble(data, xs))
+        scored = score_rows(model, data.where(complete(xs)), xs)
         score = (vector_to_array(F.col("probability"))[1] if "probability" in scored.columns
                  else F.lit(None).cast("double"))
         # role first: the row's own fold label decides train / test for fit f
@@ -354,5 +377,5 @@ def decision_grid(model, df: DataFrame, x1: str, x2: str, steps: int = 100, marg
                     .alias(x1),
                     ((F.col("lo2") - margin) + F.col("j") * ((F.col("hi2") - F.col("lo2") + 2 * margin) / (steps - 1)))
                     .alias(x2)))
-    scored = model.transform(assemble(grid, [x1, x2]))
+    scored = score_rows(model, grid, [x1, x2])
     return scored.select("i", "j", x1, x2, F.col("prediction").cast("int").alias("predicted_class"))

@@ -44,7 +44,7 @@ def cut_points(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS,
     """``buckets-1`` approximate quantile cut points (one row, or one row per
     group)."""
     probs = [i / buckets for i in range(1, buckets)]
-    agg = F.percentile_approx(F.col(col).cast("double"), probs, accuracy).alias("_cuts")
+    agg = F.percentile_approx(F.col(col), probs, accuracy).alias("_cuts")  # in the column's own type
     return df.groupBy(*group_cols).agg(agg) if group_cols else df.agg(agg)
 
 
@@ -52,18 +52,27 @@ def assign_bucket(df: DataFrame, col: str, cuts: DataFrame, out: str = "_bucket"
                   descending: bool = False, buckets: int = DEFAULT_BUCKETS,
                   group_cols: list[str] | None = None) -> DataFrame:
     """Bucket = number of cut points strictly below the value (monotone in the
-    value; equal values share a bucket).  The cut table is bounded by
-    ``buckets`` per group and is broadcast."""
+    value; equal values share a bucket).  Without groups the cut table is one
+    row; with groups it has one row per group and is broadcast only if small."""
     if group_cols:
-        j = df.join(F.broadcast(cuts), group_cols)
+        j = _join_groups(df, cuts, group_cols)
     else:
         j = df.crossJoin(F.broadcast(cuts))
-    b = F.expr(f"size(filter(_cuts, c -> c < CAST(`{col}` AS DOUBLE)))")
+    b = F.coalesce(F.expr(f"size(filter(_cuts, c -> c < `{col}`))"), F.lit(0))
     if descending:
         b = F.lit(buckets) - b
     return j.withColumn(out, b).drop("_cuts")
 
 
+def _join_groups(df: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
+    """Join one row per group, NULL groups included, size-checked."""
+    from domus.operators.joins import small_side
+
+    r = side.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    cond = [df[k].eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return df.join(small_side(r), cond).drop(*[f"_r_{k}" for k in keys])
+
+
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: list[str], descending: bool = False,
                 tie_cols: list[str] | None = None, prefix: str = "cum_",
                 buckets: int = DEFAULT_BUCKETS, exclusive: bool = False,
@@ -104,7 +113,7 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: list[str], descending:
     offsets = totals.select(*g, "_bucket", *cols)
     inside = Window.partitionBy(*g, "_bucket").orderBy(*orders)
     within = inside.rowsBetween(Window.unboundedPreceding, upper)
-    out = bdf.join(F.broadcast(offsets), [*g, "_bucket"])
+    out = _join_groups(bdf, offsets, [*g, "_bucket"])
     out = out.withColumns({
         f"{prefix}{c}": F.col(f"_o_{c}") + F.coalesce(F.sum(c).over(within), F.lit(0))
         for c in sum_cols
@@ -159,27 +168,28 @@ def locate_quantile(value_counts: DataFrame, value_col: str, count_col: str, q:
         w = Window.orderBy(value_col)
         ranked = value_counts.select(
             value_col, F.sum(count_col).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_cum"),
-            F.sum(count_col).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_N"))
-        target = F.greatest(F.lit(1), F.ceil(F.lit(float(q)) * F.col("_N")))
-        return ranked.where(F.col("_cum") >= target).agg(F.min(value_col).alias("value"))
+            F.sum(count_col).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_all"))
+        # percentile_disc: the first value whose cumulative share reaches q
+        return ranked.where(F.col("_cum") / F.col("_all") >= F.lit(float(q))).agg(F.min(value_col).alias("value"))
     cuts = cut_points(value_counts, value_col, buckets)
     bdf = assign_bucket(value_counts, value_col, cuts, buckets=buckets)
     totals = bdf.groupBy("_bucket").agg(F.sum(count_col).alias("_t"))
     all_rows = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # percentile_disc: first position p (1-based) with p / N >= q, i.e. p = max(1, ceil(q·N))
+    # percentile_disc: the first value whose cumulative share reaches q
     ranked = totals.select(
         "_bucket", "_t",
-        F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"),
-        F.sum("_t").over(all_rows).alias("_N"))
-    target = F.greatest(F.lit(1), F.ceil(F.lit(float(q)) * F.col("_N")))
-    pick = (ranked.where((F.col("_off") < target) & (target <= F.col("_off") + F.col("_t")))
-            .select("_bucket", (target - F.col("_off")).alias("_need")))
+        F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_before"),
+        F.sum("_t").over(all_rows).alias("_all"))
+    share = (F.col("_before") + F.col("_t")) / F.col("_all")
+    pick = (ranked.where(share >= F.lit(float(q))).agg(F.min_by(F.struct("_bucket", "_before", "_all"), "_bucket").alias("p"))
+            .select("p.*").where(F.col("_bucket").isNotNull()))
     inside = bdf.join(F.broadcast(pick), "_bucket")  # one bucket survives
     w = (Window.partitionBy("_bucket").orderBy(F.col(value_col))
          .rowsBetween(Window.unboundedPreceding, 0))
     inside = inside.withColumn("_cum", F.sum(count_col).over(w))
-    hit = inside.where(F.col("_cum") >= F.col("_need")).agg(F.min(value_col).alias("value"))
+    reached = (F.col("_before") + F.col("_cum")) / F.col("_all") >= F.lit(float(q))
+    hit = inside.where(reached).agg(F.min(value_col).alias("value"))
     return hit
 
 
@@ -193,8 +203,6 @@ def linear_quantiles(df: DataFrame, value_col: str, qs: list[float], group_cols:
     :func:`prefix_sums` (bucketed when large), and the two neighbours are
     found by a range join against the small (group, q) target table.
     """
-    from domus.operators.joins import join_small
-
     g = list(group_cols or [])
     d = df.where(F.col(value_col).isNotNull()).select(*g, F.col(value_col).cast("double").alias("_v"))
     vc = d.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
@@ -204,11 +212,12 @@ def linear_quantiles(df: DataFrame, value_col: str, qs: list[float], group_cols:
     pos = (F.col("_n") - 1) * F.col("q")
     targets = targets.select(*g, "q", pos.alias("_pos"), F.floor(pos).alias("_lo"), F.ceil(pos).alias("_hi"))
     # value at 0-based rank i: the row with cum_c - c <= i < cum_c
-    t = join_small(cum, targets, g) if g else cum.crossJoin(F.broadcast(targets))
+    t = _join_groups(cum, targets, g) if g else cum.crossJoin(F.broadcast(targets))
     start, end = F.col("cum__c") - F.col("_c"), F.col("cum__c")
     lo_v = t.where((start <= F.col("_lo")) & (F.col("_lo") < end)).select(*g, "q", "_pos", "_lo",
                                                                          F.col("_v").alias("_vlo"))
     hi_v = t.where((start <= F.col("_hi")) & (F.col("_hi") < end)).select(*g, "q", F.col("_v").alias("_vhi"))
-    res = lo_v.join(hi_v, [*g, "q"])
+    hi_v = hi_v.withColumnsRenamed({k: f"_h_{k}" for k in [*g, "q"]})
+    res = lo_v.join(hi_v, [lo_v[k].eqNullSafe(hi_v[f"_h_{k}"]) for k in [*g, "q"]])
     frac = F.col("_pos") - F.col("_lo")
     return res.select(*g, "q", (F.col("_vlo") + frac * (F.col("_vhi") - F.col("_vlo"))).alias(out))

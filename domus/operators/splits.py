@@ -71,12 +71,14 @@ def stratified_kfold_label(df: DataFrame, target: str, order: list[str], k: int
     # classes × k rows: must be small (a shuffle join on the class would put a
     # whole class in one task)
     folds = bounded_broadcast(folds, "stratified folds (classes × k)")
-    pos = idx.join(F.broadcast(starts.select(target, "_vstart")), target)  # one row per class
+    # one row per class; a NULL class is a class
+    starts = bounded_broadcast(starts.select(F.col(target).alias("_class"), "_vstart"), "stratified folds (classes)")
+    pos = idx.join(starts, F.col(target).eqNullSafe(F.col("_class"))).drop("_class")
     pos = pos.withColumn("_j", F.col("_idx") - F.col("_vstart"))
-    j = pos.join(folds, (pos[target] == folds[target])
+    folds = folds.withColumnRenamed(target, "_class")
+    j = pos.join(F.broadcast(folds), F.col(target).eqNullSafe(F.col("_class"))
                  & (F.col("_j") >= F.col("_lo")) & (F.col("_j") < F.col("_hi")))
-    return (j.drop(folds[target]).withColumn(out, F.col("_f").cast("int"))
-            .drop("_idx", "_vstart", "_j", "_f", "_lo", "_hi"))
+    return j.withColumn(out, F.col("_f").cast("int")).drop("_class", "_idx", "_vstart", "_j", "_f", "_lo", "_hi")
 
 
 # C4 -------------------------------------------------------------------------

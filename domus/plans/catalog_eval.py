@@ -264,8 +264,8 @@ def v10_binary_metrics(spark, d):
     return rounded(V.binary_metrics(fx.scored_binary(spark, d), "y", "prediction", by=["segment"]), 9)
 
 
-PTYPE_SQL = """CASE WHEN y = 1 AND prediction = 1 THEN 'TP' WHEN y = 0 AND prediction = 0 THEN 'TN'
-  WHEN y = 0 AND prediction = 1 THEN 'FP' WHEN y = 1 AND prediction = 0 THEN 'FN' ELSE 'unknown' END"""
+PTYPE_SQL = """CASE WHEN y = 1 AND prediction = 1 THEN 'true_positive' WHEN y = 0 AND prediction = 0 THEN 'true_negative'
+  WHEN y = 0 AND prediction = 1 THEN 'false_positive' WHEN y = 1 AND prediction = 0 THEN 'false_negative' ELSE 'unknown' END"""
 
 
 @register("v11_prediction_type", oracle(
@@ -305,7 +305,7 @@ def v13_compare_distributions(spark, d):
 
 @register("v14_confident_errors", oracle(
     """SELECT id, y, prediction, score,
-              CASE WHEN y = 1 AND prediction = 0 AND score < 0.1E0 THEN 'FN' ELSE 'FP' END AS error_type
+              CASE WHEN y = 1 AND prediction = 0 AND score < 0.1E0 THEN 'false_negative' ELSE 'false_positive' END AS error_type
        FROM scored_binary
        WHERE (y = 1 AND prediction = 0 AND score < 0.1E0) OR (y = 0 AND prediction = 1 AND score > 0.9E0)""",
     ["scored_binary"], ["score"]))
@@ -460,7 +460,7 @@ catdrift AS (
                                   + 0.5E0 * qn * ln(qn / ((pn + qn) / 2.0E0))))) AS js_distance,
          sum((n_cur - ex) * (n_cur - ex) / NULLIF(ex, 0)) AS chi2_statistic,
          CAST(k - 1 AS INT) AS dof,
-         CASE WHEN tot_ref > 1000 THEN 'jensenshannon' ELSE 'chisquare' END AS method
+         'jensenshannon' AS method
   FROM cn GROUP BY "column", tot_ref, tot_cur, k)"""
 
 
@@ -477,7 +477,7 @@ def d1_numeric_drift(spark, d):
     ["js_distance", "chi2_statistic"], 6))
 def d2_categorical_drift(spark, d):
     ref, cur = _periods(spark, d)
-    return rounded(D.categorical_drift(ref, cur, CAT_DRIFT_COLS, with_p_value=False), 6)
+    return rounded(D.categorical_drift(ref, cur, CAT_DRIFT_COLS, method="jensenshannon", with_p_value=False), 6)
 
 
 @register("d2_categorical_drift_p_value")
@@ -496,7 +496,7 @@ def d2_categorical_drift_p_value(spark, d):
 def d3_dataset_drift(spark, d):
     ref, cur = _periods(spark, d)
     num = D.numeric_drift(ref, cur, NUM_DRIFT_COLS)
-    cat = D.categorical_drift(ref, cur, CAT_DRIFT_COLS, with_p_value=False)
+    cat = D.categorical_drift(ref, cur, CAT_DRIFT_COLS, method="jensenshannon", with_p_value=False)
     return rounded(D.dataset_drift(num, cat))
 
 

@@ -87,7 +87,7 @@ def m4_logistic(spark, d):
 def m5_forest(spark, d):
     model = _forest(spark, d)
     test = _split(base(spark, d)).where(F.col("split") == "test")
-    scored = model.transform(M.assemble(test, REG_FEATURES))
+    scored = M.score_rows(model, test, REG_FEATURES)
     return V.regression_metrics(scored, "price", "prediction")
 
 
@@ -95,7 +95,7 @@ def m5_forest(spark, d):
 def m6_boosting(spark, d):
     model = _gbt(spark, d)
     test = _split(labelled(spark, d)).where(F.col("split") == "test")
-    scored = model.transform(M.assemble(test, CLS_FEATURES))
+    scored = M.score_rows(model, test, CLS_FEATURES)
     return V.binary_metrics(scored.withColumn("prediction", F.col("prediction").cast("int")), "below_market",
                             "prediction")
 
@@ -110,7 +110,7 @@ def m10_score_batch(spark, d):
 @register("m11_class_probability")
 def m11_class_probability(spark, d):
     test = _split(labelled(spark, d)).where(F.col("split") == "test")
-    scored = _gbt(spark, d).transform(M.assemble(test, CLS_FEATURES))
+    scored = M.score_rows(_gbt(spark, d), test, CLS_FEATURES)
     return M.class_probability(scored, "probability_below_market").select("transaction_id",
                                                                           "probability_below_market")
 
@@ -215,7 +215,7 @@ def x3_compare_models(spark, d):
     parts = []
     for name, model, feats in (("full", full, REG_FEATURES), ("light", light, light_feats)):
         for role, part in (("train", train), ("test", test)):
-            s = model.transform(M.assemble(part, feats)).select("price", "prediction")
+            s = M.score_rows(model, part, feats).select("price", "prediction")
             parts.append(s.withColumn("model", F.lit(name)).withColumn("role", F.lit(role)))
     allp = parts[0]
     for p in parts[1:]:
@@ -244,7 +244,7 @@ def x5_tree_attributions(spark, d):
 @register("x5_attribution_check")
 def x5_attribution_check(spark, d):
     attr, test = _attributions(spark, d)
-    scored = _forest(spark, d).transform(M.assemble(test, REG_FEATURES))
+    scored = M.score_rows(_forest(spark, d), test, REG_FEATURES)
     chk = X.attribution_check(attr, scored, "transaction_id")
     return chk.agg(F.count(F.lit(1)).alias("n"), F.max("abs_diff").alias("max_abs_diff"))
 
@@ -279,9 +279,9 @@ def _periods_scored(spark, d):
     champion = M.boosting(ref, "below_market", CLS_FEATURES, "classification", iters=10, depth=4)
     challenger = M.boosting(ref, "below_market", CLS_FEATURES[:3], "classification", iters=10, depth=4)
     later = lab.where(F.col("period") != "pre")
-    a = champion.transform(M.assemble(later, CLS_FEATURES)).withColumn(
+    a = M.score_rows(champion, later, CLS_FEATURES).withColumn(
         "champion", F.col("prediction").cast("int")).drop("prediction", "features", "rawPrediction", "probability")
-    b = challenger.transform(M.assemble(a, CLS_FEATURES[:3])).withColumn(
+    b = M.score_rows(challenger, a, CLS_FEATURES[:3]).withColumn(
         "challenger", F.col("prediction").cast("int")).drop("prediction", "features", "rawPrediction", "probability")
     return b
 

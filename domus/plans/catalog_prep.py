@@ -105,14 +105,14 @@ def q1_prepare_transactions(spark, d):
 
 # ---------------------------------------------------------------- S: sources / sinks
 @register("s1_read_table", oracle(
-    "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'",
+    "SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders",
     [], ["o_totalprice"]))
 def s1_read_table(spark, d):
     from domus.sources.io import read_table
 
     df = read_table(spark, f"{d}/orders.parquet",
                     columns=["o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"])
-    return rounded(df.where(F.col("o_orderstatus") == "F").drop("o_orderstatus"))
+    return rounded(df)
 
 
 @register("s2_read_csv", oracle(

@@ -50,8 +50,8 @@ def get_spark(
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the setting is absent (local runs, tests) a private folder under
-    the system temp directory is created and registered.
+    Only in local mode without the setting (tests) a private folder under the
+    system temp directory is used; on a cluster the setting is required.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
@@ -64,8 +64,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="domus-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
     return local
 

@@ -59,7 +59,7 @@ def test_confident_errors_and_binned_profile(spark):
     df = spark.createDataFrame([(1, 0, 0.05), (1, 0, 0.3), (0, 1, 0.95), (0, 1, 0.6), (1, 1, 0.99)],
                                "y int, p int, s double")
     out = sorted((r["error_type"], r["s"]) for r in V.confident_errors(df, "y", "p", "s").collect())
-    assert out == [("FN", 0.05), ("FP", 0.95)]
+    assert out == [("false_negative", 0.05), ("false_positive", 0.95)]
     prof = V.binned_profile(spark.createDataFrame([(float(i), float(i % 2)) for i in range(10)], "x double, y double"),
                             "x", "y", 2).orderBy("bin").collect()
     assert [r["n"] for r in prof] == [5, 5] and prof[0]["mean"] == 0.4
@@ -148,11 +148,11 @@ def test_salted_join_equals_plain_join(spark):
 
 def test_small_side_broadcasts_only_proven_small_sides(spark):
     small = spark.createDataFrame([(i, str(i)) for i in range(10)], "k int, v string")
-    assert J._is_broadcast(J.small_side(small))
+    assert J.sized_side(small)[1]
     spark.conf.set("domus.broadcast.maxRows", "5")
     spark.conf.set("domus.broadcast.maxBytes", "64")
     try:
-        assert not J._is_broadcast(J.small_side(spark.range(100).withColumnRenamed("id", "k")))
+        assert not J.sized_side(spark.range(100).withColumnRenamed("id", "k"))[1]
     finally:
         spark.conf.unset("domus.broadcast.maxRows")
         spark.conf.unset("domus.broadcast.maxBytes")
