@@ -49,9 +49,10 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
+def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES, rows: int | None = None):
     """Yield (first row, row count, bytes, offsets) of consecutive rows whose
-    text takes about ``limit`` bytes; null counts as empty."""
+    text takes about ``limit`` bytes, ``rows`` rows at most if given; null
+    counts as empty."""
     col = batch.column(column)
     arr = col.cast(pa.large_binary())
     if arr.null_count:
@@ -64,7 +65,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
     i = 0
     while i < n:
         j = int(np.searchsorted(offs, offs[i] + limit, side="right")) - 1
-        j = min(max(j, i + 1), n)
+        j = min(max(j, i + 1), n if rows is None else min(n, i + rows))
         yield i, j - i, data[offs[i]:offs[j]], (offs[i:j + 1] - offs[i])
         i = j
 

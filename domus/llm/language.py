@@ -30,6 +30,7 @@ CLUSTERS = 3
 ROUNDS = 8
 BANDS = 8  # text length bands: below 16, 32, 64 ... bytes
 SLACK = 1.15
+SLICE_ROWS = 128  # rows of a dense count matrix (DIMS wide), however short the texts
 
 _FOLD = np.arange(256, dtype=np.uint32)
 _FOLD[:0x80] = 0x20
@@ -83,7 +84,7 @@ def document_frequencies(docs: DataFrame) -> tuple:
     def run(batches):
         total, n = np.zeros(DIMS, np.int64), 0
         for b in batches:
-            for _, k, data, offs in slices(b, "text"):
+            for _, k, data, offs in slices(b, "text", rows=SLICE_ROWS):
                 total += (gram_counts(data, offs) > 0).sum(axis=0)
                 n += k
         if n:
@@ -135,7 +136,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE_PER_LANG, clusters: int = CLUSTERS
         rows = rows.sort_by([("h", "ascending"), ("text", "ascending")]).combine_chunks()
         parts, sizes = [], []
         for b in rows.to_batches():
-            for _, _, data, offs in slices(b, "text"):
+            for _, _, data, offs in slices(b, "text", rows=SLICE_ROWS):
                 parts.append(vectors(gram_counts(data, offs), idf))
                 sizes.append(np.diff(offs))
         x, size = np.concatenate(parts), np.concatenate(sizes)
@@ -178,7 +179,7 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
             rejected = np.ones(b.num_rows, bool)
             lettered = np.array(b.column(b.num_columns - 1).to_pylist(), bool)
             if len(langs) > 1:
-                for i, n, data, offs in slices(b, "text"):
+                for i, n, data, offs in slices(b, "text", rows=SLICE_ROWS):
                     s = vectors(gram_counts(data, offs), m["idf"]) @ m["centres"].T
                     best = s.argmax(axis=1)
                     top = np.clip(s[np.arange(n), best].astype(float), 0, 1)
