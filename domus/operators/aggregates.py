@@ -270,10 +270,10 @@ def best_by(df: DataFrame, keys: list[str], metric: str, tie: str | None = None)
 
 
 # O6 -------------------------------------------------------------------------
-def sample_rows(df: DataFrame, n: int, id_col: str, seed: int = 42) -> DataFrame:
-    """n rows picked by a seeded hash of the id (stable under repartition);
-    the limit is the feature (a sample)."""
-    h = F.xxhash64(F.col(id_col), F.lit(seed))
+def sample_rows(df: DataFrame, n: int, id_col: str, seed: int = 42, pick=None) -> DataFrame:
+    """n rows picked by a seeded hash of the id (stable under repartition), or
+    by the column ``pick``; the limit is the feature (a sample)."""
+    h = F.xxhash64(F.col(id_col), F.lit(seed)) if pick is None else pick
     return df.withColumn("_h", h).orderBy("_h", id_col).limit(n).drop("_h")
 
 

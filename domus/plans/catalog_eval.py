@@ -279,11 +279,11 @@ def v11_prediction_type(spark, d):
     f"""SELECT prediction_type, CAST(least(greatest(floor((score - lo) / w), 0), 9) AS INT) AS bin, count(*) AS count
         FROM (SELECT *, {PTYPE_SQL} AS prediction_type FROM scored_binary) s,
              (SELECT min(score) AS lo, (max(score) - min(score)) / 10 AS w FROM
-                (SELECT score, {PTYPE_SQL} AS pt FROM scored_binary) WHERE pt <> 'TN' AND score IS NOT NULL)
-        WHERE prediction_type <> 'TN' AND score IS NOT NULL GROUP BY 1, 2""", ["scored_binary"]))
+                (SELECT score, {PTYPE_SQL} AS pt FROM scored_binary) WHERE pt <> 'true_negative' AND score IS NOT NULL)
+        WHERE prediction_type <> 'true_negative' AND score IS NOT NULL GROUP BY 1, 2""", ["scored_binary"]))
 def v12_histogram(spark, d):
     sb = fx.scored_binary(spark, d).withColumn("prediction_type", V.prediction_type("y", "prediction"))
-    return V.histogram(sb, "score", 10, by=["prediction_type"], where=F.col("prediction_type") != "TN")
+    return V.histogram(sb, "score", 10, by=["prediction_type"], where=F.col("prediction_type") != "true_negative")
 
 
 @register("v13_compare_distributions", oracle(

@@ -558,8 +558,7 @@ def o6_sample_rows(spark, d):
     from domus.operators.splits import portable_hash
 
     b = base(spark, d).select("transaction_id", "price")
-    out = b.withColumn("_h", portable_hash("transaction_id", 0)).orderBy("_h", "transaction_id").limit(100)
-    return rounded(out.drop("_h"))
+    return rounded(A.sample_rows(b, 100, "transaction_id", pick=portable_hash("transaction_id", 0)))
 
 
 @register("o6_sample_columns", oracle(
