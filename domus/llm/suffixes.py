@@ -5,7 +5,12 @@ anywhere else, in the same document or another.  Every window of LENGTH bytes
 has an anchor, its ``GRAM``-byte string with the smallest hash (the leftmost of
 equals); equal windows have equal anchors at equal offsets.  Anchors that stand
 once in the corpus are dropped; the rest meet in buckets with the bytes of the
-windows they stand for.  In a bucket, the suffixes that start at one anchor's
+windows they stand for, each distinct string once per block with a flag whether
+it stands twice there.  An anchor with more than ``HOT_STRINGS`` strings (a
+passage in many surroundings) is split by its windows instead: a 128-bit
+fingerprint of every distinct window of a block goes to a bucket of its own, so
+no bucket holds all strings of an anchor and the result is the same.  In a
+bucket, the suffixes that start at one anchor's
 occurrences are put in suffix-array order by deep-shallow sorting: multikey
 quicksort on ``STEP``-byte characters down to a shallow depth, then a blind
 trie per remaining group of long common prefixes, which also gives the lengths
@@ -26,12 +31,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from domus.llm import blocks as B
-from domus.llm.common import _byte_values, _powers, mix64, table, within_ranges
+from domus.llm.common import _byte_values, _powers, _span_sums, mix64, table, within_ranges
 
 LENGTH = 400
 GRAM = 160
 STEP = 8
 SHALLOW = 32
+HOT_STRINGS = 4096  # strings of one anchor, over all blocks, that are sorted in one task
+WINDOW_BUCKETS = 4  # buckets of window fingerprints for each bucket of anchors
 _POS_BITS = 24
 
 
@@ -219,42 +226,134 @@ def repeated_starts(texts: list, lefts: np.ndarray, counts: np.ndarray, length:
     return np.split(flat, base[1:])
 
 
+def span_prints(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple:
+    """Two 64-bit hashes of every span's bytes."""
+    return tuple(mix64(_span_sums(_byte_values(k)[data], starts, ends, k)) for k in (0, 1))
+
+
+def changes(*cols: np.ndarray) -> np.ndarray:
+    """Where a row of sorted columns differs from the one before (the first does)."""
+    out = np.zeros(len(cols[0]), bool)
+    out[:1] = True
+    for c in cols:
+        out[1:] |= c[1:] != c[:-1]
+    return out
+
+
 class _Anchors:
-    """What a block's passes compute alike."""
+    """What a block's passes compute alike.  An entry is a distinct (anchor
+    hash, offset of the anchor, string) of the block."""
 
     def __init__(self, rows: pa.Table, buckets: int, length: int, gram: int):
         self.ids, self.data, self.offs = B.unpack(rows)
-        self.length = length
+        self.length, self.buckets = length, buckets
         parts = []
         for k, part, o in B.sub_slices(self.data, self.offs):
             p, h, a, b = window_anchors(part, o, length, gram)
             base = self.offs[k]
-            parts.append((p + base, h, a + base, b + base))
-        self.pos, self.hash, self.first, self.last = (np.concatenate(x) for x in zip(*parts, strict=True))
-        h, flag = B.distinct_with_flag(self.hash, None)
-        self.distinct = h
-        self.rows, self.sizes, self.order = B.send_distinct(h, flag, buckets)
-
-    def seeded(self, answer: pa.Table, buckets: int) -> None:
-        """Keep the anchors that stand twice in the corpus, by bucket."""
-        flags = np.empty(len(self.distinct), bool)
-        flags[self.order] = B.read_bits(answer, 1, self.sizes)
-        keep = np.flatnonzero(flags[np.searchsorted(self.distinct, self.hash)]) if len(self.distinct) else np.zeros(0, np.int64)
-        bucket = B.bucket_of(self.hash[keep], buckets)
+            parts.append((p + base, h, a + base, b + base, *span_prints(part, a, b + length)))
+        pos, anchor, self.first, self.last, x, y = (np.concatenate(c) for c in zip(*parts, strict=True))
+        left, n = pos - self.first, self.last - self.first + 1
+        order = np.lexsort((y, x, n, left, anchor))
+        h = anchor[order]
+        top, new = changes(h), changes(h, left[order], n[order], x[order], y[order])
+        self.entry = np.empty(len(h), np.int64)
+        self.entry[order] = np.cumsum(new) - 1
+        at = np.flatnonzero(new)
+        self.own = order[at]  # an occurrence of every entry
+        self.twice = np.diff(np.append(at, len(h))) > 1
+        self.anchor = (np.cumsum(top) - 1)[at]
+        self.distinct, self.left, self.n = h[top], left[self.own], n[self.own]
+        # 0: stands once; else 1 + the logarithm of the number of its strings
+        start = np.flatnonzero(top)
+        kinds = np.bincount(self.anchor, minlength=len(start))
+        flag = np.where(np.diff(np.append(start, len(h))) > 1, 1 + np.ceil(np.log2(np.maximum(kinds, 1))), 0).astype(np.uint8)
+        self.rows, self.sizes, self.order = B.send_distinct(self.distinct, flag, buckets)
+
+    def seeded(self, answer: pa.Table) -> None:
+        """Entries of anchors that stand twice in the corpus, by bucket; of hot anchors the distinct windows."""
+        flags = np.zeros((2, len(self.distinct)), bool)
+        for row, stage in zip(flags, (1, 3), strict=True):
+            row[self.order] = B.read_bits(answer, stage, self.sizes)
+        shared, hot = flags[0][self.anchor], flags[1][self.anchor]
+        keep = np.flatnonzero(shared & ~hot)
+        bucket = B.bucket_of(self.distinct[self.anchor[keep]], self.buckets)
         order = np.argsort(bucket, kind="stable")
         self.keep, self.bucket = keep[order], bucket[order]
+        own = np.flatnonzero(hot[self.entry])
+        self.windows = np.sort(within_ranges(self.first[own], self.last[own] - self.first[own] + 1))
+        parts = [(np.zeros(0, np.uint64),) * 2]
+        if len(own):
+            for k, part, o in B.sub_slices(self.data, self.offs):
+                lo, hi = np.searchsorted(self.windows, [self.offs[k], self.offs[k] + len(part)])
+                at = self.windows[lo:hi] - self.offs[k]
+                parts.append(span_prints(part, at, at + self.length))
+        x, y = (np.concatenate(c) for c in zip(*parts, strict=True))
+        bucket = B.bucket_of(x, WINDOW_BUCKETS * self.buckets)
+        order = np.lexsort((y, x, bucket))
+        new = changes(x[order], y[order])
+        self.print_of = np.empty(len(x), np.int64)
+        self.print_of[order] = np.cumsum(new) - 1
+        at = np.flatnonzero(new)
+        self.prints = x[order][at], y[order][at], (np.diff(np.append(at, len(x))) > 1).astype(np.uint8)
+        self.print_bucket = bucket[order][at] + self.buckets
 
     def send_strings(self) -> list:
         rows = []
         raw = self.data.tobytes()
         for k, lo, hi in B.by_bucket(self.bucket):
             own = self.keep[lo:hi]
-            head = np.array([hi - lo], np.int64).tobytes() + self.hash[own].tobytes()
-            head += (self.pos[own] - self.first[own]).astype(np.int32).tobytes() + (self.last[own] - self.first[own] + 1).astype(np.int32).tobytes()
-            body = b"".join([raw[a:b + self.length] for a, b in zip(self.first[own].tolist(), self.last[own].tolist(), strict=True)])
+            head = np.array([hi - lo], np.int64).tobytes() + self.distinct[self.anchor[own]].tobytes()
+            head += self.left[own].astype(np.int32).tobytes() + self.n[own].astype(np.int32).tobytes() + self.twice[own].astype(np.uint8).tobytes()
+            at = self.first[self.own[own]]
+            body = b"".join([raw[a:b] for a, b in zip(at.tolist(), (at + self.n[own] + self.length - 1).tolist(), strict=True)])
             rows.append((k, B.compress(head + body)))
+        for k, lo, hi in B.by_bucket(self.print_bucket):
+            rows.append((k, b"".join(c[lo:hi].tobytes() for c in self.prints)))
         return rows
 
+    def repeated(self, answer: pa.Table) -> np.ndarray:
+        """Starts of the windows that stand twice in the corpus."""
+        n = self.n[self.keep]
+        bits = B.read_bits(answer, 2, [(k, int(n[lo:hi].sum())) for k, lo, hi in B.by_bucket(self.bucket)])
+        base = np.full(len(self.own), -1)
+        base[self.keep] = np.cumsum(n) - n
+        own = np.flatnonzero(base[self.entry] >= 0) if len(self.entry) else np.zeros(0, np.int64)
+        count = self.last[own] - self.first[own] + 1
+        hit = within_ranges(self.first[own], count)[bits[within_ranges(base[self.entry[own]], count)]]
+        found = B.read_bits(answer, 4, [(k, hi - lo) for k, lo, hi in B.by_bucket(self.print_bucket)])
+        return np.concatenate([hit, self.windows[found[self.print_of]]])
+
+
+def anchor_flags(rows: pa.Table) -> pa.Table:
+    """Stage 1: whether an anchor stands twice; stage 3: whether it may have more than HOT_STRINGS strings."""
+    blobs = rows.column("blob").to_pylist()
+    sizes = [len(x) // 9 for x in blobs]
+    h = np.concatenate([np.frombuffer(x, np.uint64, n) for x, n in zip(blobs, sizes, strict=True)])
+    flag = np.concatenate([np.frombuffer(x, np.uint8, n, 8 * n) for x, n in zip(blobs, sizes, strict=True)])
+    order = np.argsort(h, kind="stable")
+    first = changes(h[order])
+    strings = np.int64(1) << np.maximum(flag[order].astype(np.int64) - 1, 0)
+    hot = np.empty(len(h), bool)
+    hot[order] = (np.add.reduceat(strings, np.flatnonzero(first)) > HOT_STRINGS)[np.cumsum(first) - 1]
+    hot = [np.packbits(x).tobytes() for x in np.split(hot, np.cumsum(sizes)[:-1])]
+    return pa.concat_tables([B.shared_flags(rows, 1), B.answers(rows, 3, hot)])
+
+
+def window_repeats(rows: pa.Table) -> pa.Table:
+    """Whether window fingerprints are flagged or stand in two blocks."""
+    blobs = rows.column("blob").to_pylist()
+    sizes = [len(x) // 17 for x in blobs]
+    x, y, flag = (np.concatenate([np.frombuffer(b, kind, n, at * n) for b, n in zip(blobs, sizes, strict=True)])
+                  for kind, at in ((np.uint64, 0), (np.uint64, 8), (np.uint8, 16)))
+    order = np.lexsort((y, x))
+    first = changes(x[order], y[order])
+    start = np.flatnonzero(first)
+    many = (np.diff(np.append(start, len(x))) > 1) | (np.maximum.reduceat(flag[order], start) > 0)
+    out = np.empty(len(x), bool)
+    out[order] = many[np.cumsum(first) - 1]
+    return B.answers(rows, 4, [np.packbits(p).tobytes() for p in np.split(out, np.cumsum(sizes)[:-1])])
+
 
 def _pairs(texts: list, lefts: np.ndarray, counts: np.ndarray, first: np.ndarray, second: np.ndarray, length: int, out: list) -> None:
     """Anchors with two occurrences: the longest agreement to either side gives
@@ -274,7 +373,7 @@ def _pairs(texts: list, lefts: np.ndarray, counts: np.ndarray, first: np.ndarray
 
 
 def bucket_repeats(rows: pa.Table, length: int) -> pa.Table:
-    hashes, lefts, counts, texts, sizes = [], [], [], [], []
+    hashes, lefts, counts, twice, texts, sizes = [], [], [], [], [], []
     for blob in rows.column("blob").to_pylist():
         raw = B.decompress(blob)
         n = int(np.frombuffer(raw, np.int64, 1)[0])
@@ -282,9 +381,10 @@ def bucket_repeats(rows: pa.Table, length: int) -> pa.Table:
         left, count = np.frombuffer(raw, np.int32, n, 8 + 8 * n), np.frombuffer(raw, np.int32, n, 8 + 12 * n)
         lefts.append(left)
         counts.append(count)
+        twice.append(np.frombuffer(raw, np.uint8, n, 8 + 16 * n))
         sizes.append(n)
-        ends = 8 + 16 * n + np.cumsum(count + (length - 1))
-        texts += [raw[a:b] for a, b in zip(np.concatenate([[8 + 16 * n], ends[:-1]]).tolist(), ends.tolist(), strict=True)]
+        ends = 8 + 17 * n + np.cumsum(count + (length - 1))
+        texts += [raw[a:b] for a, b in zip(np.concatenate([[8 + 17 * n], ends[:-1]]).tolist(), ends.tolist(), strict=True)]
     h, lefts, counts = np.concatenate(hashes), np.concatenate(lefts).astype(np.int64), np.concatenate(counts).astype(np.int64)
     order = np.argsort(h, kind="stable")
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(h[order])) + 1, [len(h)]])
@@ -306,6 +406,8 @@ def bucket_repeats(rows: pa.Table, length: int) -> pa.Table:
         for k, f in zip(keys, found, strict=True):
             for i in group[k]:
                 flags[i] = np.ones_like(f) if len(group[k]) > 1 else f
+    for i in np.flatnonzero(np.concatenate(twice)).tolist():
+        flags[i] = np.ones(int(counts[i]), bool)
     out, at = [], 0
     for n in sizes:
         out.append(np.packbits(np.concatenate(flags[at:at + n])).tobytes() if n else b"")
@@ -324,17 +426,15 @@ def drop_repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM)
 
     def strings(key, rows, answer):
         w = _Anchors(rows, buckets, length, gram)
-        w.seeded(answer, buckets)
+        w.seeded(answer)
         return B.sent(key[0].as_py(), w.send_strings())
 
     run_type = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
 
     def finish(key, rows, answer):
         w = _Anchors(rows, buckets, length, gram)
-        w.seeded(answer, buckets)
-        n_windows = (w.last - w.first + 1)[w.keep]
-        sizes = [(k, int(n_windows[lo:hi].sum())) for k, lo, hi in B.by_bucket(w.bucket)]
-        hit = within_ranges(w.first[w.keep], n_windows)[B.read_bits(answer, 2, sizes)]
+        w.seeded(answer)
+        hit = w.repeated(answer)
         step = np.zeros(len(w.data) + 1, np.int32)
         np.add.at(step, hit, 1)
         np.add.at(step, hit + length, -1)
@@ -357,9 +457,10 @@ def drop_repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM)
                          "spans": pa.array(spans, run_type)})
 
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, spans array<struct<first:long,last:long>>"
-    seeds = texts.groupBy("block").applyInArrow(anchors, B.SENT).groupBy("bucket").applyInArrow(lambda t: B.shared_flags(t, 1), B.ANSWER)
+    seeds = texts.groupBy("block").applyInArrow(anchors, B.SENT).groupBy("bucket").applyInArrow(anchor_flags, B.ANSWER)
     found = texts.groupBy("block").cogroup(seeds.groupBy("block")).applyInArrow(strings, B.SENT)
-    repeats = found.groupBy("bucket").applyInArrow(lambda t: bucket_repeats(t, length), B.ANSWER)
+    repeats = found.groupBy("bucket").applyInArrow(
+        lambda key, t: bucket_repeats(t, length) if key[0].as_py() < buckets else window_repeats(t), B.ANSWER)
     return texts.groupBy("block").cogroup(seeds.unionByName(repeats).groupBy("block")).applyInArrow(finish, out)
 
 

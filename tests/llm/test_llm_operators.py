@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pytest
 
 from domus.llm import bpe, common, decontaminate, jaccard, language, licenses, secrets, substrings, suffixes, token_files, topk
@@ -195,6 +196,68 @@ def test_suffixes(docs_of, plain_rows, monkeypatch):
     assert run(monkeypatch, suffixes, suffixes.op8_suffixes, {"documents": docs_of(rows).limit(0)}) == []
 
 
+def removed_400(rows):
+    raw = [(i, t.encode()) for i, t in rows]
+    seen = {}
+    for _, t in raw:
+        for a in range(len(t) - 399):
+            seen[t[a:a + 400]] = seen.get(t[a:a + 400], 0) + 1
+    return sorted((i, len({c for a in range(len(t) - 399) if seen[t[a:a + 400]] > 1 for c in range(a, a + 400)})) for i, t in raw)
+
+
+def suffix_passes(rows, length=400, gram=160, buckets=1, blocks=4):
+    """The operator's passes over ``blocks`` blocks, in this process: removed bytes of every document, and the groups' inputs."""
+    B = suffixes.B
+    tables = []
+    for k in range(blocks):
+        own = [(i, t.encode()) for i, t in rows[k::blocks]]
+        tables.append(pa.table({"block": [str(k)], "ids": pa.array([np.array([i for i, _ in own], np.int64).tobytes()], pa.binary()),
+                                "offsets": pa.array([np.cumsum([0, *(len(t) for _, t in own)]).astype(np.int64).tobytes()], pa.binary()),
+                                "payload": pa.array([B.compress(b"".join(t for _, t in own))], pa.binary())}))
+    made = [suffixes._Anchors(t, buckets, length, gram) for t in tables]
+    groups = lambda sent: [(b, sent.filter(pa.compute.equal(sent["bucket"], b))) for b in sorted(set(sent["bucket"].to_pylist()))]
+    of = lambda answer, k: answer.filter(pa.compute.equal(answer["block"], str(k)))
+    seeds = pa.concat_tables([suffixes.anchor_flags(t) for _, t in groups(pa.concat_tables([B.sent(str(k), w.rows) for k, w in enumerate(made)]))])
+    for k, w in enumerate(made):
+        w.seeded(of(seeds, k))
+    sent = groups(pa.concat_tables([B.sent(str(k), w.send_strings()) for k, w in enumerate(made)]))
+    answer = pa.concat_tables([suffixes.bucket_repeats(t, length) if b < buckets else suffixes.window_repeats(t) for b, t in sent])
+    out = []
+    for k, w in enumerate(made):
+        gone = np.zeros(len(w.data), bool)
+        for a in w.repeated(of(answer, k)).tolist():
+            gone[a:a + length] = True
+        out += [(int(i), int(gone[a:b].sum())) for i, a, b in zip(w.ids, w.offs[:-1], w.offs[1:], strict=True)]
+    return sorted(out), sent
+
+
+def test_suffixes_hot_anchors(monkeypatch):
+    import random
+
+    rng = random.Random(7)
+    text = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage, copy = text(430), text(900)
+    rows = [(i, text(rng.randrange(300)) + passage + text(rng.randrange(300))) for i in range(60)]
+    rows += [(100 + i, copy) for i in range(60)] + [(200, "a" * 5000), (201, "xyz" * 900), (202, text(800))]
+    monkeypatch.setattr(suffixes, "HOT_STRINGS", 16)
+    got, sent = suffix_passes(rows)
+    assert got == removed_400(rows)
+    strings = 0
+    for bucket, t in sent:
+        if bucket == 0:
+            h, size = [], 0
+            for blob in t["blob"].to_pylist():
+                raw = suffixes.B.decompress(blob)
+                size += len(raw)
+                h += np.frombuffer(raw, np.uint64, int(np.frombuffer(raw, np.int64, 1)[0]), 8).tolist()
+            strings = max(h.count(x) for x in set(h))
+            assert size < 100_000  # copies and periods reach a bucket once per block
+    assert 0 < strings <= 16
+    assert any(bucket > 0 for bucket, _ in sent)  # the passage in many surroundings goes by its windows
+    monkeypatch.setattr(suffixes, "HOT_STRINGS", 1 << 40)
+    assert suffix_passes(rows)[0] == got
+
+
 def brute_components(rows, gram, percent):
     sets = []
     for i, t in rows:
