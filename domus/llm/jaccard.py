@@ -173,9 +173,10 @@ class _Sets:
     def regions(self, answer: pa.Table):
         """(document, pivot doc_id) pairs, distinct."""
         have = {r["bucket"]: r["bits"] for r in answer.to_pylist() if r["stage"] == 2}
-        pivots = [np.frombuffer(have[k], np.int64) for k, _ in self.s_sizes]
-        pivot = (np.concatenate(pivots) if pivots else np.zeros(0, np.int64))[np.cumsum(self.first) - 1]
-        shared = pivot >= 0
+        pivots = [np.frombuffer(have[k], np.int64, n) for k, n in self.s_sizes]
+        flags = [np.unpackbits(np.frombuffer(have[k], np.uint8, offset=8 * n), count=n).astype(bool) for k, n in self.s_sizes]
+        pivot, shared = (np.concatenate(x)[np.cumsum(self.first) - 1] if x else np.zeros(0, kind)
+                         for x, kind in ((pivots, np.int64), (flags, bool)))
         pairs = np.unique(np.stack([self.doc[shared], pivot[shared]], axis=1), axis=0) if shared.any() else np.zeros((0, 2), np.int64)
         return pairs[:, 0], pairs[:, 1]
 
@@ -197,7 +198,7 @@ def _class_heads(rows: pa.Table) -> pa.Table:
 
 
 def _pivots(rows: pa.Table) -> pa.Table:
-    """The smallest doc_id that makes a cut which two documents make; -1 for other cuts."""
+    """The smallest doc_id that makes a cut, and a bit per cut whether two documents make it."""
     sig, ids, many, sizes = [], [], [], []
     for x in rows.column("blob").to_pylist():
         n = len(x) // 17
@@ -212,9 +213,12 @@ def _pivots(rows: pa.Table) -> pa.Table:
     start = np.flatnonzero(first)
     least = np.minimum.reduceat(ids[order], start)
     shared = (np.maximum.reduceat(many[order], start) > 0) | (least != np.maximum.reduceat(ids[order], start))
-    out = np.empty(len(sig), np.int64)
-    out[order] = np.where(shared, least, -1)[np.cumsum(first) - 1]
-    return B.answers(rows, 2, [x.tobytes() for x in np.split(out, np.cumsum(sizes)[:-1])])
+    out, two = np.empty(len(sig), np.int64), np.empty(len(sig), bool)
+    group = np.cumsum(first) - 1
+    out[order], two[order] = least[group], shared[group]
+    cuts = np.cumsum(sizes)[:-1]
+    return B.answers(rows, 2, [np.where(f, x, 0).tobytes() + np.packbits(f).tobytes()
+                               for x, f in zip(np.split(out, cuts), np.split(two, cuts), strict=True)])
 
 
 def sketch(x: np.ndarray) -> np.ndarray:

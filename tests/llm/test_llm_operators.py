@@ -297,6 +297,33 @@ def test_jaccard(docs_of, plain_rows, monkeypatch, region_docs):
     assert run(monkeypatch, jaccard, jaccard.op9_jaccard, {"documents": docs_of(rows).limit(0)}) == []
 
 
+def near_copies(seed, sizes, copies):
+    """Texts of groups of near copies."""
+    import random
+
+    rng = random.Random(seed)
+    out = []
+    for n in sizes:
+        base = ["v%d" % rng.randrange(300) for _ in range(n)]
+        for _ in range(copies):
+            own = list(base)
+            own[rng.randrange(n)] = "v%d" % rng.randrange(300)
+            out.append(" ".join(own))
+    return out
+
+
+@pytest.mark.parametrize("region_docs", [4096, 4])
+def test_jaccard_negative_ids(docs_of, monkeypatch, region_docs):
+    texts = near_copies(4, (60, 90, 120), 8)
+    rows = [((-1) ** k * (1 << 62) + 7 * k if k % 3 else -1 - k, t) for k, t in enumerate(texts)]
+    monkeypatch.setattr(jaccard, "REGION_DOCS", region_docs)
+    want = brute_components(rows, 3, 90)
+    assert len({c for _, _, c in want if c < 0}) > 1 and any(i != c for i, _, c in want)
+    assert run(monkeypatch, jaccard, jaccard.op9_jaccard, {"documents": docs_of(rows)}) == want
+    kept = sorted(r["doc_id"] for r in jaccard.keep_one(docs_of(rows)).collect())
+    assert kept == sorted(i for i, _, c in brute_components(rows, 5, 80) if i == c)
+
+
 def test_decontaminate(spark, docs_of, plain_rows, monkeypatch):
     items = [(1, plain_rows[3][1][:120]), (2, "w1 W2"), (3, None), (4, "!!"), (5, plain_rows[5][1]), (5, plain_rows[5][1]), (12, "x")]
     pats = {}
