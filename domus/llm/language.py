@@ -3,8 +3,8 @@
 Texts become normalised TF-IDF vectors of hashed byte 2- and 3-grams (letters
 lower-cased, other ASCII characters as one blank).  Document frequencies come
 from every learning document.  For each language, spherical k-means over a
-sample of at most about ``SAMPLE_PER_LANG`` labelled documents (chosen by a
-hash of doc_id) gives ``CLUSTERS`` centroids; a text gets the language of the
+sample of ``SAMPLE_PER_LANG`` labelled documents (those with the smallest hashes
+of doc_id and text; all where there are fewer) gives ``CLUSTERS`` centroids; a text gets the language of the
 centroid with the highest cosine.  The distance of the sample to its own
 language's centroids, by bands of text length, sets the rejection limit: a
 text farther away than ``SLACK`` times the largest such distance is rejected
@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from domus.llm.common import slices, table
@@ -101,14 +101,22 @@ def document_frequencies(docs: DataFrame) -> tuple:
     return n, df
 
 
+def hash_limit(count: int, bound: int, least: int) -> int:
+    """Largest 64-bit hash that about 2 * ``bound`` of ``count`` rows do not exceed, and at least one row (hash ``least``) does not."""
+    return max(least, -(1 << 63) + (min(count, 2 * bound) << 64) // count - 1)
+
+
 def _sample(learn: DataFrame, bound: int) -> DataFrame:
-    """About ``bound`` rows of each language, by a hash of doc_id: the rate comes from the language's count."""
-    counts = {r["lang"]: r["count"] for r in learn.groupBy("lang").count().collect()}
+    """The ``bound`` rows of each language with the smallest hashes, or all its rows if it has fewer.  A limit from the
+    language's count leaves about twice as many rows to be ranked."""
+    h = F.xxhash64("doc_id", "text", F.lit("sample"))
+    counts = learn.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(h).alias("least")).collect()
     if not counts:
         return learn.select("lang", "text", F.lit(0).alias("h")).limit(0)
-    rate = F.create_map(*[x for k, c in counts.items() for x in (F.lit(k), F.lit(int(min(1.0, bound / c) * 1_000_000)))])
-    h = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000))
-    return learn.filter(h < F.element_at(rate, F.col("lang"))).select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
+    limit = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(hash_limit(r["n"], bound, r["least"])).cast("long"))])
+    near = learn.select("lang", "text", h.alias("h")).filter(F.col("h") <= F.element_at(limit, F.col("lang")))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
+    return near.withColumn("_rank", rank).filter(F.col("_rank") <= bound).drop("_rank")
 
 
 def spherical_kmeans(x: np.ndarray, k: int) -> np.ndarray:
