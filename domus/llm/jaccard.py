@@ -24,12 +24,16 @@ pivot differs by the radius at most (triangle inequality).  Regions of more
 than ``REGION_DOCS`` documents are joined in chunks with the same windows.
 
 Documents without words have an empty set and no links.  Null texts and null
-doc_ids are allowed (a null id counts as larger than any other); rows that
-repeat a doc_id are one node of the graph and each give a row.
+doc_ids are allowed (a null id counts as larger than any other).  A node of the
+graph is a distinct set, named (smallest doc_id, 128-bit fingerprint): rows that
+share a doc_id, or have none, are linked by their texts only, and each give a
+row.  One document of the corpus stands for each set.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -129,41 +133,45 @@ class _Sets:
         self.sets = block_sets(self.data, self.offs, gram)
         self.buckets = buckets
         fp = fingerprints(self.sets)
+        self.x, self.y = fp[:, 0].copy(), fp[:, 1].copy()
         self.sizes = np.array([len(x) for x in self.sets], np.int64)
-        self.full = np.flatnonzero(self.sizes > 0)
-        bucket = B.bucket_of(fp[self.full, 0], buckets)
-        order = np.argsort(bucket, kind="stable")
-        self.full, bucket, self.rows, self.f_sizes = self.full[order], bucket[order], [], []
-        for k, lo, hi in B.by_bucket(bucket):
-            own = self.full[lo:hi]
-            self.rows.append((k, fp[own, 0].tobytes() + fp[own, 1].tobytes() + self.ids[own].tobytes()))
+        full = np.flatnonzero(self.sizes > 0)
+        bucket = B.bucket_of(self.x[full], buckets)
+        # the documents by set, and one (the smallest doc_id) of each set
+        self.full = full[np.lexsort((self.ids[full], self.y[full], self.x[full], bucket))]
+        x, y = self.x[self.full], self.y[self.full]
+        new = np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])]) if len(full) else np.zeros(0, bool)
+        self.kind, self.heads, self.rows, self.f_sizes = np.cumsum(new) - 1, self.full[new], [], []
+        for k, lo, hi in B.by_bucket(B.bucket_of(self.x[self.heads], buckets)):
+            own = self.heads[lo:hi]
+            self.rows.append((k, self.x[own].tobytes() + self.y[own].tobytes() + self.ids[own].tobytes()))
             self.f_sizes.append((k, hi - lo))
 
-    def classes(self, answer: pa.Table) -> np.ndarray:
-        """The smallest doc_id with the same set, for every document."""
+    def classes(self, answer: pa.Table):
+        """The smallest doc_id with the same set, for every document; the documents that stand for their set in the corpus."""
         out = self.ids.copy()
         have = {r["bucket"]: r["bits"] for r in answer.to_pylist() if r["stage"] == 1}
-        at = 0
-        for k, n in self.f_sizes:
-            out[self.full[at:at + n]] = np.frombuffer(have[k], np.int64)
-            at += n
-        return out
+        if not self.f_sizes:
+            return out, np.zeros(0, np.int64)
+        least = np.concatenate([np.frombuffer(have[k], np.int64, n) for k, n in self.f_sizes])
+        mine = np.concatenate([np.unpackbits(np.frombuffer(have[k], np.uint8, offset=8 * n), count=n) for k, n in self.f_sizes])
+        out[self.full] = least[self.kind]
+        return out, np.sort(self.heads[mine.astype(bool)])
 
     def cuts(self, answer: pa.Table, bands: Bands) -> list:
-        """Distinct part cuts of the block's class heads, with the smallest doc_id of each, by bucket."""
-        heads = np.flatnonzero((self.classes(answer) == self.ids) & (self.sizes > 0))
+        """Distinct part cuts of the block's class heads, with the smallest fingerprint of each, by bucket."""
+        heads = self.classes(answer)[1]
         sigs = [part_cuts(self.sets[k], bands) for k in heads.tolist()]
         doc = np.repeat(heads, [len(s) for s in sigs])
         sig = np.concatenate(sigs) if sigs else np.zeros(0, np.uint64)
         bucket = B.bucket_of(sig, self.buckets)
-        order = np.lexsort((self.ids[doc], sig, bucket))
+        order = np.lexsort((self.x[doc], sig, bucket))
         self.sig, self.doc = sig[order], doc[order]
         bucket = bucket[order]
         self.first = np.concatenate([[True], self.sig[1:] != self.sig[:-1]]) if len(sig) else np.zeros(0, bool)
         start = np.flatnonzero(self.first)
-        least = self.ids[self.doc][start]
-        ends = np.concatenate([start[1:], [len(sig)]]) - 1
-        many = (self.ids[self.doc][ends] != least).astype(np.uint8) if len(start) else np.zeros(0, np.uint8)
+        least = self.x[self.doc][start]
+        many = (np.diff(np.append(start, len(sig))) > 1).astype(np.uint8)
         rows, self.s_sizes = [], []
         for k, lo, hi in B.by_bucket(bucket[start]):
             rows.append((k, self.sig[start[lo:hi]].tobytes() + least[lo:hi].tobytes() + many[lo:hi].tobytes()))
@@ -171,7 +179,7 @@ class _Sets:
         return rows
 
     def regions(self, answer: pa.Table):
-        """(document, pivot doc_id) pairs, distinct."""
+        """(document, region) pairs, distinct; a region's name is the first half of its pivot's fingerprint."""
         have = {r["bucket"]: r["bits"] for r in answer.to_pylist() if r["stage"] == 2}
         pivots = [np.frombuffer(have[k], np.int64, n) for k, n in self.s_sizes]
         flags = [np.unpackbits(np.frombuffer(have[k], np.uint8, offset=8 * n), count=n).astype(bool) for k, n in self.s_sizes]
@@ -182,6 +190,8 @@ class _Sets:
 
 
 def _class_heads(rows: pa.Table) -> pa.Table:
+    """The smallest doc_id of every set, and a bit for the one block that stands for it."""
+    rows = rows.sort_by("block")  # so that a repeated run chooses the same block
     cols, sizes = [[], [], []], []
     for x in rows.column("blob").to_pylist():
         n = len(x) // 24
@@ -192,19 +202,20 @@ def _class_heads(rows: pa.Table) -> pa.Table:
     order = np.lexsort((i, b, a))
     sa, sb = a[order], b[order]
     first = np.concatenate([[True], (sa[1:] != sa[:-1]) | (sb[1:] != sb[:-1])])
-    out = np.empty(len(a), np.int64)
-    out[order] = i[order][first][np.cumsum(first) - 1]
-    return B.answers(rows, 1, [x.tobytes() for x in np.split(out, np.cumsum(sizes)[:-1])])
+    out, mine = np.empty(len(a), np.int64), np.empty(len(a), bool)
+    out[order], mine[order] = i[order][first][np.cumsum(first) - 1], first
+    cuts = np.cumsum(sizes)[:-1]
+    return B.answers(rows, 1, [x.tobytes() + np.packbits(f).tobytes() for x, f in zip(np.split(out, cuts), np.split(mine, cuts), strict=True)])
 
 
 def _pivots(rows: pa.Table) -> pa.Table:
-    """The smallest doc_id that makes a cut, and a bit per cut whether two documents make it."""
+    """The smallest fingerprint that makes a cut, and a bit per cut whether two documents make it."""
     sig, ids, many, sizes = [], [], [], []
     for x in rows.column("blob").to_pylist():
         n = len(x) // 17
         sizes.append(n)
         sig.append(np.frombuffer(x, np.uint64, n))
-        ids.append(np.frombuffer(x, np.int64, n, 8 * n))
+        ids.append(np.frombuffer(x, np.uint64, n, 8 * n))
         many.append(np.frombuffer(x, np.uint8, n, 16 * n))
     sig, ids, many = np.concatenate(sig), np.concatenate(ids), np.concatenate(many)
     order = np.argsort(sig, kind="stable")
@@ -212,8 +223,8 @@ def _pivots(rows: pa.Table) -> pa.Table:
     first = np.concatenate([[True], s[1:] != s[:-1]])
     start = np.flatnonzero(first)
     least = np.minimum.reduceat(ids[order], start)
-    shared = (np.maximum.reduceat(many[order], start) > 0) | (least != np.maximum.reduceat(ids[order], start))
-    out, two = np.empty(len(sig), np.int64), np.empty(len(sig), bool)
+    shared = (np.maximum.reduceat(many[order], start) > 0) | (np.diff(np.append(start, len(s))) > 1)
+    out, two = np.empty(len(sig), np.uint64), np.empty(len(sig), bool)
     group = np.cumsum(first) - 1
     out[order], two[order] = least[group], shared[group]
     cuts = np.cumsum(sizes)[:-1]
@@ -317,18 +328,28 @@ def join_region(sets: list, percent: int, targets: int | None = None) -> np.ndar
                 comp[np.isin(comp, own)] = own.min()
 
 
-def _edges(ids: np.ndarray, comp: np.ndarray):
-    """(document, smallest id of its component) of documents that are not it."""
-    order = np.lexsort((ids, comp))
+_NODE = ("id", "x", "y")  # a set: its smallest doc_id and its fingerprint
+_EDGE = ", ".join(f"{v}_{c} long" for v in "ab" for c in _NODE)
+
+
+def _edges(nodes: list, comp: np.ndarray):
+    """The columns of (set, smallest set of its component) for sets that are not it."""
+    order = np.lexsort((*nodes[::-1], comp))
     c = comp[order]
     first = np.concatenate([[True], c[1:] != c[:-1]])
-    least = np.empty(len(ids), np.int64)
-    least[order] = ids[order][first][np.cumsum(first) - 1]
-    other = least != ids
-    return ids[other], least[other]
+    least = np.empty(len(comp), np.int64)
+    least[order] = order[first][np.cumsum(first) - 1]
+    other = np.flatnonzero(least != np.arange(len(comp)))
+    return [n[other] for n in nodes] + [n[least[other]] for n in nodes]
 
 
-_EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _edge_table(parts: list) -> pa.Table:
+    cols = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.zeros(0, np.int64)] * 6
+    return pa.table(dict(zip([f"{v}_{c}" for v in "ab" for c in _NODE], cols, strict=True)))
+
+
+def _nodes(rows: pa.Table) -> list:
+    return [rows.column(c).to_numpy() for c in _NODE]
 
 
 def region_edges(regions: DataFrame, large: DataFrame, gram: int, percent: int, buckets: int) -> DataFrame:
@@ -339,23 +360,20 @@ def region_edges(regions: DataFrame, large: DataFrame, gram: int, percent: int,
         return block_sets(np.frombuffer(b"".join(raws), np.uint8), np.cumsum([0, *map(len, raws)]).astype(np.int64), gram)
 
     def small(rows):
-        rows = rows.sort_by([("region", "ascending"), ("doc_id", "ascending")])
-        region, ids = rows.column("region").to_numpy(), rows.column("doc_id").to_numpy()
+        rows = rows.sort_by([("region", "ascending"), *((c, "ascending") for c in _NODE)])
+        region, nodes = rows.column("region").to_numpy(), _nodes(rows)
         payload = rows.column("payload")
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(region)) + 1, [len(region)]])
-        a, b = [], []
+        parts = []
         for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             if hi - lo > 1:
-                x, y = _edges(ids[lo:hi], join_region(unpack(payload.slice(lo, hi - lo).to_pylist()), percent))
-                a.append(x)
-                b.append(y)
-        return pa.Table.from_arrays([np.concatenate(x) if x else pa.array([], pa.int64()) for x in (a, b)], schema=_EDGE)
+                parts.append(_edges([n[lo:hi] for n in nodes], join_region(unpack(payload.slice(lo, hi - lo).to_pylist()), percent)))
+        return _edge_table(parts)
 
     key = F.pmod(F.xxhash64("region"), F.lit(buckets)).cast("int").alias("bucket")
     if large.isEmpty():
-        return regions.select(key, "region", "doc_id", "payload").groupBy("bucket").applyInArrow(small, "a long, b long")
-    rest = regions.join(large, "region", "left_anti").select(key, "region", "doc_id", "payload").groupBy("bucket").applyInArrow(
-        small, "a long, b long")
+        return regions.select(key, "region", *_NODE, "payload").groupBy("bucket").applyInArrow(small, _EDGE)
+    rest = regions.join(large, "region", "left_anti").select(key, "region", *_NODE, "payload").groupBy("bucket").applyInArrow(small, _EDGE)
     return rest.unionByName(large_region_edges(regions.join(large, "region"), unpack, percent))
 
 
@@ -363,48 +381,51 @@ def large_region_edges(rows: DataFrame, unpack, percent: int) -> DataFrame:
     """Regions of any size in chunks: distances to the pivot first, chunk by
     chunk; what the pivot links is one component.  Then every chunk of the other
     documents meets every chunk of the region."""
-    chunk = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("count") / F.lit(REGION_DOCS)).cast("long")).cast("int")
+    chunk = F.pmod(F.xxhash64("x"), F.ceil(F.col("count") / F.lit(REGION_DOCS)).cast("long")).cast("int")
     rows = rows.withColumn("n_chunks", F.ceil(F.col("count") / F.lit(REGION_DOCS)).cast("int"))
-    # the pivot (its region's name is its doc_id) goes to every chunk
-    own = rows.withColumn("chunk", chunk).select("region", "chunk", "n_chunks", "doc_id", "payload", F.lit(False).alias("pivot"))
-    pivot = rows.filter("doc_id = region").select("region", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("chunk"), "n_chunks",
-                                                  "doc_id", "payload", F.lit(True).alias("pivot"))
+    # the pivot (its region's name is the first half of its fingerprint) goes to every chunk
+    own = rows.withColumn("chunk", chunk).select("region", "chunk", "n_chunks", *_NODE, "payload", F.lit(False).alias("pivot"))
+    pivot = rows.filter("x = region").select("region", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("chunk"), "n_chunks",
+                                               *_NODE, "payload", F.lit(True).alias("pivot"))
 
     def measure(t):
-        t = t.sort_by([("pivot", "descending"), ("doc_id", "ascending")])
+        t = t.sort_by([("pivot", "descending"), *((c, "ascending") for c in _NODE)])
         sets = unpack(t.column("payload").to_pylist())
         r = Region(sets)
         common = r.common(0)
         near = linked(common, r.sizes, r.sizes[0], percent)
         keep = pa.array(~t.column("pivot").to_numpy())
         far = 1 - common / (r.sizes + r.sizes[0] - common)
+        for c in ("id", "y"):
+            t = t.append_column("pivot_" + c, pa.array(np.full(len(t), t.column(c)[0].as_py()), pa.int64()))
         return t.append_column("near", pa.array(near)).append_column("distance", pa.array(far)).filter(keep)
 
-    fields = "region long, chunk int, n_chunks int, doc_id long, payload binary, pivot boolean, near boolean, distance double"
+    fields = "region long, chunk int, n_chunks int, id long, x long, y long, payload binary, pivot boolean, " \
+             "pivot_id long, pivot_y long, near boolean, distance double"
     measured = materialise(own.unionByName(pivot).groupBy("region", "chunk").applyInArrow(measure, fields), "jaccard-measured")
-    star = measured.filter("near and doc_id != region").select(F.col("doc_id").alias("a"), F.col("region").alias("b"))
+    star = measured.filter("near and x != region").select(*(F.col(c).alias("a_" + c) for c in _NODE), F.col("pivot_id").alias("b_id"),
+                                                         F.col("region").alias("b_x"), F.col("pivot_y").alias("b_y"))
     # documents outside the radius, against the whole region
-    out = measured.filter("not near").select("region", "chunk", "doc_id", "payload", "n_chunks", "distance")
-    left = out.select("region", F.col("chunk").alias("u"), F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("v"), "doc_id", "payload",
+    out = measured.filter("not near").select("region", "chunk", *_NODE, "payload", "n_chunks", "distance")
+    left = out.select("region", F.col("chunk").alias("u"), F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("v"), *_NODE, "payload",
                       F.lit(0).alias("side"), "distance")
     spans = out.groupBy("region", F.col("chunk").alias("u")).agg(F.min("distance").alias("lo"), F.max("distance").alias("hi"))
     radius = 1 - percent / 100 + 1e-9
     right = measured.join(spans, "region").filter((F.col("distance") >= F.col("lo") - radius) & (F.col("distance") <= F.col("hi") + radius))
-    right = right.select("region", "u", F.col("chunk").alias("v"), "doc_id", "payload", F.when(F.col("near"), 1).otherwise(2).alias("side"), "distance")
+    right = right.select("region", "u", F.col("chunk").alias("v"), *_NODE, "payload", F.when(F.col("near"), 1).otherwise(2).alias("side"), "distance")
 
     def meet(t):
         # linked documents of the region's pivot first: they are one component
-        t = t.sort_by([("side", "ascending"), ("doc_id", "ascending")])
+        t = t.sort_by([("side", "ascending"), *((c, "ascending") for c in _NODE)])
         side = t.column("side").to_numpy()
         order = np.argsort(side != 1, kind="stable")
-        ids = t.column("doc_id").to_numpy()[order]
+        nodes = [c[order] for c in _nodes(t)]
         payload = t.column("payload").to_pylist()
         n = int((side == 1).sum())
         comp = join_region(unpack([payload[k] for k in order.tolist()]), percent, targets=n)
-        x, y = _edges(ids, comp)
-        return pa.Table.from_arrays([x, y], schema=_EDGE)
+        return _edge_table([_edges(nodes, comp)])
 
-    cross = left.unionByName(right).groupBy("region", "u", "v").applyInArrow(meet, "a long, b long")
+    cross = left.unionByName(right).groupBy("region", "u", "v").applyInArrow(meet, _EDGE)
     return star.unionByName(cross)
 
 
@@ -426,9 +447,9 @@ def components(edges: DataFrame) -> DataFrame:
             return label.withColumnRenamed("label", "component")
 
 
-def join_documents(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
-    """Per document: doc_id, n_shingles, class_id (smallest doc_id with an equal
-    set) and component_id (smallest doc_id reachable by links)."""
+def _components_of(docs: DataFrame, gram: int, percent: int, keys: bool = False) -> DataFrame:
+    """Per document: doc_id (NO_ID for null), n_shingles, class_id, component (the
+    smallest node reachable by links) and, if asked for, the MD5 of its text."""
     buckets = B.bucket_count(docs)
     bands = Bands(percent)
     texts = B.text_blocks(docs)
@@ -443,17 +464,21 @@ def join_documents(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) ->
         w = _Sets(rows, buckets, gram)
         w.cuts(answer, bands)
         doc, pivot = w.regions(answer)
-        heads = w.classes(answer)
+        least = w.classes(answer)[0]
         sketches = {k: sketch(w.sets[k]).tobytes() for k in np.unique(doc).tolist()}
         n, m = len(w.ids), len(doc)
-        return pa.table({"block": pa.array([key[0].as_py()] * (n + m)), "doc_id": np.concatenate([w.ids, w.ids[doc]]),
-                         "n_shingles": np.concatenate([w.sizes, w.sizes[doc]]), "class_id": np.concatenate([heads, w.ids[doc]]),
+        row = np.concatenate([np.arange(n), doc])
+        raw = w.data.tobytes() if keys else b""
+        md5 = [hashlib.md5(raw[a:b]).digest() if keys else None for a, b in zip(w.offs[:-1].tolist(), w.offs[1:].tolist(), strict=True)]
+        return pa.table({"block": pa.array([key[0].as_py()] * (n + m)), "row": row, "doc_id": w.ids[row], "n_shingles": w.sizes[row],
+                         "id": least[row], "x": w.x.view(np.int64)[row], "y": w.y.view(np.int64)[row],
                          "region": pa.array(np.concatenate([np.zeros(n, np.int64), pivot]), mask=np.arange(n + m) < n),
-                         "sketch": pa.array([None] * n + [sketches[k] for k in doc.tolist()], pa.binary())})
+                         "sketch": pa.array([None] * n + [sketches[k] for k in doc.tolist()], pa.binary()),
+                         "key": pa.array(md5 + [None] * m, pa.binary())})
 
     def possible(rows):
-        """(block, region, doc_id) of documents that may have a link in the region."""
-        rows = rows.sort_by([("region", "ascending"), ("doc_id", "ascending")])
+        """Documents that may have a link in the region."""
+        rows = rows.sort_by([("region", "ascending"), *((c, "ascending") for c in _NODE)])
         region, size = rows.column("region").to_numpy(), rows.column("n_shingles").to_numpy()
         sketches = [np.frombuffer(x, np.uint8) for x in rows.column("sketch").to_pylist()]
         keep = np.ones(len(region), bool)
@@ -461,51 +486,69 @@ def join_documents(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) ->
         for lo, hi in zip(cuts_[:-1].tolist(), cuts_[1:].tolist(), strict=True):
             if hi - lo <= REGION_DOCS:  # larger regions go on whole
                 keep[lo:hi] = survivors(size[lo:hi], sketches[lo:hi], percent)
-        return rows.select(["block", "region", "doc_id"]).filter(pa.array(keep))
+        return rows.select(["block", "region", "row", *_NODE]).filter(pa.array(keep))
 
     def send_texts(key, rows, wanted):
-        ids, data, offs = B.unpack(rows)
+        _, data, offs = B.unpack(rows)
         raw = data.tobytes()
-        at: dict = {}
-        for k, i in enumerate(ids.tolist()):
-            at.setdefault(i, []).append(k)
-        doc, region = [], []
-        for i, p in zip(wanted.column("doc_id").to_pylist(), wanted.column("region").to_pylist(), strict=True):
-            for k in at[i]:  # of rows that repeat a doc_id every one comes along
-                doc.append(k)
-                region.append(p)
-        packed = {k: B.compress(raw[offs[k]:offs[k + 1]]) for k in set(doc) if offs[k + 1] > offs[k]}
-        pairs = sorted({(p, k) for p, k in zip(region, doc, strict=True) if k in packed})
-        return pa.table({"region": pa.array([p for p, _ in pairs], pa.int64()), "doc_id": pa.array([int(ids[k]) for _, k in pairs], pa.int64()),
-                         "payload": pa.array([packed[k] for _, k in pairs], pa.binary())})
-
-    out = "block string, doc_id long, n_shingles long, class_id long, region long, sketch binary"
+        wanted = wanted.sort_by([("region", "ascending"), ("row", "ascending")])
+        row = wanted.column("row").to_pylist()
+        packed = {k: B.compress(raw[offs[k]:offs[k + 1]]) for k in set(row)}
+        return wanted.select(["region", *_NODE]).append_column("payload", pa.array([packed[k] for k in row], pa.binary()))
+
+    out = "block string, row long, doc_id long, n_shingles long, id long, x long, y long, region long, sketch binary, key binary"
     heads = texts.groupBy("block").applyInArrow(sets, B.SENT).groupBy("bucket").applyInArrow(_class_heads, B.ANSWER)
     found = texts.groupBy("block").cogroup(heads.groupBy("block")).applyInArrow(cuts, B.SENT)
     pivots = found.groupBy("bucket").applyInArrow(_pivots, B.ANSWER)
     placed = materialise(texts.groupBy("block").cogroup(heads.unionByName(pivots).groupBy("block")).applyInArrow(place, out), "jaccard-placed")
     near = placed.filter(F.col("region").isNotNull()).select(
-        F.pmod(F.xxhash64("region"), F.lit(buckets)).cast("int").alias("bucket"), "block", "region", "doc_id", "n_shingles", "sketch")
-    wanted = near.groupBy("bucket").applyInArrow(possible, "block string, region long, doc_id long")
-    regions = texts.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(send_texts, "region long, doc_id long, payload binary")
+        F.pmod(F.xxhash64("region"), F.lit(buckets)).cast("int").alias("bucket"), "block", "region", "row", *_NODE, "n_shingles", "sketch")
+    wanted = near.groupBy("bucket").applyInArrow(possible, "block string, region long, row long, id long, x long, y long")
+    regions = texts.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(
+        send_texts, "region long, id long, x long, y long, payload binary")
     large = materialise(wanted.groupBy("region").count().filter(F.col("count") > REGION_DOCS), "jaccard-large-regions")
-    comp = components(region_edges(regions, large, gram, percent, buckets))
-    rows = placed.filter(F.col("region").isNull()).select("doc_id", "n_shingles", "class_id")
-    got = rows.join(comp.withColumnRenamed("v", "class_id"), "class_id", "left")
-    known = lambda c: F.when(c != B.NO_ID, c)
-    return got.select(known(F.col("doc_id")).alias("doc_id"), "n_shingles", known(F.col("class_id")).alias("class_id"),
-                      known(F.coalesce("component", "class_id")).alias("component_id"))
+    node = lambda v: F.struct(*(F.col(v + c).alias(c) for c in _NODE))
+    edges = region_edges(regions, large, gram, percent, buckets).select(node("a_").alias("a"), node("b_").alias("b"))
+    comp = components(edges).withColumnRenamed("v", "node")
+    rows = placed.filter(F.col("region").isNull()).select("doc_id", "n_shingles", "key", node("").alias("node"))
+    got = rows.join(comp, "node", "left")
+    return got.select("doc_id", "n_shingles", F.col("node.id").alias("class_id"), F.coalesce("component", "node").alias("component"), "key")
+
+
+def join_documents(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
+    """Per document: doc_id, n_shingles, class_id (smallest doc_id with an equal
+    set) and component_id (smallest doc_id reachable by links)."""
+    known = lambda c: F.when(F.col(c) != B.NO_ID, F.col(c))
+    return _components_of(docs, gram, percent).select(known("doc_id").alias("doc_id"), "n_shingles", known("class_id").alias("class_id"),
+                                                      known("component.id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, gram: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without the near duplicates of a document with a smaller doc_id
-    in the same component; of rows that repeat a doc_id, all stay or go."""
-    got = join_documents(docs, gram, percent)
-    gone = materialise(got.filter(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct(), "jaccard-gone")
+    in the same component; of rows that repeat a doc_id and a text, all stay or
+    go.  Of a component without a doc_id one row stays."""
+    got = _components_of(docs, gram, percent, keys=True)
+    gone = got.filter(F.col("component.id") != F.col("doc_id")).select("doc_id", "key")
+    nameless = not docs.filter(F.col("doc_id").cast("long").isNull()).isEmpty()
+    if nameless:
+        got = materialise(got, "jaccard-joined")
+        gone = got.filter(F.col("component.id") != F.col("doc_id")).select("doc_id", "key")
+        alone = got.filter((F.col("component.id") == B.NO_ID) & (F.col("n_shingles") > 0))
+        first = alone.groupBy("component").agg(F.min("key").alias("first"))
+        gone = gone.unionByName(alone.join(first, "component").filter(F.col("key") != F.col("first")).select("doc_id", "key"))
+    gone = materialise(gone.distinct(), "jaccard-gone")
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)  # beyond that the join shuffles
-    packed = docs.select(F.struct(*docs.columns).alias("whole"), F.col("doc_id").cast("long").alias("doc_id"))
-    return packed.join(gone, "doc_id", "left_anti").select("whole.*")
+    text = F.col("text").cast("string")
+    packed = docs.select(F.struct(*docs.columns).alias("whole"), F.coalesce(F.col("doc_id").cast("long"), F.lit(B.NO_ID)).alias("doc_id"),
+                         F.unhex(F.md5(F.coalesce(text, F.lit("")))).alias("key"),
+                         F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False)).alias("worded"))
+    packed = packed.join(gone, ["doc_id", "key"], "left_anti")
+    if not nameless:
+        return packed.select("whole.*")
+    single = (F.col("doc_id") == B.NO_ID) & F.col("worded")
+    one = packed.filter(single).groupBy("key").agg(F.min_by("whole", F.xxhash64("whole")).alias("whole"))
+    return packed.filter(~single).select("whole.*").unionByName(one.select("whole.*"))
 
 
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -337,6 +337,37 @@ def test_jaccard_negative_ids(docs_of, monkeypatch, region_docs):
     assert kept == sorted(i for i, _, c in brute_components(rows, 5, 80) if i == c)
 
 
+@pytest.mark.parametrize("region_docs", [4096, 2])
+def test_jaccard_null_and_repeated_ids(docs_of, monkeypatch, region_docs):
+    t = near_copies(6, (200,) * 6, 3)
+    a, b, c, x, y = t[0:3], t[3:6], t[6:9], t[9:12], t[12:15]
+    rows = [(3, a[0]), (None, a[1]), (7, b[0]), (None, b[1]), (None, c[0]), (None, c[0]), (None, c[1]), (None, c[0].upper()),
+            (19, x[0]), (20, x[1]), (20, y[0]), (22, y[1]), (None, None), (None, ""), (None, "")]
+    # the group of every row, named by hand
+    want = [(3, 3), (None, 3), (7, 7), (None, 7), (None, None), (None, None), (None, None), (None, None),
+            (19, 19), (20, 19), (20, 20), (22, 20), (None, None), (None, None), (None, None)]
+    monkeypatch.setattr(jaccard, "REGION_DOCS", region_docs)
+    got = run(monkeypatch, jaccard, jaccard.op9_jaccard, {"documents": docs_of(rows)})
+    assert sorted(((i, k) for i, _, k in got), key=str) == sorted(want, key=str)
+    kept = sorted(((r["doc_id"], r["text"]) for r in jaccard.keep_one(docs_of(rows), gram=3, percent=90).collect()), key=str)
+    own = [r for r in kept if r[0] is None and r[1]]
+    assert len(own) == 1 and own[0][1].lower() in (c[0], c[1])
+    assert [r for r in kept if r not in own] == sorted([(3, a[0]), (7, b[0]), (19, x[0]), (20, y[0]), (None, None), (None, ""), (None, "")], key=str)
+
+
+def test_jaccard_one_entry_per_set():
+    """Equal sets of a block are one entry of the class pass."""
+    B = jaccard.B
+    texts = [b"one two three four"] * 500 + [b"five six seven eight"] * 500
+    rows = pa.table({"block": ["b"], "ids": pa.array([np.arange(1000, 0, -1).tobytes()], pa.binary()),
+                     "offsets": pa.array([np.cumsum([0, *map(len, texts)]).astype(np.int64).tobytes()], pa.binary()),
+                     "payload": pa.array([B.compress(b"".join(texts))], pa.binary())})
+    w = jaccard._Sets(rows, 1, 3)
+    assert [len(x) for _, x in w.rows] == [2 * 24]
+    least, heads = w.classes(jaccard._class_heads(B.sent("b", w.rows)))
+    assert least.tolist() == [501] * 500 + [1] * 500 and heads.tolist() == [499, 999]
+
+
 def test_decontaminate(spark, docs_of, plain_rows, monkeypatch):
     items = [(1, plain_rows[3][1][:120]), (2, "w1 W2"), (3, None), (4, "!!"), (5, plain_rows[5][1]), (5, plain_rows[5][1]), (12, "x")]
     pats = {}
