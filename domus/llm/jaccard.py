@@ -14,9 +14,10 @@ here: unrelated documents all lie at distance 1 from every pivot.)  Sizes of
 linked sets differ by the factor t at most, so parts are made per size band
 and a document also takes part in the next larger band.
 
-Before texts move, every region sees its documents' sizes and sketches (counts
-by cells of the n-gram space, whose L1 distance bounds the symmetric difference
-from below) and drops documents that can have no link there.  A region is then
+Before texts move, every region of up to ``REGION_DOCS`` documents sees their
+sizes and sketches (counts by cells of the n-gram space, whose L1 distance
+bounds the symmetric difference from below) and drops documents that can have
+no link there; larger regions are counted first and go on whole.  A region is then
 joined exactly and recursively: the distances to its pivot link
 what lies within the radius; every document outside the largest component is a
 pivot in turn, and is compared with the documents whose distance to the first
@@ -377,6 +378,19 @@ def region_edges(regions: DataFrame, large: DataFrame, gram: int, percent: int,
     return rest.unionByName(large_region_edges(regions.join(large, "region"), unpack, percent))
 
 
+def large_regions(near: DataFrame) -> DataFrame:
+    """(region, count) of the regions that are joined in chunks."""
+    return near.groupBy("region").count().filter(F.col("count") > REGION_DOCS)
+
+
+def by_size(near: DataFrame, large: DataFrame) -> tuple:
+    """The rows of the regions whose sketches one task compares, and those of
+    ``large``, which go on whole (None without any)."""
+    if large.isEmpty():
+        return near, None
+    return near.join(large, "region", "left_anti"), near.join(large, "region", "left_semi")
+
+
 def large_region_edges(rows: DataFrame, unpack, percent: int) -> DataFrame:
     """Regions of any size in chunks: distances to the pivot first, chunk by
     chunk; what the pivot links is one component.  Then every chunk of the other
@@ -481,11 +495,10 @@ def _components_of(docs: DataFrame, gram: int, percent: int, keys: bool = False)
         rows = rows.sort_by([("region", "ascending"), *((c, "ascending") for c in _NODE)])
         region, size = rows.column("region").to_numpy(), rows.column("n_shingles").to_numpy()
         sketches = [np.frombuffer(x, np.uint8) for x in rows.column("sketch").to_pylist()]
-        keep = np.ones(len(region), bool)
+        keep = np.empty(len(region), bool)
         cuts_ = np.concatenate([[0], np.flatnonzero(np.diff(region)) + 1, [len(region)]])
         for lo, hi in zip(cuts_[:-1].tolist(), cuts_[1:].tolist(), strict=True):
-            if hi - lo <= REGION_DOCS:  # larger regions go on whole
-                keep[lo:hi] = survivors(size[lo:hi], sketches[lo:hi], percent)
+            keep[lo:hi] = survivors(size[lo:hi], sketches[lo:hi], percent)
         return rows.select(["block", "region", "row", *_NODE]).filter(pa.array(keep))
 
     def send_texts(key, rows, wanted):
@@ -503,10 +516,13 @@ def _components_of(docs: DataFrame, gram: int, percent: int, keys: bool = False)
     placed = materialise(texts.groupBy("block").cogroup(heads.unionByName(pivots).groupBy("block")).applyInArrow(place, out), "jaccard-placed")
     near = placed.filter(F.col("region").isNotNull()).select(
         F.pmod(F.xxhash64("region"), F.lit(buckets)).cast("int").alias("bucket"), "block", "region", "row", *_NODE, "n_shingles", "sketch")
-    wanted = near.groupBy("bucket").applyInArrow(possible, "block string, region long, row long, id long, x long, y long")
+    large = materialise(large_regions(near), "jaccard-large-regions")
+    few, many = by_size(near, large)
+    wanted = few.groupBy("bucket").applyInArrow(possible, "block string, region long, row long, id long, x long, y long")
+    if many is not None:
+        wanted = wanted.unionByName(many.select("block", "region", "row", *_NODE))
     regions = texts.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(
         send_texts, "region long, id long, x long, y long, payload binary")
-    large = materialise(wanted.groupBy("region").count().filter(F.col("count") > REGION_DOCS), "jaccard-large-regions")
     node = lambda v: F.struct(*(F.col(v + c).alias(c) for c in _NODE))
     edges = region_edges(regions, large, gram, percent, buckets).select(node("a_").alias("a"), node("b_").alias("b"))
     comp = components(edges).withColumnRenamed("v", "node")

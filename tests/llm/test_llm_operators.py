@@ -368,6 +368,17 @@ def test_jaccard_one_entry_per_set():
     assert least.tolist() == [501] * 500 + [1] * 500 and heads.tolist() == [499, 999]
 
 
+def test_jaccard_large_regions_meet_no_single_task(spark, monkeypatch):
+    near = spark.createDataFrame([(1, k) for k in range(10)] + [(2, k) for k in range(3)] + [(-3, k) for k in range(4)], "region long, row long")
+    monkeypatch.setattr(jaccard, "REGION_DOCS", 4)
+    few, many = jaccard.by_size(near, jaccard.large_regions(near))
+    count = lambda df: {r["region"]: r["count"] for r in df.groupBy("region").count().collect()}
+    assert count(few) == {2: 3, -3: 4} and count(many) == {1: 10}
+    near = near.filter("region < 0")
+    few, many = jaccard.by_size(near, jaccard.large_regions(near))
+    assert count(few) == {-3: 4} and many is None
+
+
 def test_decontaminate(spark, docs_of, plain_rows, monkeypatch):
     items = [(1, plain_rows[3][1][:120]), (2, "w1 W2"), (3, None), (4, "!!"), (5, plain_rows[5][1]), (5, plain_rows[5][1]), (12, "x")]
     pats = {}
