@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from domus.llm import phrases
 from domus.llm.bpe import op5_bpe
 from domus.llm.decontaminate import op10_decontaminate
 from domus.llm.jaccard import op9_jaccard
 from domus.llm.language import op3_language
 from domus.llm.licenses import op7_licenses
+from domus.llm.phrases import op11_phrases
 from domus.llm.secrets import op4_secrets
 from domus.llm.substrings import op2_substrings
 from domus.llm.suffixes import op8_suffixes
@@ -15,7 +17,7 @@ from domus.llm.topk import op1_topk
 
 QUERIES = {q.__name__: q for q in (
     op1_topk, op2_substrings, op3_language, op4_secrets, op5_bpe, op6_token_files, op7_licenses, op8_suffixes, op9_jaccard,
-    op10_decontaminate)}
+    op10_decontaminate, op11_phrases)}
 
 #: query name -> DuckDB SQL with the same rows
-ORACLES: dict[str, str] = {}
+ORACLES = {"op11_phrases": phrases.ORACLE}
