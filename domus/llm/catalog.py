@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from domus.llm import phrases
+from domus.llm import clusters, phrases
 from domus.llm.bpe import op5_bpe
+from domus.llm.clusters import op12_clusters
 from domus.llm.decontaminate import op10_decontaminate
+from domus.llm.fingerprints import op13_fingerprints
 from domus.llm.jaccard import op9_jaccard
 from domus.llm.language import op3_language
 from domus.llm.licenses import op7_licenses
@@ -17,7 +19,7 @@ from domus.llm.topk import op1_topk
 
 QUERIES = {q.__name__: q for q in (
     op1_topk, op2_substrings, op3_language, op4_secrets, op5_bpe, op6_token_files, op7_licenses, op8_suffixes, op9_jaccard,
-    op10_decontaminate, op11_phrases)}
+    op10_decontaminate, op11_phrases, op12_clusters, op13_fingerprints)}
 
 #: query name -> DuckDB SQL with the same rows
-ORACLES = {"op11_phrases": phrases.ORACLE}
+ORACLES = {"op11_phrases": phrases.ORACLE, "op12_clusters": clusters.ORACLE}

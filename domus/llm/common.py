@@ -49,6 +49,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder that ``shared_dir`` named and nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES, rows: int | None = None):
     """Yield (first row, row count, bytes, offsets) of consecutive rows whose
     text takes about ``limit`` bytes, ``rows`` rows at most if given; null
