@@ -40,8 +40,11 @@ def decompress(x: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(x)
 
 
-def text_blocks(docs: DataFrame, limit: int = BLOCK_BYTES) -> DataFrame:
-    """(block, ids, offsets, payload): documents packed in blocks."""
+def text_blocks(docs: DataFrame, limit: int | None = None) -> DataFrame:
+    """(block, ids, offsets, payload): documents packed in blocks of about
+    ``limit`` bytes (``BLOCK_BYTES`` if not given)."""
+    limit = limit or BLOCK_BYTES
+
     def run(batches):
         ids, parts, lens, size = [], [], [], 0
 

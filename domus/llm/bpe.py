@@ -38,7 +38,7 @@ class _Numbering(dict):
         return n
 
 
-def _blocks(batches):
+def _blocks(batches, limit: int):
     """Yield (block, words, doc_ids, word counts, positions) per block of documents."""
     words, ids, packed, size = _Numbering(), [], [], 0
 
@@ -58,7 +58,7 @@ def _blocks(batches):
             ids.append(i)
             packed.append(np.fromiter(map(words.__getitem__, own), np.uint32, len(own)))
             size += len(raw) + 64
-            if size >= BLOCK_BYTES:
+            if size >= limit:
                 yield cut()
                 words, ids, packed, size = _Numbering(), [], [], 0
     if ids:
@@ -76,8 +76,10 @@ def word_buckets(words: list, buckets: int):
 
 def block_words(docs: DataFrame, buckets: int) -> DataFrame:
     """(bucket, block, blob): the distinct words of every block, packed by bucket."""
+    limit = BLOCK_BYTES
+
     def run(batches):
-        for key, words, _, _, _ in _blocks(batches):
+        for key, words, _, _, _ in _blocks(batches, limit):
             bucket, order = word_buckets(words, buckets)
             rows = [(k, B.compress(b"\n".join([words[i] for i in order[lo:hi].tolist()]))) for k, lo, hi in B.by_bucket(bucket)]
             yield from B.sent(key, rows).to_batches()
@@ -88,8 +90,10 @@ def block_words(docs: DataFrame, buckets: int) -> DataFrame:
 def block_documents(docs: DataFrame, buckets: int) -> DataFrame:
     """(block, ids, counts, positions, place): a block's documents as positions
     in its words; ``place`` has the words' numbers in the order the buckets return them."""
+    limit = BLOCK_BYTES
+
     def run(batches):
-        for key, words, ids, counts, at in _blocks(batches):
+        for key, words, ids, counts, at in _blocks(batches, limit):
             _, order = word_buckets(words, buckets)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([key]), *(pa.array([B.compress(x.tobytes())], pa.binary()) for x in (ids, counts, at, order.astype(np.uint32)))],
@@ -148,8 +152,8 @@ def encode_decode(docs: DataFrame, path: str, digest: bool = True) -> DataFrame:
             # by the word's number in the block
             n, numbers, decoded, own = np.zeros(len(place), np.int64), [b""] * len(place), [b""] * len(place), [[]] * len(place)
             n[place] = count
-            ends = np.cumsum(count).tolist()
-            for w, lo, hi in zip(place.tolist(), [0, *ends[:-1]], ends, strict=True):
+            ends = np.cumsum(count)
+            for w, lo, hi in zip(place.tolist(), (ends - count).tolist(), ends.tolist(), strict=True):
                 x = flat[lo:hi]
                 decoded[w] = " ".join([piece[i] for i in x]).encode()
                 if digest:

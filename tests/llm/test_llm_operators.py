@@ -140,6 +140,55 @@ def test_bpe(docs_of, plain_rows, monkeypatch):
     assert run(monkeypatch, bpe, bpe.op5_bpe, {"documents": docs_of(rows).limit(0)}) == []
 
 
+@pytest.mark.parametrize("rows", [[(1, None)], [(1, "")], [(1, " \n\t")], [(1, None), (2, ""), (3, " "), (3, " ")]])
+def test_bpe_blocks_without_words(docs_of, monkeypatch, rows):
+    want = sorted(((i, 0, sha(""), sha("")) for i, _ in rows), key=str)
+    assert run(monkeypatch, bpe, bpe.op5_bpe, {"documents": docs_of(rows)}) == want
+    # one block of words beside blocks without
+    both = docs_of(rows).coalesce(1).union(docs_of([(9, "some words"), (10, None)]).coalesce(1))
+    got = run(monkeypatch, bpe, bpe.op5_bpe, {"documents": both})
+    assert [r for r in got if r[0] not in (9, 10)] == want and {r[0]: r[1] for r in got}[9] == 2
+    plain = bpe.encode_decode(docs_of(rows), tokenizer_path("word_bpe_49k.json"), digest=False).collect()
+    assert [(list(r["ids"]), r["decoded"]) for r in plain] == [([], "")] * len(rows)
+
+
+@pytest.mark.parametrize("limit", [0, 5, 600_000])
+def test_word_encoder_forgets_and_stays_right(plain_rows, limit):
+    path = tokenizer_path("byte_bpe_50k.json")
+    lib = load_tokenizer(path)
+    texts = [t or "" for _, t in plain_rows] + ["a  b \n c\n\n d", " x 東京 it's", "tab\tand space ", "end\n", "one two\nthree. four", "\u00a0 \u00a0x", "x \x1cy",
+                                                "w1 w1 w1 w2", "\n", " ", "a\u2028 b", "a b\u0085"]
+    want = [np.array(lib.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    enc = token_files.WordEncoder(path, "<u2", limit)
+    for size in (1, 4, len(texts)):
+        for lo in range(0, len(texts), size):
+            assert enc.encode(texts[lo:lo + size]) == want[lo:lo + size]
+    assert token_files.word_encoder(path, "<u2") is token_files.word_encoder(path, "<u2")
+
+
+def test_token_files_spread_a_hot_id(docs_of, spark):
+    rows = [(7, f"text number {i}") for i in range(200)] + [(i, "other") for i in range(5)] + [(None, None), (-1, "")]
+    folder, manifest = token_files.write_token_files(docs_of(rows), tokenizer_path("byte_bpe_50k.json"), parts=8)
+    assert manifest.count() > 3
+    got = token_files.read_token_files(spark, folder, manifest).collect()
+    got = sorted((r["start"], r["n_tokens"], r["doc_id"]) for r in got)
+    assert [g[2] for g in got] == sorted((i for i, _ in rows), key=lambda i: (i is not None, i))
+    assert [g[0] for g in got] == [0, *np.cumsum([g[1] for g in got])[:-1].tolist()]
+
+
+def test_token_files_are_mapped_or_read_in_stretches(tmp_path):
+    from pyarrow import fs
+
+    x = np.arange(100, dtype="<u2")
+    (tmp_path / "a.bin").write_bytes(x.tobytes())
+    (tmp_path / "b.bin").write_bytes(b"")
+    local, remote = fs.LocalFileSystem(), fs.SubTreeFileSystem(str(tmp_path), fs.LocalFileSystem())
+    for f, name in ((local, f"{tmp_path}/a.bin"), (remote, "a.bin")):
+        got = token_files.IdFile(f, name, "<u2")
+        assert len(got) == 100 and got.read(3, 9).tolist() == list(range(3, 9)) and got.read(5, 5).tolist() == []
+    assert len(token_files.IdFile(local, f"{tmp_path}/b.bin", "<u2")) == 0
+
+
 def test_token_files(docs_of, plain_rows, monkeypatch):
     rows = [*plain_rows, (20, "a  b \n c\n\n d <|endoftext|> e  f  "), (21, " x 東京 it's"), (22, "tab\tand space ")]
     t = load_tokenizer(tokenizer_path("byte_bpe_50k.json"))
