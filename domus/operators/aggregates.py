@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from domus.operators.joins import join_small
-from domus.operators.ordering import locate_quantile
+from domus.operators.ordering import discrete_quantiles
 
 CITY_KEY = ["department", "city", "city_id"]
 CITY_MONTH_KEY = CITY_KEY + ["transaction_year", "transaction_month"]
@@ -68,8 +68,8 @@ def quantile(df: DataFrame, col: str, q: float, method: str = "exact",
     """Global quantile as a one-row frame ``(value)``.
 
     * ``exact`` — discrete (``percentile_disc``): smallest value whose
-      cumulative share reaches q.  Distributed: value counts, bucketed
-      prefix sums, only the target bucket is ordered.
+      cumulative share reaches q.  Distributed: a sketch brackets the rank,
+      two counting passes narrow the bracket, only its values are ordered.
     * ``approx`` — ``percentile_approx`` (bounded memory sketch).
     * ``linear`` — interpolated between the two neighbouring ranks, exact
       and distributed (``ordering.linear_quantiles``).
@@ -79,9 +79,8 @@ def quantile(df: DataFrame, col: str, q: float, method: str = "exact",
     if method == "linear":
         from domus.operators.ordering import linear_quantiles
 
-        return linear_quantiles(df, col, [q]).select("value")
-    vc = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    return locate_quantile(vc, col, "_n", q)
+        return linear_quantiles(df, col, [q]).agg(F.min("value").alias("value"))  # one row, NULL without values
+    return discrete_quantiles(df, col, [q]).agg(F.min("value").alias("value"))
 
 
 # A5 -------------------------------------------------------------------------
@@ -136,8 +135,7 @@ def describe_columns(df: DataFrame, cols: list[str], by: list[str] | None = None
 
     Moments come from one aggregation pass.  Quartiles are exact and
     distributed (:func:`~domus.operators.ordering.linear_quantiles` over the
-    stacked columns: value counts, ranked without holding a group in one
-    buffer); ``approx=True`` uses ``percentile_approx`` sketches instead.
+    stacked columns, without holding a group in one buffer); ``approx=True`` uses ``percentile_approx`` sketches instead.
     """
     from domus.operators.ordering import linear_quantiles
 
@@ -198,18 +196,20 @@ def group_series(df: DataFrame, keys: list[str], order: list[str], lags: dict[st
 # A10 ------------------------------------------------------------------------
 def correlation_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson r for every unordered pair, pairwise-complete, with the number
-    of rows used → (a, b, r, n).  All pairs in one aggregation pass."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    aggs = []
-    for i, (a, b) in enumerate(pairs):
-        xa, xb = F.col(a).cast("double"), F.col(b).cast("double")
-        aggs.append(F.corr(xa, xb).alias(f"_r{i}"))
-        aggs.append(F.count(F.when(xa.isNotNull() & xb.isNotNull(), 1)).alias(f"_n{i}"))
-    wide = df.agg(*aggs)
-    structs = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                        F.col(f"_r{i}").alias("r"), F.col(f"_n{i}").alias("n"))
-               for i, (a, b) in enumerate(pairs)]
-    return wide.select(F.inline(F.array(*structs)))
+    of rows used → (a, b, r, n); NaN counts as missing, r is NULL where a side
+    is constant.  All pairs in one pass of matrix products over Arrow batches
+    (:func:`~domus.operators.matrices.cross_products`), however many columns."""
+    from domus.operators.matrices import cross_products
+
+    names = F.array(*[F.lit(c) for c in cols])
+    sums = cross_products(df, cols).where(F.col("a") < F.col("b"))
+    va = F.col("saa") - F.try_divide(F.col("sa") * F.col("sa"), F.col("n"))
+    vb = F.col("sbb") - F.try_divide(F.col("sb") * F.col("sb"), F.col("n"))
+    cov = F.col("sab") - F.try_divide(F.col("sa") * F.col("sb"), F.col("n"))
+    # what rounding leaves of a constant column is no variance
+    real = (va > F.lit(1e-12) * F.col("saa")) & (vb > F.lit(1e-12) * F.col("sbb"))
+    r = F.when(real, F.least(F.greatest(cov / F.sqrt(va * vb), F.lit(-1.0)), F.lit(1.0)))
+    return sums.select(F.element_at(names, F.col("a") + 1).alias("a"), F.element_at(names, F.col("b") + 1).alias("b"), r.alias("r"), "n")
 
 
 # A11 ------------------------------------------------------------------------

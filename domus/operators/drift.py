@@ -8,6 +8,7 @@ columns are processed by the same distributed jobs: value counts per
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -37,6 +38,13 @@ def _long(ref: DataFrame, cur: DataFrame, cols: list[str], cast: str) -> DataFra
     return out
 
 
+def _every_column(st: DataFrame, cols: list[str], method: str) -> DataFrame:
+    """A row for the columns without any value on either side, too."""
+    names = st.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    out = names.join(st, "column", "left").na.fill(0, ["tot_ref", "tot_cur"])
+    return out.withColumn("method", F.coalesce("method", F.lit(method)))
+
+
 def kolmogorov_sf(x: Column) -> Column:
     """P(K > x) for the Kolmogorov distribution: alternating series for
     x ≥ 0.5, complement of the theta-function form below."""
@@ -48,7 +56,7 @@ def kolmogorov_sf(x: Column) -> Column:
     p = F.when(x <= 0, F.lit(1.0)) \
         .when(x >= 0.5, F.lit(2.0) * big) \
         .otherwise(F.lit(1.0) - F.lit(math.sqrt(2 * math.pi)) / x * small)
-    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), p))
+    return F.when(x.isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(0.0), p)))  # greatest and least skip a NULL
 
 
 # D1 -------------------------------------------------------------------------
@@ -56,7 +64,8 @@ def numeric_drift(ref: DataFrame, cur: DataFrame, cols: list[str], method: str =
     """Per column: two-sample KS statistic and asymptotic p-value, Wasserstein-1
     distance divided by the reference population std, chosen method and
     drift flag (KS: p < 0.05; Wasserstein: ≥ 0.1; auto: Wasserstein when
-    the reference has more than 1000 rows)."""
+    the reference has more than 1000 rows).  Where a side has no value the
+    statistics, the p-value and the flag are NULL: nothing can be said."""
     long = _long(ref, cur, cols, "double")
     counts = long.groupBy("column", "value").agg(
         F.sum(F.when(F.col("side") == "ref", 1).otherwise(0)).alias("n_ref"),
@@ -80,6 +89,7 @@ def numeric_drift(ref: DataFrame, cur: DataFrame, cols: list[str], method: str =
     st = st.withColumn("method", chosen)
     st = st.withColumn("drifted", F.when(F.col("method") == "ks", F.col("ks_p_value") < KS_ALPHA)
                        .otherwise(F.col("wasserstein_norm") >= WASSERSTEIN_THRESHOLD))
+    st = _every_column(st, cols, method if method != "auto" else "ks")
     return st.select(F.col("column"), F.col("tot_ref").alias("n_ref"), F.col("tot_cur").alias("n_cur"),
                      "ks_statistic", "ks_p_value", "wasserstein_norm", "method", "drifted")
 
@@ -166,33 +176,68 @@ def categorical_drift(ref: DataFrame, cur: DataFrame, cols: list[str], method: s
         st = st.withColumn("chi2_p_value", chi2_sf(F.col("chi2_statistic"), F.col("dof").cast("double")))
     if with_p_value:
         cols_out.append("chi2_p_value")
-    return st.withColumn("drifted", drift).select(*cols_out, "drifted")
+    st = _every_column(st.withColumn("drifted", drift), cols, method if method != "auto" else "chisquare")
+    return st.select(*cols_out, "drifted")
 
 
 # D3 -------------------------------------------------------------------------
 def dataset_drift(*tables: DataFrame, share: float = 0.5) -> DataFrame:
     """Share of drifted columns over the given drift tables; dataset drift
-    when the share reaches ``share``."""
+    when the share reaches ``share``.  Columns whose flag is NULL (a side
+    without values) are counted apart, in ``n_unknown``, and not in the share."""
     allc = tables[0].select("column", "drifted")
     for t in tables[1:]:
         allc = allc.unionByName(t.select("column", "drifted"))
     agg = allc.agg(F.count(F.lit(1)).alias("n_columns"),
-                   F.sum(F.when(F.col("drifted"), 1).otherwise(0)).alias("n_drifted"))
-    agg = agg.withColumn("share_drifted", F.col("n_drifted") / F.col("n_columns"))
+                   F.sum(F.when(F.col("drifted"), 1).otherwise(0)).alias("n_drifted"),
+                   F.count(F.when(F.col("drifted").isNull(), 1)).alias("n_unknown"))
+    agg = agg.withColumn("share_drifted", F.try_divide("n_drifted", F.col("n_columns") - F.col("n_unknown")))
     return agg.withColumn("dataset_drift", F.col("share_drifted") >= F.lit(share))
 
 
 # D4 -------------------------------------------------------------------------
-def target_drift(ref: DataFrame, cur: DataFrame, target: str, prediction: str | None,
-                 features: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(drift of target / prediction, feature–target correlations per side)."""
+def is_class(df: DataFrame, col: str) -> bool:
+    """Strings and booleans are class labels; numbers are unless told so."""
+    return df.schema[col].dataType.simpleString() in ("string", "boolean")
+
+
+def target_drift(ref: DataFrame, cur: DataFrame, target: str, prediction: str | None, features: list[str],
+                 classes: list[str] | None = None, method: str = "auto",
+                 class_method: str = "auto") -> tuple[DataFrame, DataFrame]:
+    """(drift of target and prediction, feature–target correlations per side).
+
+    Columns named in ``classes`` (default: strings and booleans) are compared by
+    category shares (:func:`categorical_drift`), the others as numbers; both
+    give one row (column, kind, n_ref, n_cur, statistic, method, drifted).
+    Correlations use a number target as it is, a class target once per class as
+    0/1 (``target_class`` names it, NULL for a number)."""
     cols = [target] + ([prediction] if prediction else [])
-    drift = numeric_drift(ref, cur, cols)
+    classes = [c for c in cols if is_class(ref, c)] if classes is None else classes
+    numbers = [c for c in cols if c not in classes]
+    parts = []
+    if numbers:
+        d = numeric_drift(ref, cur, numbers, method)
+        stat = F.when(F.col("method") == "ks", F.col("ks_statistic")).otherwise(F.col("wasserstein_norm"))
+        parts.append(d.select("column", F.lit("number").alias("kind"), "n_ref", "n_cur", stat.alias("statistic"), "method", "drifted"))
+    if [c for c in cols if c in classes]:
+        d = categorical_drift(ref, cur, [c for c in cols if c in classes], class_method, with_p_value=False)
+        stat = F.when(F.col("method") == "chisquare", F.col("chi2_statistic")).otherwise(F.col("js_distance"))
+        parts.append(d.select("column", F.lit("class").alias("kind"), "n_ref", "n_cur", stat.alias("statistic"), "method", "drifted"))
+    drift = reduce(DataFrame.unionByName, parts)
     corr = []
     for side, df in (("ref", ref), ("cur", cur)):
-        pairs = correlation_pairs(df, [target] + features)
-        corr.append(pairs.where(F.col("a") == target)
-                    .select(F.lit(side).alias("side"), F.col("b").alias("feature"), "r", "n"))
+        if target in classes:
+            # one 0/1 column per class that occurs: a list of labels, not of rows
+            labels = [r[0] for r in df.select(F.col(target).cast("string")).where(F.col(target).isNotNull()).distinct().orderBy(target).collect()]
+            names = {f"_is_{i}": v for i, v in enumerate(labels)}
+            flat = df.select(*features, *[F.when(F.col(target).isNotNull(), (F.col(target).cast("string") == F.lit(v)).cast("double")).alias(n)
+                                          for n, v in names.items()])
+            pairs = correlation_pairs(flat, [*names, *features])
+            label = F.create_map(*[x for n, v in names.items() for x in (F.lit(n), F.lit(v))]) if names else F.create_map().cast("map<string,string>")
+            own = pairs.where(F.col("a").isin(list(names)) & ~F.col("b").isin(list(names))).withColumn("target_class", label[F.col("a")])
+        else:
+            own = correlation_pairs(df, [target] + features).where(F.col("a") == target).withColumn("target_class", F.lit(None).cast("string"))
+        corr.append(own.select(F.lit(side).alias("side"), "target_class", F.col("b").alias("feature"), "r", "n"))
     return drift, corr[0].unionByName(corr[1])
 
 

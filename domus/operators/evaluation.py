@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from domus.operators.aggregates import describe_columns
+from domus.operators.aggregates import _null_safe_join, describe_columns
 from domus.operators.encoding import reverse_one_hot
 from domus.operators.joins import small_side
 from domus.operators.ordering import prefix_sums
@@ -57,7 +57,6 @@ def box_stats(df: DataFrame, value: str, by: list[str]) -> DataFrame:
     """Box-plot numbers per group: exact linear quartiles (distributed),
     whiskers at the most extreme values within 1.5·IQR of the box, outlier
     count."""
-    from domus.operators.aggregates import _null_safe_join
     from domus.operators.ordering import linear_quantiles
 
     lq = linear_quantiles(df, value, [0.25, 0.5, 0.75], by)
@@ -142,27 +141,36 @@ def pred_vs_target(df: DataFrame, y: str, yhat: str, bins: int = 50) -> tuple[Da
 
 
 # V8 -------------------------------------------------------------------------
+def _label_pairs(df: DataFrame, y: str, yhat: str) -> DataFrame:
+    """(actual, predicted, count): one row per pair of labels that occurs, both
+    in the type that holds either."""
+    kind = df.select(F.coalesce(F.col(y), F.col(yhat)).alias("c")).schema["c"].dataType
+    return df.groupBy(F.col(y).cast(kind).alias("actual"), F.col(yhat).cast(kind).alias("predicted")).agg(F.count(F.lit(1)).alias("count"))
+
+
 def confusion_matrix(df: DataFrame, y: str, yhat: str) -> DataFrame:
-    """Counts over the full label × label grid (zero cells included)."""
-    labels = df.select(F.col(y).alias("label")).union(df.select(F.col(yhat).alias("label"))).distinct()
-    grid = labels.withColumnRenamed("label", "actual").crossJoin(labels.withColumnRenamed("label", "predicted"))
-    counts = df.groupBy(F.col(y).alias("actual"), F.col(yhat).alias("predicted")).agg(
-        F.count(F.lit(1)).alias("count"))
-    counts = counts.withColumnsRenamed({"actual": "_a", "predicted": "_p"})
-    same = [F.col("actual").eqNullSafe(F.col("_a")), F.col("predicted").eqNullSafe(F.col("_p"))]  # NULL is a label too
-    return grid.join(counts, same, "left").drop("_a", "_p").na.fill(0, ["count"])
+    """Counts over the full label × label grid (zero cells included); NULL is a
+    label.  One pass over the rows: the counted pairs are gathered, a zero cell
+    added for every two labels, and the cells summed (labels² values at most)."""
+    seen = _label_pairs(df, y, yhat).agg(
+        F.collect_list(F.struct("actual", "predicted", "count")).alias("cells"))
+    labels = F.array_distinct(F.concat(F.transform("cells", lambda c: c["actual"]), F.transform("cells", lambda c: c["predicted"])))
+    grid = F.flatten(F.transform("labels", lambda a: F.transform("labels", lambda p: F.struct(
+        a.alias("actual"), p.alias("predicted"), F.lit(0).cast("long").alias("count")))))
+    cells = seen.withColumn("labels", labels).select(F.inline(F.concat("cells", grid)))
+    return cells.groupBy("actual", "predicted").agg(F.sum("count").alias("count"))
 
 
 # V9 -------------------------------------------------------------------------
 def classification_report(df: DataFrame, y: str, yhat: str) -> DataFrame:
     """Per class precision / recall / F1 / support, plus 'accuracy',
-    'macro avg' and 'weighted avg' rows; 0/0 is 0."""
-    cm = confusion_matrix(df, y, yhat)
-    per = cm.groupBy("actual").agg(F.sum("count").alias("support"),
-                                   F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("count"))
-                                         .otherwise(0)).alias("tp"))
-    pred = cm.groupBy(F.col("predicted").alias("actual")).agg(F.sum("count").alias("npred"))
-    t = per.join(pred, "actual", "full").na.fill(0, ["support", "tp", "npred"])
+    'macro avg' and 'weighted avg' rows; 0/0 is 0.  NULL is a class."""
+    sides = _label_pairs(df, y, yhat).select("count", F.inline(F.array(
+        F.struct(F.col("actual").alias("actual"), F.lit(1).alias("is_actual"), F.col("actual").eqNullSafe(F.col("predicted")).alias("hit")),
+        F.struct(F.col("predicted").alias("actual"), F.lit(0).alias("is_actual"), F.lit(False).alias("hit")))))
+    t = sides.groupBy("actual").agg(F.sum(F.when(F.col("is_actual") == 1, F.col("count")).otherwise(0)).alias("support"),
+                                    F.sum(F.when(F.col("hit"), F.col("count")).otherwise(0)).alias("tp"),
+                                    F.sum(F.when(F.col("is_actual") == 0, F.col("count")).otherwise(0)).alias("npred"))
 
     def div(a, b):
         return F.when(b == 0, F.lit(0.0)).otherwise(a.cast("double") / b)
@@ -336,11 +344,11 @@ def kde(df: DataFrame, x: str, by: list[str] | None = None, grid: int = 200, fin
     st = st.withColumn("_bw", F.col("_sd") * F.pow(F.col("_n"), F.lit(-0.2)))
     st = st.withColumn("_fw", (F.col("_hi") - F.col("_lo")) / F.lit(fine_bins))
     st = small_side(st) if by else st  # one row per group: size-checked
-    j = d.join(st, by) if by else d.crossJoin(F.broadcast(st))
+    j = _null_safe_join(d, st, by) if by else d.crossJoin(F.broadcast(st))
     j = j.withColumn("_b", _bin(F.col("_x"), F.col("_lo"), F.when(F.col("_fw") == 0, 1.0).otherwise(F.col("_fw")),
                                 fine_bins))
     fine = j.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_c"))
-    fine = (fine.join(st, by) if by else fine.crossJoin(F.broadcast(st)))
+    fine = _null_safe_join(fine, st, by) if by else fine.crossJoin(F.broadcast(st))
     fine = fine.withColumn("_centre", F.col("_lo") + (F.col("_b") + F.lit(0.5)) * F.col("_fw"))
     axis = df.sparkSession.range(grid).select(F.col("id").cast("int").alias("point"))
     pts = fine.crossJoin(F.broadcast(axis))  # grid rows, bounded

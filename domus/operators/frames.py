@@ -11,6 +11,7 @@ from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, Nume
 from domus.functions.columns import month_period, ratio
 from domus.operators.joins import join_small
 
+# fixed values: names of the input schema
 SURFACE_COLUMNS = [
     "surface_terrains_nature",
     "surface_terrains_sols",

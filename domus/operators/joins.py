@@ -8,10 +8,11 @@ join stays a shuffle join and AQE handles coalescing and skew splitting.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from domus.session import cut_lineage
+
 DEFAULT_MAX_ROWS = 2_000_000
 DEFAULT_MAX_BYTES = 256 * 1024 * 1024
 
@@ -59,31 +60,21 @@ def sized_side(df: DataFrame) -> tuple[DataFrame, bool]:
     Proof 1 (no job): Catalyst's upper-bound size estimate, with a 16×
     headroom for compression, is under ``domus.broadcast.maxBytes`` — e.g. a
     dimension file or an aggregate of a small input.  Proof 2: the side is
-    materialised once and counted; the persisted result is what the later
-    join reads, so nothing is computed twice.
+    materialised once, in the shared checkpoint folder, and counted; the later
+    join reads what was written, so nothing is computed twice and nothing is
+    left in the executors' storage.
     """
     max_rows, max_bytes = _limits(df)
     est = estimated_bytes(df)
     if est is not None and est * ESTIMATE_HEADROOM <= max_bytes and est // 8 <= max_rows:
         return F.broadcast(df), True
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = cut_lineage(df)
     n = kept.count()
     if n <= max_rows and n * _row_width(kept) <= max_bytes:
         return F.broadcast(kept), True
     return kept, False
 
 
-def bounded_broadcast(df: DataFrame, what: str) -> DataFrame:
-    """Broadcast a table that must be small for the operator to make sense
-    (e.g. classes × folds); fail clearly instead of shuffling it."""
-    max_rows, max_bytes = _limits(df)
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = kept.count()
-    if n > max_rows or n * _row_width(kept) > max_bytes:
-        raise ValueError(f"{what}: {n} rows exceed the broadcast limit ({max_rows})")
-    return F.broadcast(kept)
-
-
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
     """Join ``big`` with a side expected to be small (dimension, aggregate,
     key list).  Broadcast only behind the size check of :func:`small_side`."""

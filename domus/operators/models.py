@@ -1,15 +1,14 @@
 """Models as Spark jobs (M1–M11) and cross-validation.
 
-Linear models are solved from aggregated sufficient statistics: one pass
-computes the Gram matrix [X y]ᵀ[X y] (k² sums, partial-aggregated on the
-executors) and the k×k system is solved on the driver — the same split
-MLlib's normal-equation solver uses.  Trees and logistic regression are
-MLlib estimators.
+Linear models are solved from the triangular factor of the rows [X y], reduced
+over the tasks by QR; the k×k system is solved on the driver.  Trees and
+logistic regression are MLlib estimators.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
@@ -17,11 +16,14 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.feature import VectorAssembler  # noqa: F401
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor  # noqa: F401
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
+from domus.operators import packed_trees
 from domus.operators.joins import join_small
-from domus.session import cut_lineage
+from domus.operators.matrices import independent_columns, triangular_factor
+from domus.session import checkpoint_dir, cut_lineage, remove_folder
 
 
 # ---------------------------------------------------------------- helpers
@@ -67,86 +69,80 @@ def t_two_sided_p(t: float, dof: float) -> float:
     return _betainc(dof / 2.0, 0.5, dof / (dof + t * t))
 
 
-def gram(df: DataFrame, y: str, xs: list[str], intercept: bool = False) -> tuple[np.ndarray, np.ndarray, float, int, float, float]:
-    """One aggregation pass: XᵀX, Xᵀy, yᵀy, n, Σy, Σy² over complete rows."""
-    cols = list(xs) + (["__one"] if intercept else [])
-    d = df.where(F.col(y).isNotNull())
-    for c in xs:
-        d = d.where(F.col(c).isNotNull())
-    if intercept:
-        d = d.withColumn("__one", F.lit(1.0))
-    aggs = []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            aggs.append(F.sum(F.col(a).cast("double") * F.col(b).cast("double")).alias(f"g_{a}_{b}"))
-        aggs.append(F.sum(F.col(a).cast("double") * F.col(y).cast("double")).alias(f"r_{a}"))
-    aggs += [F.sum(F.col(y).cast("double") * F.col(y).cast("double")).alias("yy"),
-             F.count(F.lit(1)).alias("n"), F.sum(F.col(y).cast("double")).alias("sy")]
-    row = d.agg(*aggs).collect()[0]  # one row of k² sums
-    k = len(cols)
-    xtx = np.zeros((k, k))
-    xty = np.zeros(k)
-    for i, a in enumerate(cols):
-        for j in range(i, k):
-            v = row[f"g_{a}_{cols[j]}"] or 0.0
-            xtx[i, j] = xtx[j, i] = v
-        xty[i] = row[f"r_{a}"] or 0.0
-    return xtx, xty, float(row["yy"] or 0.0), int(row["n"]), float(row["sy"] or 0.0), float(row["yy"] or 0.0)
-
-
-def _ols_from_gram(xtx, xty, yy, n, sy, names, intercept):
-    beta = np.linalg.solve(xtx, xty)
-    sse = float(yy - 2 * beta @ xty + beta @ xtx @ beta)
-    p = len(beta)
-    dof = n - p
-    sigma2 = sse / dof if dof > 0 else float("nan")
-    cov = sigma2 * np.linalg.inv(xtx)
-    se = np.sqrt(np.maximum(np.diag(cov), 0.0))
-    tvals = beta / se
-    pvals = [t_two_sided_p(float(t), dof) for t in tvals]
-    sst = yy - (sy * sy / n if intercept else 0.0)   # uncentred when through the origin
+def _least_squares(r: np.ndarray, n: int, keep: list[int], names: list[str], intercept: bool) -> tuple[list, float]:
+    """Coefficient rows and R² from the factor of [X y] (y last), for the
+    columns ``keep`` of X.  Columns that depend on those before them get no
+    coefficient."""
+    y = r.shape[1] - 1
+    free = [keep[i] for i in independent_columns(r[:, keep])]
+    f = np.linalg.qr(r[:, [*free, y]], mode="r")
+    p = len(free)
+    rxx, rxy = f[:p, :p], f[:p, p]
+    sse = float(f[p, p] ** 2) if len(f) > p else 0.0
+    inv = np.linalg.inv(rxx) if p else np.zeros((0, 0))  # triangular, full rank
+    beta, dof = inv @ rxy, n - p
+    se = np.sqrt((inv * inv).sum(axis=1) * (sse / dof if dof > 0 else float("nan")))
+    sst = float(r[:, y] @ r[:, y])
+    if intercept:  # centred: the part of y that the constant column leaves
+        one = len(names) - 1
+        c = np.linalg.qr(r[:, [one, y]], mode="r")
+        sst = float(c[1, 1] ** 2) if len(c) > 1 else 0.0
     r2 = 1.0 - sse / sst if sst > 0 else float("nan")
-    return [(nm, float(b), float(s), float(t), float(pv)) for nm, b, s, t, pv in zip(names, beta, se, tvals, pvals)], r2
+    found = {}
+    for i, j in enumerate(free):
+        t = float(beta[i] / se[i]) if se[i] > 0 else (float("nan") if not se[i] == 0 else math.copysign(float("inf"), beta[i]))
+        found[j] = (float(beta[i]), float(se[i]), t, t_two_sided_p(t, dof) if math.isfinite(t) else (0.0 if math.isinf(t) else float("nan")))
+    return [(names[j], *found.get(j, (None, None, None, None))) for j in keep], r2
+
+
+def _factored(df: DataFrame, y: str, xs: list[str], intercept: bool) -> tuple[np.ndarray, int, list[str]]:
+    names = list(xs) + (["intercept"] if intercept else [])
+    cols = [F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(xs)] + ([F.lit(1.0).alias("one")] if intercept else [])
+    data = df.select(*cols, F.col(y).cast("double").alias("y"))
+    r, n = triangular_factor(data, data.columns)
+    return r, n, names
 
 
 # M1 -------------------------------------------------------------------------
 def ols(df: DataFrame, y: str, xs: list[str], intercept: bool = False) -> DataFrame:
     """Ordinary least squares (through the origin by default) → one row per
-    coefficient: (feature, coef, std_err, t_value, p_value, r2, n)."""
-    xtx, xty, yy, n, sy, _ = gram(df, y, xs, intercept)
-    names = list(xs) + (["intercept"] if intercept else [])
-    rows, r2 = _ols_from_gram(xtx, xty, yy, n, sy, names, intercept)
-    spark = df.sparkSession
-    return spark.createDataFrame([(*r, r2, n) for r in rows],
-                                 "feature string, coef double, std_err double, t_value double, p_value double, "
-                                 "r2 double, n long")
+    coefficient: (feature, coef, std_err, t_value, p_value, r2, n, dropped).
+
+    The rows are reduced to the triangular factor of [X y]
+    (:func:`~domus.operators.matrices.triangular_factor`).  A column that is a
+    linear combination of those before it (constant zero, collinear) is dropped:
+    ``dropped`` is true and it has no coefficient."""
+    r, n, names = _factored(df, y, xs, intercept)
+    rows, r2 = _least_squares(r, n, list(range(len(names))), names, intercept)
+    return df.sparkSession.createDataFrame([(*x, r2, n, x[1] is None) for x in rows],
+                                           "feature string, coef double, std_err double, t_value double, p_value double, "
+                                           "r2 double, n long, dropped boolean")
 
 
 # M2 -------------------------------------------------------------------------
 def backward_eliminate(df: DataFrame, y: str, xs: list[str], alpha: float = 0.05,
                        intercept: bool = False) -> DataFrame:
     """Drop the feature with the highest p-value while it exceeds ``alpha``,
-    one at a time.  One pass over the data (the Gram matrix); every step
+    one at a time.  One pass over the data (the triangular factor); every step
     re-solves a sub-system on the driver.  → step log (step, dropped,
-    p_value, remaining, r2)."""
-    xtx, xty, yy, n, sy, _ = gram(df, y, xs, intercept)
-    names = list(xs) + (["intercept"] if intercept else [])
+    p_value, remaining, r2).  Collinear features go first, without a p-value."""
+    r, n, names = _factored(df, y, xs, intercept)
     keep = list(range(len(names)))
-    log = []
-    step = 0
-    while keep:
-        sub = np.ix_(keep, keep)
-        rows, r2 = _ols_from_gram(xtx[sub], xty[keep], yy, n, sy, [names[i] for i in keep], intercept)
-        cand = [(r[4], i) for r, i in zip(rows, keep) if names[i] != "intercept"]
-        if not cand:
-            break
-        worst_p, worst = max(cand)
-        if not worst_p > alpha:
-            log.append((step, None, None, ",".join(names[i] for i in keep), r2))
+    log: list = []
+    while True:
+        rows, r2 = _least_squares(r, n, keep, names, intercept)
+        dependent = [i for x, i in zip(rows, keep) if x[1] is None and names[i] != "intercept"]
+        cand = [(x[4], -i) for x, i in zip(rows, keep) if names[i] != "intercept" and x[4] is not None]
+        remaining = lambda: ",".join(names[i] for i in keep)
+        if dependent:
+            worst, p = dependent[-1], None
+        elif cand and max(cand)[0] > alpha:
+            p, worst = max(cand)[0], -max(cand)[1]
+        else:
+            log.append((len(log), None, None, remaining(), r2))
             break
         keep.remove(worst)
-        log.append((step, names[worst], float(worst_p), ",".join(names[i] for i in keep), r2))
-        step += 1
+        log.append((len(log), names[worst], None if p is None else float(p), remaining(), r2))
     return df.sparkSession.createDataFrame(
         log, "step int, dropped string, p_value double, remaining string, r2 double")
 
@@ -205,8 +201,16 @@ def logistic(df: DataFrame, y: str, xs: list[str], c: float = 1.0, max_iter: int
     return lr.fit(data)
 
 
-def forest(df: DataFrame, y: str, xs: list[str], task: str = "regression", trees: int = 100,
-           seed: int = 42, max_depth: int = 12, max_bins: int = 64):
+#: sizes a fit has unless told otherwise: trees of a forest, the deepest that
+#: MLlib grows (unlimited is asked for), rounds and depth of boosting
+FOREST_TREES = 100
+FOREST_DEPTH = 30
+BOOSTING_ROUNDS = 1000
+BOOSTING_DEPTH = 6
+
+
+def forest(df: DataFrame, y: str, xs: list[str], task: str = "regression", trees: int = FOREST_TREES,
+           seed: int = 42, max_depth: int = FOREST_DEPTH, max_bins: int = 64):
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.regression import RandomForestRegressor
 
@@ -216,8 +220,8 @@ def forest(df: DataFrame, y: str, xs: list[str], task: str = "regression", trees
     return est.fit(training_rows(df, y, xs))
 
 
-def boosting(df: DataFrame, y: str, xs: list[str], task: str = "classification", iters: int = 50,
-             depth: int = 6, step: float = 0.1, seed: int = 42):
+def boosting(df: DataFrame, y: str, xs: list[str], task: str = "classification", iters: int = BOOSTING_ROUNDS,
+             depth: int = BOOSTING_DEPTH, step: float = 0.1, seed: int = 42):
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.regression import GBTRegressor
 
@@ -252,25 +256,39 @@ def score_linear_by_segment(df: DataFrame, coefs: DataFrame, segment: str, x: st
         out, F.col("intercept") + F.col("slope") * F.col(x)).drop("slope", "intercept")
 
 
-def fit_by_segment(df: DataFrame, segment: str, segments: list, fit) -> dict:
-    """Fit one model per segment value (``fit(segment_df) -> model``); the
-    fits are submitted concurrently so their Spark jobs overlap."""
-    with ThreadPoolExecutor(max_workers=min(4, max(1, len(segments)))) as pool:
-        futs = {s: pool.submit(fit, df.where(F.col(segment) == F.lit(s))) for s in segments}
-        return {s: f.result() for s, f in futs.items()}
+def fit_by_segment(df: DataFrame, segment: str, segments: list, fit, threads: int = 4) -> dict:
+    """Fit one model per segment value (``fit(segment_df) -> model``).  The rows
+    are written once, partitioned by segment, and each fit reads its own; the
+    fits are submitted concurrently so their Spark jobs overlap.  A segment
+    without rows has no model."""
+    path = f"{checkpoint_dir(df.sparkSession)}/segments-{uuid.uuid4().hex}"
+    own = df.where(F.col(segment).isin(segments)).withColumn("_segment", F.col(segment).cast("string"))
+    own.write.partitionBy("_segment").parquet(path)
+    schema = StructType([*df.schema.fields, StructField("_segment", StringType())])
+    data = df.sparkSession.read.schema(schema).parquet(path)
+    present = {r[0] for r in data.select("_segment").distinct().collect()}
+    todo = [s for s in segments if str(s) in present]
+    with ThreadPoolExecutor(max_workers=min(threads, max(1, len(todo)))) as pool:
+        futs = {s: pool.submit(fit, data.where(F.col("_segment") == F.lit(str(s))).drop("_segment")) for s in todo}
+        models = {s: f.result() for s, f in futs.items()}
+    remove_folder(df.sparkSession, path)
+    return models
 
 
 def score_by_segment(df: DataFrame, segment: str, models: dict, xs: list[str],
                      out: str = "prediction") -> DataFrame:
-    """Score each row with its segment's model; union of per-segment
-    transforms.  Rows of unknown or NULL segments and rows with a missing
-    feature are kept with a NULL prediction."""
-    known = F.coalesce(F.col(segment).isin(list(models)), F.lit(False))
-    res = df.where(~known).withColumn(out, F.lit(None).cast("double"))
-    for s, m in models.items():
-        part = score_rows(m, df.where(F.col(segment) == F.lit(s)), xs)
-        res = res.unionByName(part.withColumnRenamed("prediction", out).drop("features", "rawPrediction", "probability"))
-    return res
+    """Score each row with its segment's tree model in one pass over the rows
+    (:func:`~domus.operators.packed_trees.dispatch`).  Rows of unknown or NULL
+    segments and rows with a missing feature are kept with a NULL prediction."""
+    if not models:
+        return df.withColumn(out, F.lit(None).cast("double"))
+    packed = packed_trees.pack(models)
+    kinds = set(packed.kinds)
+    if len(kinds) > 1:
+        raise ValueError(f"the segments' models are of several kinds: {sorted(kinds)}")
+    scored = packed_trees.dispatch(df, packed, segment, xs, "_margin")
+    prediction, _ = packed_trees.predicted(F.col("_margin"), packed.kinds[0])
+    return scored.withColumn(out, F.when(complete(xs), prediction)).drop("_margin")
 
 
 # M10 / M11 ------------------------------------------------------------------
@@ -296,58 +314,75 @@ def score_batch(df: DataFrame, reg_xs: list[str], regressor, cls_xs: list[str],
 
 
 # C8 -------------------------------------------------------------------------
+CLASS_METRICS = ("f1", "precision", "recall", "accuracy", "roc_auc")
+REGRESSION_METRICS = ("rmse", "mae", "r2")
+
+
+def score_folds(models: list, data: DataFrame, xs: list[str], fold_col: str, y: str) -> DataFrame:
+    """(y, prediction, score, role, fold): every row under every fold's model,
+    in one pass over the rows whatever the number of folds.  The row's own fold
+    label decides whether it is test or train for a model."""
+    data = data.where(complete(xs))
+    if all(packed_trees.kind_of(m) for m in models):
+        packed = packed_trees.pack(dict(enumerate(models)))
+        wide = packed_trees.margins(data, packed, xs, "_margins")
+        outputs = [packed_trees.predicted(F.col("_margins")[i], kind) for i, kind in enumerate(packed.kinds)]
+    else:
+        # other models: their transforms chained over the same rows
+        wide, outputs = assemble(data, xs, "_x"), []
+        for i, m in enumerate(models):
+            scored = m.transform(wide.withColumnRenamed("_x", "features"))
+            score = vector_to_array(F.col("probability"))[1] if "probability" in scored.columns else F.lit(None).cast("double")
+            wide = scored.withColumns({f"_p{i}": F.col("prediction"), f"_s{i}": score}).withColumnRenamed("features", "_x").drop(
+                "prediction", "probability", "rawPrediction")
+            outputs.append((F.col(f"_p{i}"), F.col(f"_s{i}")))
+    role = lambda f: F.when(F.col(fold_col) == F.lit(f), F.lit("test")).otherwise(F.lit("train"))
+    each = F.array(*[F.struct(p.alias("prediction"), s.alias("score"), role(f).alias("role"), F.lit(f).alias("cv_fold"))
+                     for f, (p, s) in enumerate(outputs)])
+    return wide.select(y, F.inline(each))
+
+
 def cross_validate(df: DataFrame, y: str, xs: list[str], fold_col: str, k: int, fit,
                    task: str = "classification", refit: bool = False, parallel: int | None = None,
-                   materialise: bool = True):
+                   materialise: bool = True, metrics: tuple | list | None = None):
     """Fit on each fold's train rows, score train and test rows, evaluate all
     folds with one grouped aggregation.
 
-    ``fit(train_df) -> model`` (MLlib model with ``transform``).  Returns
-    (per-fold metrics, summary with mean and population std per metric,
-    refitted model or None)."""
-    from domus.operators.evaluation import binary_metrics, regression_metrics
-
-    # every fold fit reads the same rows: materialise them once in the shared
-    # checkpoint folder (also keeps the k-way union plan small)
+    ``fit(train_df) -> model`` (MLlib model with ``transform``).  ``metrics``
+    chooses among f1, precision, recall, accuracy, roc_auc (default: the first
+    four) or rmse, mae, r2.  Returns (per-fold metrics, summary with mean and
+    population std per metric, refitted model or None); the 2·k metric rows are
+    computed here."""
+    from domus.operators.evaluation import binary_metrics, regression_metrics, roc_auc
+
+    known = CLASS_METRICS if task == "classification" else REGRESSION_METRICS
+    metrics = list(metrics or (known[:4] if task == "classification" else known))
+    if not set(metrics) <= set(known):
+        raise ValueError(f"unknown metrics {sorted(set(metrics) - set(known))}, known are {known}")
+    # every fold fit reads the same rows: materialise them once in the shared checkpoint folder
     data = df.select(y, fold_col, *xs)
     if materialise:  # callers that already checkpointed their folds pass False
         data = cut_lineage(data)
 
-    def one(f):
-        train = data.where(F.col(fold_col) != f)
-        model = fit(train)
-        scored = score_rows(model, data.where(complete(xs)), xs)
-        score = (vector_to_array(F.col("probability"))[1] if "probability" in scored.columns
-                 else F.lit(None).cast("double"))
-        # role first: the row's own fold label decides train / test for fit f
-        role = F.when(F.col(fold_col) == F.lit(f), F.lit("test")).otherwise(F.lit("train"))
-        return scored.select(y, "prediction", score.alias("score"), role.alias("role"),
-                             F.lit(f).alias("cv_fold"))
-
-    # the k fold fits (and the refit on all rows) are independent Spark jobs:
-    # submit them together
+    # the k fold fits (and the refit on all rows) are independent Spark jobs: submit them together
     with ThreadPoolExecutor(max_workers=parallel or (k + 1)) as pool:
         refit_future = pool.submit(fit, data) if refit else None
-        parts = list(pool.map(one, range(k)))
+        models = list(pool.map(lambda f: fit(data.where(F.col(fold_col) != f)), range(k)))
         model = refit_future.result() if refit_future else None
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
+    scored = score_folds(models, data, xs, fold_col, y)
     if task == "classification":
-        from domus.operators.evaluation import roc_auc
-
-        per = binary_metrics(allp, y, "prediction", by=["cv_fold", "role"]).select(
-            "cv_fold", "role", "f1", "precision", "recall", "accuracy")
-        auc = roc_auc(allp.where(F.col("score").isNotNull()), y, "score", by=["cv_fold", "role"])
-        per = per.join(auc, ["cv_fold", "role"], "left")
-        metric_cols = ["f1", "precision", "recall", "accuracy", "roc_auc"]
+        if "roc_auc" in metrics:  # ranks the scores: a second reader of the scored rows
+            scored = cut_lineage(scored)
+        per = binary_metrics(scored, y, "prediction", by=["cv_fold", "role"])
+        if "roc_auc" in metrics:
+            auc = roc_auc(scored.where(F.col("score").isNotNull()), y, "score", by=["cv_fold", "role"])
+            per = per.join(auc, ["cv_fold", "role"], "left")
     else:
-        per = regression_metrics(allp, y, "prediction", by=["cv_fold", "role"]).select(
-            "cv_fold", "role", "rmse", "mae", "r2")
-        metric_cols = ["rmse", "mae", "r2"]
-    per = per.withColumnRenamed("cv_fold", "fold")
-    summary = per.groupBy("role").agg(*[F.avg(m).alias(f"mean_{m}") for m in metric_cols],
-                                      *[F.stddev_pop(m).alias(f"std_{m}") for m in metric_cols])
+        per = regression_metrics(scored, y, "prediction", by=["cv_fold", "role"])
+    per = per.select(F.col("cv_fold").alias("fold"), "role", F.col("n").alias("num_rows"), *metrics)
+    per = df.sparkSession.createDataFrame(per.collect(), per.schema)  # 2·k rows
+    summary = per.groupBy("role").agg(*[F.avg(m).alias(f"mean_{m}") for m in metrics],
+                                      *[F.stddev_pop(m).alias(f"std_{m}") for m in metrics])
     return per, summary, model
 
 
@@ -363,6 +398,11 @@ class MostFrequentModel:
     def transform(self, df: DataFrame) -> DataFrame:
         return df.withColumn("prediction", F.lit(self.value))
 
+    def save(self, path: str) -> None:
+        """The value as a one-row table."""
+        spark = SparkSession.builder.getOrCreate()
+        spark.createDataFrame([(self.value,)], "value double").write.parquet(path)
+
 
 def decision_grid(model, df: DataFrame, x1: str, x2: str, steps: int = 100, margin: float = 1.0) -> DataFrame:
     """Predicted class over a ``steps × steps`` grid spanning the two

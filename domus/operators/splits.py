@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from domus.functions.columns import portable_hash  # noqa: F401  (re-exported)
-from domus.operators.joins import bounded_broadcast
-from domus.operators.ordering import with_global_index
+from domus.operators.joins import join_detail_aggregate, small_side
+from domus.operators.ordering import indexed, with_global_index
+
+GROUP_SALTS = 32  # tasks a group's rows are dealt to where the groups are too many to broadcast
 
 
 # C1 -------------------------------------------------------------------------
@@ -45,49 +47,49 @@ def stratified_kfold_label(df: DataFrame, target: str, order: list[str], k: int
     sequence is dealt round-robin into k folds (position p → fold p mod k),
     which fixes how many rows of each class every fold receives; each
     class's rows, in ``order``, then fill its folds contiguously.
+
+    Rows meet their class by (class, bucket of the global index): a bucket has a
+    bounded number of rows, so a class that holds most of them is still spread
+    over tasks, and no table has to be small enough to broadcast.
     """
-    w_first = F.min(F.struct(*[F.col(c) for c in order]))
-    classes = df.groupBy(target).agg(F.count(F.lit(1)).alias("_nc"), w_first.alias("_first"))
-    # one row per class: bounded by the number of classes
-    rank_w = Window.orderBy("_first")
-    classes = classes.withColumn(
-        "_start", F.coalesce(F.sum("_nc").over(rank_w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    folds = classes.withColumn("_f", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-
-    def upto(b):  # positions p in [0, b) with p mod k == f
-        return F.greatest(F.lit(0), F.floor((b - F.col("_f") + F.lit(k - 1)) / F.lit(k)))
-
-    folds = folds.withColumn("_alloc", upto(F.col("_start") + F.col("_nc")) - upto(F.col("_start")))
-    fw = Window.partitionBy(target).orderBy("_f")
-    folds = folds.withColumn("_lo", F.coalesce(
-        F.sum("_alloc").over(fw.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    folds = folds.withColumn("_hi", F.col("_lo") + F.col("_alloc")).select(target, "_f", "_lo", "_hi")
-
-    # position of each row inside its class, in ``order``
-    idx = with_global_index(df, [target] + order, "_idx")
-    by_value = Window.orderBy(target)
-    starts = classes.select(target, "_nc").withColumn(
-        "_vstart", F.coalesce(F.sum("_nc").over(by_value.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    # classes × k rows: must be small (a shuffle join on the class would put a
-    # whole class in one task)
-    folds = bounded_broadcast(folds, "stratified folds (classes × k)")
-    # one row per class; a NULL class is a class
-    starts = bounded_broadcast(starts.select(F.col(target).alias("_class"), "_vstart"), "stratified folds (classes)")
-    pos = idx.join(starts, F.col(target).eqNullSafe(F.col("_class"))).drop("_class")
-    pos = pos.withColumn("_j", F.col("_idx") - F.col("_vstart"))
-    folds = folds.withColumnRenamed(target, "_class")
-    j = pos.join(F.broadcast(folds), F.col(target).eqNullSafe(F.col("_class"))
-                 & (F.col("_j") >= F.col("_lo")) & (F.col("_j") < F.col("_hi")))
-    return j.withColumn(out, F.col("_f").cast("int")).drop("_class", "_idx", "_vstart", "_j", "_f", "_lo", "_hi")
+    idx = with_global_index(df, [target] + order, "_idx", bucket="_bucket")
+    spans = idx.groupBy(target, "_bucket").agg(F.count(F.lit(1)).alias("_nb"), F.min(F.struct(*[F.col(c) for c in order])).alias("_first"))
+    # one row per class
+    classes = spans.groupBy(target).agg(F.sum("_nb").alias("_nc"), F.min("_first").alias("_first"))
+
+    def before(by):
+        w = Window.orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("_nc").over(w), F.lit(0))
+
+    classes = classes.withColumns({"_start": before("_first"), "_vstart": before(target)}).select(
+        F.col(target).alias("_class"), "_nc", "_start", "_vstart")
+    spans = small_side(spans.select(F.col(target).alias("_t"), F.col("_bucket").alias("_b"))
+                       .join(classes, F.col("_t").eqNullSafe(F.col("_class"))).drop("_class"))
+    j = idx.join(spans, F.col(target).eqNullSafe(F.col("_t")) & (F.col("_bucket") == F.col("_b")))
+
+    # rows of the class in fold f: positions p in [start, start + n) with p mod k = f, so
+    # n div k, and one more for the n mod k folds from start mod k on, cyclically
+    base, extra, first = F.floor(F.col("_nc") / k), F.col("_nc") % k, F.col("_start") % k
+
+    def rows_before(f):  # rows of the class in the folds below f
+        more = F.greatest(F.lit(0), F.least(first + extra, f) - first) + F.greatest(F.lit(0), F.least(first + extra - k, f))
+        return f * base + more
+
+    pos = F.col("_idx") - F.col("_vstart")
+    folds = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda f: rows_before(f) <= pos)
+    return j.withColumn(out, (F.array_size(folds) - 1).cast("int")).drop("_idx", "_bucket", "_t", "_b", "_nc", "_start", "_vstart")
 
 
 # C4 -------------------------------------------------------------------------
 def group_label(df: DataFrame, group: str, out: str = "fold") -> DataFrame:
     """Leave-one-group-out: fold = rank of the group value (0-based); fold f
-    tests group f and trains on the others."""
+    tests group f and trains on the others.  A NULL group has no fold.
+
+    The table of groups joins back behind the size check; beyond it, rows and
+    groups meet by (group, salt), so a few hot groups are spread over tasks."""
     groups = df.select(group).where(F.col(group).isNotNull()).distinct()
-    ranked = with_global_index(groups, [group], out)
-    return df.join(ranked.withColumn(out, F.col(out).cast("int")), group, "left")
+    ranked = groups.withColumn(out, (F.row_number().over(Window.orderBy(group)) - 1).cast("int"))  # one row per group
+    return join_detail_aggregate(df, ranked, [group], "left", salts=GROUP_SALTS)
 
 
 # C5 -------------------------------------------------------------------------
@@ -96,8 +98,11 @@ def time_series_folds(df: DataFrame, order: list[str], k: int = 5) -> DataFrame:
     (0-based) tests rows [n-(k-f)·t, n-(k-f-1)·t) and trains on every row
     before.  Adds ``row_index``, ``test_fold`` (NULL if never tested) and
     ``first_train_fold`` (the first fold whose train set holds the row;
-    NULL if none) — the long form is :func:`fold_roles`."""
-    j = with_global_index(df, order, "row_index", total="_n")
+    NULL if none) — the long form is :func:`fold_roles`.  Fewer rows than
+    k + 1 cannot be split: an error."""
+    j, n = indexed(df, order, "row_index", total="_n")
+    if n < k + 1:
+        raise ValueError(f"{k} time-series folds need at least {k + 1} rows, got {n}")
     t = F.floor(F.col("_n") / F.lit(k + 1))
     first_test = F.col("_n") - F.lit(k) * t
     i = F.col("row_index")

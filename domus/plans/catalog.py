@@ -8,6 +8,7 @@ MODULES = [
     "domus.plans.catalog_prep",
     "domus.plans.catalog_features",
     "domus.plans.catalog_eval",
+    "domus.plans.catalog_edges",
     "domus.plans.catalog_models",
 ]
 

@@ -488,6 +488,7 @@ def d2_categorical_drift_p_value(spark, d):
 
 @register("d3_dataset_drift", oracle(
     """SELECT count(*) AS n_columns, CAST(sum(CASE WHEN drifted THEN 1 ELSE 0 END) AS BIGINT) AS n_drifted,
+              count(CASE WHEN drifted IS NULL THEN 1 END) AS n_unknown,
               sum(CASE WHEN drifted THEN 1 ELSE 0 END) / count(*) AS share_drifted,
               sum(CASE WHEN drifted THEN 1 ELSE 0 END) / count(*) >= 0.5E0 AS dataset_drift
        FROM (SELECT "column", drifted FROM numdrift
@@ -502,7 +503,7 @@ def d3_dataset_drift(spark, d):
 
 @register("d4_target_correlations", oracle(
     " UNION ALL ".join(
-        f"""SELECT '{side}' AS side, '{f}' AS feature, corr(price, {f}) AS r,
+        f"""SELECT '{side}' AS side, CAST(NULL AS VARCHAR) AS target_class, '{f}' AS feature, corr(price, {f}) AS r,
                    count(CASE WHEN price IS NOT NULL AND {f} IS NOT NULL THEN 1 END) AS n
             FROM base WHERE {cond}"""
         for side, cond in (("ref", f"transaction_date < DATE '{REF_END}'"),
@@ -515,8 +516,8 @@ def d4_target_correlations(spark, d):
 
 
 @register("d4_target_drift", oracle(
-    "SELECT * FROM numdrift WHERE \"column\" = 'price'", ["tx", BASE_CTE, NUM_DRIFT_SQL],
-    ["ks_statistic", "ks_p_value", "wasserstein_norm"], 6))
+    """SELECT "column", 'number' AS kind, n_ref, n_cur, CASE WHEN method = 'ks' THEN ks_statistic ELSE wasserstein_norm END AS statistic,
+              method, drifted FROM numdrift WHERE "column" = 'price'""", ["tx", BASE_CTE, NUM_DRIFT_SQL], ["statistic"], 6))
 def d4_target_drift(spark, d):
     ref, cur = _periods(spark, d)
     drift, _ = D.target_drift(ref, cur, "price", None, ["living_area"])

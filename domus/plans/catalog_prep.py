@@ -18,8 +18,7 @@ DEPT_Q = 0.25
 TOP_REGIONS = 3
 PCT_BELOW = 0.1
 
-SURF = ["surface_terrains_nature", "surface_terrains_sols", "surface_terrains_agricoles",
-        "surface_locaux_industriels", "surface_dependances"]
+SURF = P.SURFACE_COLUMNS
 
 BASE_CTE = f"""base AS (
   SELECT * EXCLUDE ({", ".join(SURF)}),

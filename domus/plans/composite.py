@@ -6,7 +6,6 @@ the size checks of small sides (see ``domus.operators.joins``).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +14,7 @@ from domus.operators import joins as J
 from domus.operators import windows as W
 from domus.operators.aggregates import CITY_KEY, CITY_MONTH_KEY, city_month_stats, quantile
 from domus.operators.encoding import one_hot
+from domus.session import cut_lineage
 
 MONTH_KEYS = ["transaction_year", "transaction_month"]
 
@@ -53,7 +53,7 @@ def prepare_transactions(tx: DataFrame, regions: DataFrame, since: str = "2018-0
     base = prepared_base(tx, since)
     kept, _ = city_month_stats(base, CITY_MONTH_KEY, min_count=min_count, with_row_count=True)
     # the city-month table feeds three branches below: materialise it once
-    kept = J.small_side(kept.persist(StorageLevel.MEMORY_AND_DISK))
+    kept = J.small_side(cut_lineage(kept))
 
     # A7 on departments: rows per department after the join = Σ num_rows.
     dept_counts = kept.groupBy("department").agg(F.sum("num_rows").alias("count"))
@@ -83,7 +83,7 @@ def city_features(stats: DataFrame, q: float = 0.8, window: int = 6) -> DataFram
     means over ``window`` retained months, incomplete rows dropped."""
     # the city-month table feeds three branches (group totals, the share
     # quantile, the windows): keep it instead of recomputing it
-    stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
+    stats = cut_lineage(stats)
     flagged = W.city_demand_flag(stats, "city_requested", q)
     order = MONTH_KEYS
     lagged = W.add_lag(flagged, {"avg_price_per_m2": "avg_price_per_m2_previous_month",
@@ -120,6 +120,7 @@ def annual_macro(debt_ratio: DataFrame, financial_assets: DataFrame) -> DataFram
                              first="debt_ratio_change", second="debt_ratio_acceleration")
 
 
+# fixed values: names of the input schema that are not features
 METADATA_COLUMNS = [
     "transaction_id", "transaction_date", "city_id", "city", "department_code", "department",
     "region_code", "region", "address", "postal_code", "cadastral_parcel_id",
