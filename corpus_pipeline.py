@@ -4,7 +4,8 @@ decontamination, secret redaction, BPE encoding and decoding.
 Each stage takes (spark, docs, sf_dir), works on all its predecessor kept and
 returns a DataFrame; all but the last return the columns of ``documents``.
 ``run`` writes every stage's result as Parquet in the shared checkpoint folder
-and reads it again as the next one's input.
+and reads it again as the next one's input; a stage's folder is removed when the
+next one stands.
 """
 
 from __future__ import annotations
@@ -54,7 +55,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.table(spark, sf_dir, "documents")
+    docs, done = common.table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = common.materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        out, path = stage(spark, docs, sf_dir), common.shared_dir(spark, name.replace(" ", "-"))
+        out.write.parquet(path)
+        if done:
+            common.remove_folder(spark, done)
+        docs, done = spark.read.schema(out.schema).parquet(path), path
     return docs
