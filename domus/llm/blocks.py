@@ -59,7 +59,7 @@ def text_blocks(docs: DataFrame, limit: int | None = None) -> DataFrame:
 
         for b in batches:
             own = b.column("doc_id").fill_null(NO_ID).to_pylist()
-            for i, n, data, offs in slices(b, "text", 1 << 18):
+            for i, n, data, offs in slices(b, "text", min(limit, 1 << 18)):
                 ids += own[i:i + n]
                 parts.append(data.tobytes())
                 lens += np.diff(offs).tolist()

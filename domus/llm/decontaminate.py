@@ -8,11 +8,15 @@ pattern holds the block, else its smallest distance to a pattern's end.  At a
 shift of 0 the block's bucket lists the patterns that end with it; each is
 compared word for word.  Many cursors, one per stretch of words, move in step.
 
-Benchmark texts are read in blocks of items bounded by ``ITEM_BLOCK_CHARS``
-characters, whose tables are broadcast one block at a time; with more than one
-block, each is a pass over the documents and word hits are united per document.
+A Spark job makes the distinct windows of the benchmark with the items that
+hold them and writes them; the search takes them in blocks (by hash) of at most
+about ``ITEM_BLOCK_CHARS`` characters of windows.  With more than one block, each
+is a pass over the documents whose result is written before the next block's
+tables are built, and word hits are united per document.
 Null texts have no words; items or documents without words match nothing;
-repeated items and documents each count as they stand (equal item_ids once).
+repeated items and documents each count as they stand (equal item_ids once).  An
+item whose item_id is null is searched for like any other, but has no name to be
+counted or listed by.
 """
 
 from __future__ import annotations
@@ -22,12 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from domus.llm.common import ALNUM_WORDS, LOWER, gram_hashes, id_and_text, slices, table, within_ranges, word_hashes, word_spans
+from domus.llm.common import ALNUM_WORDS, LOWER, gram_hashes, id_and_text, materialise, slices, table, within_ranges, word_hashes, word_spans
 
 WINDOW = 10
 BLOCK = 2
 STRETCH = 1024  # words a cursor covers
-ITEM_BLOCK_CHARS = 16 << 20
+ITEM_BLOCK_CHARS = 32 << 20  # characters of windows compiled and broadcast at a time
 
 
 def split_words(text: str | None) -> list:
@@ -49,11 +53,11 @@ class WordGroup:
     """Shift table and buckets of the patterns of one length."""
 
     def __init__(self, length: int, patterns: dict):
-        """patterns: tuple of words -> sorted list of item numbers."""
+        """patterns: tuple of words -> names of the items that hold it."""
         self.length = length
         self.block = b = min(BLOCK, length)
         self.words = list(patterns)
-        self.items = [np.array(v, np.int64) for v in patterns.values()]
+        self.items = list(patterns.values())
         flat = _hash_words([w for p in self.words for w in p]).reshape(-1, length)
         at = np.arange(len(self.words) * length).reshape(-1, length)
         blocks = [gram_hashes(flat.ravel(), at[:, j], at[:, j] + b) for j in range(length - b + 1)]
@@ -100,31 +104,42 @@ class WordGroup:
         return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
-def compile_patterns(items: list) -> tuple:
-    """(item ids, groups) of (item_id, text) rows."""
-    by_length: dict = {}
-    ids = sorted({i for i, _ in items}, key=lambda x: (x is None, str(x)))
-    number = {i: n for n, i in enumerate(ids)}
-    for i, text in items:
-        words = split_words(text)
-        m = min(WINDOW, len(words))
-        for at in range(len(words) - m + 1 if m else 0):
-            by_length.setdefault(m, {}).setdefault(tuple(words[at:at + m]), set()).add(number[i])
-    return ids, [WordGroup(m, {p: sorted(v) for p, v in pats.items()}) for m, pats in sorted(by_length.items())]
+def item_windows(benchmark: DataFrame) -> DataFrame:
+    """(length, words, items): the distinct windows, words joined by a space,
+    and the names of the items that hold them."""
+    def run(batches):
+        for b in batches:
+            for item, text in zip(b.column("item").to_pylist(), b.column("text").to_pylist(), strict=True):
+                words = split_words(text)
+                m = min(WINDOW, len(words))
+                own = sorted({b" ".join(words[at:at + m]) for at in range(len(words) - m + 1 if m else 0)})
+                if own:
+                    yield pa.RecordBatch.from_arrays([pa.array([m] * len(own), pa.int32()), pa.array(own, pa.binary()), pa.array([item] * len(own), pa.string())],
+                                                     names=["length", "words", "item"])
+
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
+    windows = items.mapInArrow(run, "length int, words binary, item string")
+    return windows.groupBy("length", "words").agg(F.array_sort(F.collect_set("item")).alias("items"))
+
+
+def window_blocks(benchmark: DataFrame):
+    """(number of blocks, function that compiles block k into word groups)."""
+    windows = materialise(item_windows(benchmark), "benchmark-windows")
+    size = windows.agg(F.sum(F.octet_length("words").cast("long"))).first()[0] or 0
+    n = -(-int(size) // ITEM_BLOCK_CHARS) or 1
 
+    def block(k: int) -> list:
+        part = windows if n == 1 else windows.where(F.pmod(F.xxhash64("words"), F.lit(n)) == k)
+        by_length: dict = {}
+        for r in part.collect():  # one block
+            by_length.setdefault(r["length"], {})[tuple(bytes(r["words"]).split(b" "))] = list(r["items"])
+        return [WordGroup(m, pats) for m, pats in sorted(by_length.items())]
 
-def item_blocks(benchmark: DataFrame):
-    """Yield lists of (item_id, text), each bounded in size."""
-    items = benchmark.select(F.col("item_id"), F.col("text").cast("string").alias("text"))
-    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = -(-int(size) // ITEM_BLOCK_CHARS) or 1
-    for k in range(n):
-        part = items if n == 1 else items.filter(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k)
-        yield [(r[0], r[1]) for r in part.collect()]
+    return n, block
 
 
 def _occurrences(groups: list, data: np.ndarray, offs: np.ndarray):
-    """Yield (document, first word, one past the last, item numbers) of every
+    """Yield (document, first word, one past the last, item names) of every
     occurrence in a slice, compared word for word."""
     low = LOWER[data]
     s, e, doc_words = word_spans(low, offs, ALNUM_WORDS)
@@ -138,18 +153,16 @@ def _occurrences(groups: list, data: np.ndarray, offs: np.ndarray):
         for p, q, d in zip(pos.tolist(), pat.tolist(), doc.tolist(), strict=True):
             if all(raw[x:y] == w for x, y, w in zip(s[p:p + g.length].tolist(), e[p:p + g.length].tolist(), g.words[q], strict=True)):
                 first = p - int(doc_words[d])
-                yield d, first, first + g.length, g.items[q].tolist()
+                yield d, first, first + g.length, g.items[q]
 
 
-def find_hits(docs: DataFrame, items: list) -> DataFrame:
-    """doc_id, n_words, hits (array of start, end word runs), item_ids (array<string>)."""
-    ids, groups = compile_patterns(items)
-    names = [None if i is None else str(i) for i in ids]
-    model = docs.sparkSession.sparkContext.broadcast((names, groups))
+def find_hits(docs: DataFrame, model) -> DataFrame:
+    """doc_id, n_words, hits (array of start, end word runs), item_ids
+    (array<string>); ``model`` is the broadcast of a block's word groups."""
     run_type = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
 
     def run(batches):
-        names, groups = model.value
+        groups = model.value
         for b in batches:
             own = b.column("doc_id")
             for i, n, data, offs in slices(b, "text"):
@@ -162,7 +175,7 @@ def find_hits(docs: DataFrame, items: list) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [own.slice(i, n), pa.array(np.diff(doc_words)),
                      pa.array([[{"first": x, "last": y} for x, y in merge(v)] for v in spans], run_type),
-                     pa.array([sorted(names[k] for k in v if names[k] is not None) for v in seen], pa.list_(pa.string()))],
+                     pa.array([sorted(v) for v in seen], pa.list_(pa.string()))],
                     names=["doc_id", "n_words", "hits", "item_ids"])
 
     return docs.mapInArrow(run, "doc_id long, n_words long, hits array<struct<first:long,last:long>>, item_ids array<string>")
@@ -180,12 +193,17 @@ def merge(spans: list) -> list:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, hits, item_ids, contaminated."""
-    rows = id_and_text(docs)
-    found = [find_hits(rows, items) for items in item_blocks(benchmark)]
-    hits = found[0]
-    if len(found) > 1:
+    rows, spark = id_and_text(docs), docs.sparkSession
+    n, block = window_blocks(benchmark)
+    if n == 1:
+        hits = find_hits(rows, spark.sparkContext.broadcast(block(0)))
+    else:
         # every pass gives a row the same number, which keeps repeated doc_ids apart
-        parts = [f.withColumn("row", F.monotonically_increasing_id()) for f in found]
+        parts = []
+        for k in range(n):
+            model = spark.sparkContext.broadcast(block(k))
+            parts.append(materialise(find_hits(rows, model).withColumn("row", F.monotonically_increasing_id()), "hits"))
+            model.unpersist()
         both = parts[0]
         for p in parts[1:]:
             both = both.unionByName(p)
@@ -212,17 +230,20 @@ def _merged(name: str):
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text holds no pattern."""
+    n, block = window_blocks(benchmark)
     kept = docs
-    for items in item_blocks(benchmark):
-        kept = _without_hits(kept, items)
+    for k in range(n):
+        model = docs.sparkSession.sparkContext.broadcast(block(k))
+        kept = _without_hits(kept, model)
+        if n > 1:
+            kept = materialise(kept, "clean")
+            model.unpersist()
     return kept
 
 
-def _without_hits(docs: DataFrame, items: list) -> DataFrame:
-    model = docs.sparkSession.sparkContext.broadcast(compile_patterns(items))
-
+def _without_hits(docs: DataFrame, model) -> DataFrame:
     def run(batches):
-        _, groups = model.value
+        groups = model.value
         for b in batches:
             hit = np.zeros(b.num_rows, bool)
             for i, _, data, offs in slices(b, "text"):

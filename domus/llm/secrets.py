@@ -136,12 +136,13 @@ def spans_text(spans):
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of its text replaced by MASK; same columns.
-    Only texts that may hold a part move; they meet their spans by doc_id and
-    the text's hash.  Overlapping spans are masked as one."""
+    Only texts that may hold a span move (a weak part has none without a strong
+    one or an identifier); they meet their spans by doc_id and the text's hash.
+    Overlapping spans are masked as one."""
     text = F.col("text")
     may = F.lit(False)
     for kind, _, test in KINDS:
-        if kind != "break":
+        if kind in (*STRONG, "ident"):
             may = may | test(text)
     may = F.coalesce(may, F.lit(False))
     found = scan_secrets(docs).filter(F.size("spans") > 0).dropDuplicates(["doc_id", "hash"])
