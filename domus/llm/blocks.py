@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from domus.llm.common import id_and_text, slices
+from domus.llm.common import give_back, id_and_text, slices
 
 BLOCK_BYTES = 4 << 20
 BUCKET_TEXT_BYTES = 16 << 20  # text bytes whose fingerprints share a bucket
@@ -75,6 +75,7 @@ def text_blocks(docs: DataFrame, limit: int | None = None) -> DataFrame:
 
 def unpack(rows: pa.Table):
     """doc_ids, bytes and offsets of a block."""
+    give_back()  # of the block before
     ids, datas, offs, at = [], [], [np.zeros(1, np.int64)], 0
     for r in rows.sort_by([("ids", "ascending"), ("offsets", "ascending")]).to_pylist():
         ids.append(np.frombuffer(r["ids"], np.int64))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from domus.llm import blocks as B
-from domus.llm.common import id_and_text, table, word_hashes
+from domus.llm.common import give_back, id_and_text, table, word_hashes
 from domus.llm.tokens import load_tokenizer, tokenizer_path
 
 BLOCK_BYTES = 6 << 20  # text of a block: bounds the memory of every task
@@ -106,6 +106,7 @@ def encode_words(words: DataFrame, path: str) -> DataFrame:
     """(block, bucket, stage, bits): for every block's words of a bucket the
     number of ids of each and the ids, packed; a distinct word is encoded once."""
     def run(rows):
+        give_back()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         lib = load_tokenizer(path)
         lists = [B.decompress(x).split(b"\n") for x in rows.column("blob").to_pylist()]
@@ -135,6 +136,7 @@ def encode_decode(docs: DataFrame, path: str, digest: bool = True) -> DataFrame:
         "doc_id long, n_tokens long, ids array<int>, decoded string"
 
     def join(key, left, right):
+        give_back()  # of the block before
         piece = pieces.value
         counts, codes = [], []
         for r in sorted(right.to_pylist(), key=lambda r: r["bucket"]):

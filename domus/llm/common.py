@@ -13,6 +13,18 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 1 << 20  # text bytes handled by one numpy pass (a longer document is one pass)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: worker processes live on between
+    groups and tasks, and what one keeps the next ones lack."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from domus.llm import blocks as B
-from domus.llm.common import LOWER, gram_hashes, materialise, mix64, table, within_ranges, word_hashes, word_spans
+from domus.llm.common import LOWER, give_back, gram_hashes, materialise, mix64, table, within_ranges, word_hashes, word_spans
 
 MAX_WORDS = 4
 THRESHOLD = 30
@@ -117,6 +117,7 @@ class _Phrases:
     the class of each occurrence."""
 
     def __init__(self, rows: pa.Table, buckets: int):
+        give_back()  # of the block before
         row = rows.slice(0, 1).to_pylist()[0]
         self.times = len(rows)  # equal blocks
         self.langs, sizes = zip(*json.loads(row["langs"]), strict=True)
@@ -125,7 +126,7 @@ class _Phrases:
         self.lang = np.repeat(np.arange(len(self.langs)), np.diff(self.by_lang))
         salts = [int.from_bytes(hashlib.blake2b(k.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") for k in self.langs]
         self.salt = np.array(salts, np.uint64)[self.lang]
-        self.words = word_hashes(self.data, self.starts, self.ends)
+        self.words = self.word_hashes(0)
         # words of one piece stand one byte apart
         joined = np.append(self.data, np.uint8(_BREAK))[self.ends] == _SPACE
         self.first = []
@@ -135,6 +136,15 @@ class _Phrases:
             at = at[joined[at + n - 1]]
         self.classes = [self.class_of(n, buckets) for n in range(1, MAX_WORDS + 1)]
 
+    def word_hashes(self, which: int) -> np.ndarray:
+        """Hashes of the words, a stretch of about ``CUT_BYTES`` at a time."""
+        cuts = np.unique(np.r_[0, np.searchsorted(self.starts, np.arange(CUT_BYTES, len(self.data), CUT_BYTES)), len(self.starts)])
+        out = [np.zeros(0, np.uint64)]
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            at = int(self.starts[lo])
+            out.append(word_hashes(self.data[at:self.ends[hi - 1]], self.starts[lo:hi] - at, self.ends[lo:hi] - at, which))
+        return np.concatenate(out)
+
     def class_of(self, n: int, buckets: int) -> np.ndarray:
         at = self.first[n - 1]
         g = mix64(gram_hashes(self.words, at, at + n) ^ self.salt[at])
@@ -149,7 +159,7 @@ class _Phrases:
     def exact(self, keys: np.ndarray) -> pa.Table:
         """(key, lang, phrase, words, n) of the phrases in the given classes."""
         out = []
-        second = word_hashes(self.data, self.starts, self.ends, 1)
+        second = self.word_hashes(1)
         for n in range(1, MAX_WORDS + 1):
             own = np.flatnonzero(is_in(self.classes[n - 1], keys))
             key, at = self.classes[n - 1][own], self.first[n - 1][own]

@@ -108,7 +108,8 @@ def link_parts(parts: DataFrame) -> DataFrame:
         other = here.filter(F.col("kind").isin(kinds)).select(
             F.col("row").alias("o_row"), F.col("scope").alias("o_scope"), F.col("start").alias("o_start"), F.col("end").alias("o_end"),
             F.explode(F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda d: F.floor(F.col("start") / REACH) + d)).alias("o_bin"))
-        return side.join(other, (F.col("row") == F.col("o_row")) & (F.col("scope") == F.col("o_scope")) & (F.col("bin") == F.col("o_bin"))
+        # a side grows with the documents: no broadcast, whatever its estimate
+        return side.join(other.hint("merge"), (F.col("row") == F.col("o_row")) & (F.col("scope") == F.col("o_scope")) & (F.col("bin") == F.col("o_bin"))
                          & (F.abs(F.col("start") - F.col("o_start")) <= REACH)
                          & ((F.col("end") <= F.col("o_start")) | (F.col("o_end") <= F.col("start"))), "left_semi")
 

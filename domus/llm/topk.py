@@ -8,7 +8,8 @@ product only for pairs that still reach the query's k-th best score so far.
 
 Queries and candidates meet in a grid of cells (query shard x candidate shard)
 of bounded size; each cell keeps k rows per query, which a window per query
-merges.  Components are integers floor(scale * x), so scores are exact.
+merges.  Components are integers floor(scale * x), so scores are exact; where
+they are so large that products could pass 64 bits, an error is raised.
 
 Vectors that are null or hold null or non-finite components, and null ids, take
 no part; vectors are compared with those of their own length only.  Rows that
@@ -29,6 +30,7 @@ SEGMENTS = (16, 4, 2)  # components per segment, coarse to fine
 CELL_CANDIDATES = 16_384
 CELL_QUERIES = 16_384
 TILE = 2_048
+QUERY_BLOCK = 256
 
 
 def integer_vectors(vectors: DataFrame, scale: int) -> DataFrame:
@@ -58,7 +60,7 @@ def segment_features(x: np.ndarray, width: int) -> np.ndarray:
 
 
 class BestSoFar:
-    """The k best (score, id) of every query."""
+    """The k best (score, id) of every query of a block."""
 
     def __init__(self, n: int, k: int):
         self.k = k
@@ -79,19 +81,23 @@ class BestSoFar:
         self.limit[q[last]] = s[last]
 
 
-def search_cell(q_ids, q, c_ids, c, k: int) -> BestSoFar:
-    """The k best candidates of a cell for each of its queries, exactly."""
-    best = BestSoFar(len(q), k)
+def search_cell(q_ids, q, c_ids, c, k: int) -> tuple:
+    """(query number, score, vec_id) of the k best candidates of a cell for each
+    of its queries, exactly.  A block of queries keeps its own small table."""
     qf, cf = q.astype(np.float64), c.astype(np.float64)
+    reach = float(np.abs(qf).max(initial=0)) * float(np.abs(cf).max(initial=0)) * q.shape[1]
+    if reach >= 2.0 ** 63:
+        raise ValueError("components are so large that inner products pass 64 bits")
     levels = [w for w in SEGMENTS if w < q.shape[1]]
     qs, cs = [segment_features(qf, w) for w in levels], [segment_features(cf, w) for w in levels]
     slack = 1e-9 * np.sqrt(np.einsum("ij,ij->i", qf, qf)) * (np.sqrt(np.einsum("ij,ij->i", cf, cf)).max() if len(c) else 0) + 1e-6
-    dense = len(c) and float(np.abs(qf).max(initial=0)) * float(np.abs(cf).max(initial=0)) * q.shape[1] < 2.0 ** 53
-    for lo in range(0, len(c), TILE):
-        at = slice(lo, lo + TILE)
-        for qlo in range(0, len(q), 256):
-            qat = slice(qlo, qlo + 256)
-            floor = (best.limit - slack)[qat][:, None]
+    parts = [(np.zeros(0, np.int64),) * 3]
+    for qlo in range(0, len(q), QUERY_BLOCK):
+        qat = slice(qlo, qlo + QUERY_BLOCK)
+        best = BestSoFar(len(q[qat]), k)
+        for lo in range(0, len(c), TILE):
+            at = slice(lo, lo + TILE)
+            floor = (best.limit - slack[qat])[:, None]
             own = q_ids[qat][:, None] != c_ids[at][None, :]
             for coarse, fine in zip(qs, cs, strict=True):
                 cols = np.flatnonzero(own.any(axis=0))  # candidates that some query of the tile still needs
@@ -99,21 +105,21 @@ def search_cell(q_ids, q, c_ids, c, k: int) -> BestSoFar:
                     own &= coarse[qat] @ fine[at].T >= floor
                 else:
                     own[:, cols] &= coarse[qat] @ fine[at][cols].T >= floor
-            if dense and 20 * np.count_nonzero(own) > own.size:
+            if reach < 2.0 ** 53 and 20 * np.count_nonzero(own) > own.size:
                 # products of integers below 2**53 are exact in doubles
                 score = qf[qat] @ cf[at].T
-                own &= score >= best.limit[qat][:, None]
+                own &= score >= best.limit[:, None]
                 i, j = np.nonzero(own)
-                best.add(i + qlo, score[i, j].astype(np.int64), c_ids[at][j])
+                best.add(i, score[i, j].astype(np.int64), c_ids[at][j])
                 continue
             i, j = np.nonzero(own)
-            i, j = i + qlo, j + lo
             for a in range(0, len(i), 65536):
-                x, y = i[a:a + 65536], j[a:a + 65536]
-                score = np.einsum("ij,ij->i", q[x], c[y])
+                x, y = i[a:a + 65536], j[a:a + 65536] + lo
+                score = np.einsum("ij,ij->i", q[x + qlo], c[y])
                 ok = score >= best.limit[x]
                 best.add(x[ok], score[ok], c_ids[y[ok]])
-    return best
+        parts.append((best.query + qlo, best.score, best.ident))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
 def top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = 1024) -> DataFrame:
@@ -137,8 +143,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = 1024) -> DataF
         quer = quer.sort_by("vec_id")
         cand = cand.sort_by("vec_id")
         q_ids, c_ids = (t.column("vec_id").to_numpy().astype(np.int64) for t in (quer, cand))
-        best = search_cell(q_ids, _matrix(quer, dim), c_ids, _matrix(cand, dim), k)
-        return pa.table({"query_id": q_ids[best.query], "vec_id": best.ident, "score": best.score})
+        number, score, ident = search_cell(q_ids, _matrix(quer, dim), c_ids, _matrix(cand, dim), k)
+        return pa.table({"query_id": q_ids[number], "vec_id": ident, "score": score})
 
     keys = ["dim", "c", "q"]
     cells = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(cell, "query_id long, vec_id long, score long")

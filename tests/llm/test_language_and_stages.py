@@ -153,7 +153,7 @@ def test_small_blocks_change_nothing(docs_of, plain_rows, monkeypatch):
     docs = docs_of(plain_rows).repartition(2)
     key = lambda df: sorted(map(str, df.collect()))
     one = key(substrings.drop_repeats(docs)), key(suffixes.drop_repeated_bytes(docs))
-    monkeypatch.setattr(blocks, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 300)
     assert blocks.text_blocks(docs).count() > 6
     assert (key(substrings.drop_repeats(docs)), key(suffixes.drop_repeated_bytes(docs))) == one
 

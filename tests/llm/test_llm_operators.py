@@ -46,7 +46,17 @@ def test_topk(spark, monkeypatch):
     assert run(monkeypatch, topk, topk.op1_topk, {"embeddings": df.limit(0)}) == []
 
 
-def test_substrings(docs_of, plain_rows, monkeypatch):
+def test_topk_of_huge_components(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(i, [1e15, 1e15, float(i)]) for i in range(4)], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="64 bits"):
+        topk.top_k(df, F.col("vec_id") == 0).collect()
+
+
+@pytest.mark.parametrize("hot", [0, 2, 4096])
+def test_substrings(docs_of, plain_rows, monkeypatch, hot):
+    monkeypatch.setattr(substrings, "HOT_CONTEXTS", hot)
     words = [(i, SPACE.findall(t or "")) for i, t in plain_rows]
     least = {}
     for i, w in words:
@@ -65,6 +75,29 @@ def test_substrings(docs_of, plain_rows, monkeypatch):
     assert run(monkeypatch, substrings, substrings.op2_substrings, {"documents": docs_of(plain_rows).limit(0)}) == []
 
 
+def test_substring_contexts_extend_both_ways():
+    """Against all pairs of contexts, on random words over a small vocabulary."""
+    rng = np.random.default_rng(3)
+    for trial in range(30):
+        window, gram = (13, 5) if trial % 2 else (6, 2)
+        n = rng.integers(1, window - gram + 2, 40)
+        left = np.array([rng.integers(k - 1, window - gram + 1) for k in n])
+        anchor = rng.integers(0, 4, 40).astype(np.uint64)
+        words = [(rng.random(k + window - 1) < 0.1).astype(np.uint64) for k in n]
+        for w, x, a in zip(words, left, anchor, strict=True):
+            w[x:x + gram] = a + np.arange(gram, dtype=np.uint64) * np.uint64(10)  # contexts of one anchor hold its words
+        least = rng.integers(0, 6, 40)
+        got = substrings.smaller_matches(anchor, least, left, n, np.concatenate(words), window, gram)
+        want = []
+        for i in range(40):
+            for k in range(n[i]):
+                j = left[i] - k
+                own = words[i][k:k + window].tolist()
+                want.append(any(anchor[o] == anchor[i] and 0 <= left[o] - j < n[o] and least[o] < least[i]
+                                and words[o][left[o] - j:left[o] - j + window].tolist() == own for o in range(40)))
+        assert got.tolist() == want and any(want)
+
+
 def test_language(spark, small_dir, docs_of, monkeypatch):
     rows = language.op3_language(spark, small_dir).collect()
     truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{small_dir}/documents.parquet").select("doc_id", "lang").collect()}
