@@ -41,7 +41,7 @@ def all_true(*conds: Column) -> Column:
 
 def not_nan(col: str) -> Column:
     """Non-null and, for floating columns, not NaN."""
-    return F.col(col).isNotNull() & ~F.isnan(F.col(col))
+    return F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double"))
 
 
 def absolute_error(y: str, yhat: str) -> Column:

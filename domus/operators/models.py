@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from domus.functions import all_true, not_nan
 from domus.operators import packed_trees
 from domus.operators.joins import join_small
 from domus.operators.matrices import independent_columns, triangular_factor
@@ -164,10 +165,7 @@ def simple_regression(df: DataFrame, x: str, y: str, grid: int = 100) -> DataFra
 # M4–M6 ----------------------------------------------------------------------
 def complete(xs: list[str]):
     """Condition: every column has a value (neither NULL nor NaN)."""
-    ok = F.lit(True)
-    for c in xs:
-        ok = ok & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
-    return ok
+    return all_true(*[not_nan(c) for c in xs])
 
 
 def assemble(df: DataFrame, xs: list[str], out: str = "features") -> DataFrame:

@@ -502,7 +502,22 @@ def a11_strong_pairs(spark, d):
     return rounded(A.strong_pairs(A.correlation_pairs(base(spark, d), CORR_COLS), 0.3), 6)
 
 
-@register("a11_prune_correlated")
+def _prune_sql() -> str:
+    """Greedy keep-first, one step per column: kept unless strongly correlated with a kept one."""
+    n = range(len(CORR_COLS))
+    pair = lambda i, j: f"max(CASE WHEN a = '{CORR_COLS[j]}' AND b = '{CORR_COLS[i]}' AND abs(r) > 0.3E0 THEN 1 ELSE 0 END) AS s_{i}_{j}"
+    ctes = [f"prs AS ({CORR_SQL})", "k AS (SELECT " + ", ".join(pair(i, j) for i in n for j in range(i)) + " FROM prs)"]
+    last = "k"
+    for i in n:
+        lost = " + ".join([f"s_{i}_{j} * kept_{j}" for j in range(i)] or ["0"])
+        ctes.append(f"k{i} AS (SELECT *, CASE WHEN {lost} > 0 THEN 0 ELSE 1 END AS kept_{i} FROM {last})")
+        last = f"k{i}"
+    place = lambda i: " + ".join([f"kept_{j}" for j in range(i)] or ["0"])
+    rows = " UNION ALL ".join(f"SELECT CAST({place(i)} AS INT) AS position, '{CORR_COLS[i]}' AS feature FROM {last} WHERE kept_{i} = 1" for i in n)
+    return "WITH " + ",\n".join(ctes) + "\n" + rows
+
+
+@register("a11_prune_correlated", oracle(_prune_sql(), ["tx", BASE_CTE]))
 def a11_prune_correlated(spark, d):
     """Greedy keep-first pruning over the pair table (schema-sized)."""
     kept = A.prune_correlated(A.correlation_pairs(base(spark, d), CORR_COLS), CORR_COLS, 0.3)

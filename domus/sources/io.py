@@ -8,30 +8,33 @@ from pyspark.sql.types import DoubleType, FloatType, StructType
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
-               columns: list[str] | None = None) -> DataFrame:
-    """S1 — read Parquet.  ``columns`` narrows the ReadSchema at the scan."""
+               columns: list[str] | None = None, nan_as_null: bool = True) -> DataFrame:
+    """S1 — read Parquet.  ``columns`` narrows the ReadSchema at the scan.  NaN
+    becomes NULL unless ``nan_as_null`` is off (filters on float columns are
+    then pushed to the scan)."""
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.parquet(path)
     if columns:
         df = df.select(*columns)
-    return df
+    return nan_to_null(df) if nan_as_null else df
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType,
-             date_format: str = "yyyy-MM-dd", sep: str = ",") -> DataFrame:
-    """S2 — CSV with a header row and a declared schema.
+             date_format: str = "yyyy-MM-dd", sep: str = ",", nan_as_null: bool = True) -> DataFrame:
+    """S2 — CSV with a header row and a declared schema; NaN becomes NULL.
 
     The schema is mandatory: inference costs a full extra pass over the files
     and can change types between runs.
     """
-    return (spark.read.schema(schema)
-            .option("header", "true")
-            .option("dateFormat", date_format)
-            .option("sep", sep)
-            .option("mode", "FAILFAST")
-            .csv(path))
+    df = (spark.read.schema(schema)
+          .option("header", "true")
+          .option("dateFormat", date_format)
+          .option("sep", sep)
+          .option("mode", "FAILFAST")
+          .csv(path))
+    return nan_to_null(df) if nan_as_null else df
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
