@@ -17,6 +17,7 @@ from pyspark.sql.types import DoubleType
 
 from domus.operators.aggregates import correlation_pairs
 from domus.operators.ordering import prefix_sums
+from domus.session import cut_lineage
 
 KS_TERMS = 30
 NUM_SIZE_SWITCH = 1000   # above: Wasserstein, else KS (numeric); JS vs chi-square (categorical)
@@ -67,14 +68,17 @@ def numeric_drift(ref: DataFrame, cur: DataFrame, cols: list[str], method: str =
     the reference has more than 1000 rows).  Where a side has no value the
     statistics, the p-value and the flag are NULL: nothing can be said."""
     long = _long(ref, cur, cols, "double")
-    counts = long.groupBy("column", "value").agg(
+    counts = cut_lineage(long.groupBy("column", "value").agg(  # distinct values; everything below reads these
         F.sum(F.when(F.col("side") == "ref", 1).otherwise(0)).alias("n_ref"),
-        F.sum(F.when(F.col("side") == "cur", 1).otherwise(0)).alias("n_cur"))
-    tot = long.groupBy("column").agg(
-        F.sum(F.when(F.col("side") == "ref", 1).otherwise(0)).alias("tot_ref"),
-        F.sum(F.when(F.col("side") == "cur", 1).otherwise(0)).alias("tot_cur"),
-        F.stddev_pop(F.when(F.col("side") == "ref", F.col("value"))).alias("ref_std"))
-    cum = prefix_sums(counts, "value", ["n_ref", "n_cur"], group_cols=["column"], with_next=True)
+        F.sum(F.when(F.col("side") == "cur", 1).otherwise(0)).alias("n_cur")))
+    tot = counts.groupBy("column").agg(
+        F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"),
+        F.try_divide(F.sum(F.col("n_ref") * F.col("value")), F.sum("n_ref")).alias("ref_mean"))
+    off = F.col("value") - F.col("ref_mean")
+    std = counts.join(F.broadcast(tot), "column").groupBy("column").agg(  # one row per column
+        F.sqrt(F.try_divide(F.sum(F.col("n_ref") * off * off), F.sum("n_ref"))).alias("ref_std"))
+    tot = tot.drop("ref_mean").join(F.broadcast(std), "column")
+    cum = prefix_sums(counts, "value", ["n_ref", "n_cur"], group_cols=["column"], with_next=True, ready=True)
     cum = cum.join(F.broadcast(tot), "column")  # one row per column
     # NULL statistics where a side has no value
     gap = F.abs(F.try_divide("cum_n_ref", "tot_ref") - F.try_divide("cum_n_cur", "tot_cur"))

@@ -17,6 +17,7 @@ from domus.operators.aggregates import _null_safe_join, describe_columns
 from domus.operators.encoding import reverse_one_hot
 from domus.operators.joins import small_side
 from domus.operators.ordering import prefix_sums
+from domus.session import cut_lineage
 
 
 # U1 -------------------------------------------------------------------------
@@ -269,8 +270,8 @@ def _score_counts(df: DataFrame, y: str, score: str) -> DataFrame:
 
 
 def _curve_base(df: DataFrame, y: str, score: str) -> DataFrame:
-    counts = _score_counts(df, y, score)
-    cum = prefix_sums(counts, "threshold", ["pos", "neg"], descending=True)
+    counts = cut_lineage(_score_counts(df, y, score))  # distinct scores, read twice
+    cum = prefix_sums(counts, "threshold", ["pos", "neg"], descending=True, ready=True)
     tot = counts.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return cum.crossJoin(F.broadcast(tot))  # one row
 

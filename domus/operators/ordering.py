@@ -29,6 +29,7 @@ from domus.session import cut_lineage
 
 DEFAULT_BUCKETS = 128
 ROWS_PER_BUCKET = 250_000  # rows numbered in one task
+PREFIX_ROWS = 1_000_000    # rows of a running sum in one task (DEFAULT_BUCKETS tasks at most)
 MAX_CUTS = 512             # cut points written into an expression
 STRING_PIECES = 6          # pieces of a string that buckets look at
 SKETCH_STEPS = 1024        # first bracket: this share of the rows on either side of a rank
@@ -73,10 +74,12 @@ def _join_groups(df: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
 
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: list[str], descending: bool = False,
                 tie_cols: list[str] | None = None, prefix: str = "cum_",
-                buckets: int = DEFAULT_BUCKETS, exclusive: bool = False,
-                group_cols: list[str] | None = None, with_next: bool = False) -> DataFrame:
+                buckets: int | None = None, exclusive: bool = False,
+                group_cols: list[str] | None = None, with_next: bool = False, ready: bool = False) -> DataFrame:
     """Add ``cum_<c>`` = running sum of ``c`` in ``order_col`` order (inclusive
     of the current row unless ``exclusive``), per ``group_cols`` if given.
+    The table is materialised once (``ready``: it already is); the number of
+    buckets follows its size unless given.
     ``order_col`` + ``tie_cols`` should be unique per row within a group
     (typically a table of distinct values).  ``with_next`` also adds
     ``next_<order_col>``, the following value in the order (NULL at the end).
@@ -85,8 +88,14 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: list[str], descending:
     ocol = F.col(order_col).desc() if descending else F.col(order_col).asc()
     orders = [ocol] + [F.col(t) for t in (tie_cols or [])]
     upper = -1 if exclusive else 0
-    cuts = cut_points(df, order_col, buckets, group_cols=g)
-    bdf = assign_bucket(df, order_col, cuts, descending=descending, buckets=buckets, group_cols=g)
+    df = df if ready else cut_lineage(df)
+    if buckets is None:
+        buckets = max(1, min(DEFAULT_BUCKETS, -(-df.count() // PREFIX_ROWS)))
+    if buckets > 1:
+        cuts = cut_points(df, order_col, buckets, group_cols=g)
+        bdf = assign_bucket(df, order_col, cuts, descending=descending, buckets=buckets, group_cols=g)
+    else:
+        bdf = df.withColumn("_bucket", F.lit(0))  # one bucket, nothing before it
     aggs = [F.sum(c).alias(f"_t_{c}") for c in sum_cols]
     if with_next:
         first = F.max(order_col) if descending else F.min(order_col)
@@ -102,7 +111,11 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: list[str], descending:
     offsets = totals.select(*g, "_bucket", *cols)
     inside = Window.partitionBy(*g, "_bucket").orderBy(*orders)
     within = inside.rowsBetween(Window.unboundedPreceding, upper)
-    out = _join_groups(bdf, offsets, [*g, "_bucket"])
+    if buckets > 1:
+        out = _join_groups(bdf, offsets, [*g, "_bucket"])
+    else:
+        first_next = {"_next_bucket_first": F.lit(None).cast(df.schema[order_col].dataType)} if with_next else {}
+        out = bdf.withColumns({f"_o_{c}": F.lit(0) for c in sum_cols} | first_next)
     out = out.withColumns({
         f"{prefix}{c}": F.col(f"_o_{c}") + F.coalesce(F.sum(c).over(within), F.lit(0))
         for c in sum_cols
