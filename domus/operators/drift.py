@@ -207,27 +207,31 @@ def is_class(df: DataFrame, col: str) -> bool:
 
 def target_drift(ref: DataFrame, cur: DataFrame, target: str, prediction: str | None, features: list[str],
                  classes: list[str] | None = None, method: str = "auto",
-                 class_method: str = "auto") -> tuple[DataFrame, DataFrame]:
+                 class_method: str = "auto", details: bool = False) -> tuple[DataFrame, DataFrame]:
     """(drift of target and prediction, feature–target correlations per side).
 
     Columns named in ``classes`` (default: strings and booleans) are compared by
     category shares (:func:`categorical_drift`), the others as numbers; both
     give one row (column, kind, n_ref, n_cur, statistic, method, drifted).
+    ``details`` adds the other columns of the two comparisons (both statistics,
+    p-values), NULL where a row's comparison has none.
     Correlations use a number target as it is, a class target once per class as
     0/1 (``target_class`` names it, NULL for a number)."""
     cols = [target] + ([prediction] if prediction else [])
     classes = [c for c in cols if is_class(ref, c)] if classes is None else classes
     numbers = [c for c in cols if c not in classes]
     parts = []
+    short = ["column", "kind", "n_ref", "n_cur", "statistic", "method", "drifted"]
     if numbers:
         d = numeric_drift(ref, cur, numbers, method)
         stat = F.when(F.col("method") == "ks", F.col("ks_statistic")).otherwise(F.col("wasserstein_norm"))
-        parts.append(d.select("column", F.lit("number").alias("kind"), "n_ref", "n_cur", stat.alias("statistic"), "method", "drifted"))
+        parts.append(d.withColumns({"kind": F.lit("number"), "statistic": stat}))
     if [c for c in cols if c in classes]:
-        d = categorical_drift(ref, cur, [c for c in cols if c in classes], class_method, with_p_value=False)
+        d = categorical_drift(ref, cur, [c for c in cols if c in classes], class_method, with_p_value=details)
         stat = F.when(F.col("method") == "chisquare", F.col("chi2_statistic")).otherwise(F.col("js_distance"))
-        parts.append(d.select("column", F.lit("class").alias("kind"), "n_ref", "n_cur", stat.alias("statistic"), "method", "drifted"))
-    drift = reduce(DataFrame.unionByName, parts)
+        parts.append(d.withColumns({"kind": F.lit("class"), "statistic": stat}))
+    drift = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    drift = drift if details else drift.select(*short)
     corr = []
     for side, df in (("ref", ref), ("cur", cur)):
         if target in classes:

@@ -516,11 +516,12 @@ def d4_target_correlations(spark, d):
 
 
 @register("d4_target_drift", oracle(
-    """SELECT "column", 'number' AS kind, n_ref, n_cur, CASE WHEN method = 'ks' THEN ks_statistic ELSE wasserstein_norm END AS statistic,
-              method, drifted FROM numdrift WHERE "column" = 'price'""", ["tx", BASE_CTE, NUM_DRIFT_SQL], ["statistic"], 6))
+    """SELECT *, 'number' AS kind, CASE WHEN method = 'ks' THEN ks_statistic ELSE wasserstein_norm END AS statistic
+       FROM numdrift WHERE "column" = 'price'""", ["tx", BASE_CTE, NUM_DRIFT_SQL],
+    ["ks_statistic", "ks_p_value", "wasserstein_norm", "statistic"], 6))
 def d4_target_drift(spark, d):
     ref, cur = _periods(spark, d)
-    drift, _ = D.target_drift(ref, cur, "price", None, ["living_area"])
+    drift, _ = D.target_drift(ref, cur, "price", None, ["living_area"], details=True)
     return rounded(drift, 6)
 
 
