@@ -23,3 +23,55 @@ def test_models_read_written_rows_not_the_joins(spark, small_dir):
         want = want.select(*got.columns)
         assert got.count() == want.count() > 0
         assert got.exceptAll(want).count() == 0
+
+
+def _sizes(df):
+    return df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+
+
+def _uneven(spark, n):
+    """All rows in one of four partitions."""
+    data = spark.range(0, n, 1, 4).select((F.col("id") * 7 % n).cast("double").alias("x"), (F.col("id") % 5).cast("double").alias("z"),
+                                          (F.col("id") % 2).cast("int").alias("y"))
+    return data.repartition(4, F.lit(1))
+
+
+def test_partitions_of_a_tree_fit():
+    least, most = M.TREE_ROWS_LEAST, M.TREE_ROWS_MOST
+    assert [M.tree_partitions(n, 8) for n in (0, least - 1, 3 * least, 8 * least, 8 * most)] == [0, 0, 3, 8, 8]
+    assert M.tree_partitions(8 * most + 1, 8) == 16
+    assert M.tree_partitions(10**9, 8) == 8 * M.FIT_PARTITIONS
+
+
+def test_tree_fits_read_evenly_dealt_rows(spark, monkeypatch):
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.regression import RandomForestRegressor
+
+    monkeypatch.setattr(M, "TREE_ROWS_LEAST", 10)
+    cores, seen = spark.sparkContext.defaultParallelism, []
+    for cls in (RandomForestRegressor, GBTClassifier):
+        monkeypatch.setattr(cls, "fit", lambda self, rows, params=None: seen.append(_sizes(rows)))
+    df = _uneven(spark, 1000 * cores)
+    assert max(_sizes(df)) == 1000 * cores
+    M.forest(df, "y", ["x", "z"], trees=2, max_depth=3)
+    M.boosting(df, "y", ["x", "z"], iters=1, depth=2)
+    for sizes in seen:
+        assert len(sizes) == cores and sum(sizes) == 1000 * cores
+        assert max(sizes) < 1100
+    assert len(seen) == 2
+
+
+def test_few_rows_of_a_tree_fit_stay_as_they_lie(spark):
+    df = _uneven(spark, 400)
+    assert _sizes(M.tree_rows(df, "y", ["x", "z"])) == _sizes(M.fit_rows(df, "y", ["x", "z"]))
+
+
+def test_forest_settings_leave_the_trees_as_they_are(spark):
+    from pyspark.ml.regression import RandomForestRegressor
+
+    df = _uneven(spark, 3000)
+    got = M.forest(df, "x", ["z", "y"], trees=5, max_depth=6)
+    plain = RandomForestRegressor(featuresCol="features", labelCol="x", numTrees=5, maxDepth=6, maxBins=64, seed=42,
+                                  featureSubsetStrategy="all").fit(M.fit_rows(df, "x", ["z", "y"]))
+    assert got.getCacheNodeIds() and not plain.getCacheNodeIds()
+    assert got.toDebugString.split("\n")[1:] == plain.toDebugString.split("\n")[1:]
