@@ -142,3 +142,21 @@ def test_permutation_importance_joins_once_per_repeat(spark, data, fitted):
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in text.splitlines() if "Join Inner" in line and "_to" in line]
     assert len(joins) == 3
+
+
+def test_steps_reach_the_leaves_of_a_plain_walk():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3, 500))
+    x[1, ::7] = np.nan
+    left, right = np.array([1, 1, 3, 3, 4]), np.array([2, 1, 4, 3, 4])  # a leaf is its own child
+    feature, threshold, value = np.array([1, 0, 2, 0, 0]), np.array([0.0, np.inf, 0.3, np.inf, np.inf]), rng.normal(size=5)
+    tree = (0, np.stack([right, left], axis=1).ravel(), feature, threshold, value, 2)
+
+    def plain(row):
+        node = 0
+        for _ in range(2):
+            node = left[node] if row[feature[node]] <= threshold[node] else right[node]
+        return node
+
+    assert T._leaves(x, tree).tolist() == [plain(row) for row in x.T]
+    assert T._leaves(x[:, :0], tree).tolist() == []
