@@ -160,3 +160,35 @@ def test_steps_reach_the_leaves_of_a_plain_walk():
 
     assert T._leaves(x, tree).tolist() == [plain(row) for row in x.T]
     assert T._leaves(x[:, :0], tree).tolist() == []
+
+
+def test_packed_scores_of_a_batch_and_of_permuted_rows_equal_the_models(spark, data, fitted):
+    reg, cls = fitted["forest_regression"], fitted["gbt_classification"]
+    packed = T.pack({"model": reg})
+    want, got = ({r["id"]: r for r in M.score_batch(data, XS, reg, XS, cls, **more).collect()} for more in ({}, {"packed": packed}))
+    assert set(want) == set(got) and want[1000]["predicted_price"] is None and want[1001]["predicted_price"] is None
+    for i, r in want.items():
+        price = r["predicted_price"]
+        assert got[i]["predicted_price"] == (price if price is None else pytest.approx(price, rel=1e-12))
+        assert got[i]["probability_below_market"] == r["probability_below_market"] and got[i]["predicted_class"] == r["predicted_class"]
+    rows = data.where(M.complete(XS))
+    plain, quick = ({r["feature"]: r for r in X.permutation_importance(reg, rows, XS, "y", "id", repeats=2, **more).collect()}
+                    for more in ({}, {"packed": packed}))
+    for f in XS:
+        assert quick[f]["importance_mean"] == pytest.approx(plain[f]["importance_mean"], rel=1e-9)
+        assert quick[f]["importance_std"] == pytest.approx(plain[f]["importance_std"], rel=1e-9)
+
+
+def test_queries_score_many_rows_by_packed_trees(spark, small_dir, monkeypatch):
+    from pyspark.ml.regression import RandomForestRegressionModel
+
+    from domus.plans import catalog_models as C
+
+    def refuse(self, *_):
+        raise AssertionError("MLlib's own walk")
+
+    monkeypatch.setattr(RandomForestRegressionModel, "transform", refuse)
+    n = C._labelled(spark, small_dir).count()
+    assert C.m10_score_batch(spark, small_dir).where("predicted_price IS NOT NULL").count() == n > 0
+    assert C.x4_permutation_importance(spark, small_dir).count() == len(C.REG_FEATURES)
+    assert C.x3_compare_models(spark, small_dir).count() == 4
