@@ -75,3 +75,20 @@ def test_forest_settings_leave_the_trees_as_they_are(spark):
                                   featureSubsetStrategy="all").fit(M.fit_rows(df, "x", ["z", "y"]))
     assert got.getCacheNodeIds() and not plain.getCacheNodeIds()
     assert got.toDebugString.split("\n")[1:] == plain.toDebugString.split("\n")[1:]
+
+
+def test_a_level_of_a_forest_is_one_pass_over_the_rows(spark):
+    sc, xs = spark.sparkContext, ["a", "b", "c", "d", "e"]
+    df = spark.range(0, 6000, 1, 2).select(*[(F.xxhash64("id", F.lit(x)) % 1000).cast("double").alias(x) for x in [*xs, "y"]]).persist()
+    df.count()
+
+    def jobs(depth):
+        sc.setJobGroup(group := f"forest of depth {depth}", "")
+        M.forest(df, "y", xs, trees=20, max_depth=depth)
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        return len(sc.statusTracker().getJobIdsForGroup(group))
+
+    try:
+        assert jobs(10) - jobs(4) == 6
+    finally:
+        df.unpersist()
