@@ -14,10 +14,10 @@ here: unrelated documents all lie at distance 1 from every pivot.)  Sizes of
 linked sets differ by the factor t at most, so parts are made per size band
 and a document also takes part in the next larger band.
 
-Before texts move, every region of up to ``REGION_DOCS`` documents sees their
-sizes and sketches (counts by cells of the n-gram space, whose L1 distance
-bounds the symmetric difference from below) and drops documents that can have
-no link there; larger regions are counted first and go on whole.  A region is then
+Before texts move, every region sees the sizes and sketches of its documents
+(counts by cells of the n-gram space, whose L1 distance bounds the symmetric
+difference from below) and drops documents that can have no link there; a region
+of more than ``REGION_DOCS`` documents does so by size bands, chunk against chunk.  A region is then
 joined exactly and recursively: the distances to its pivot link
 what lies within the radius; every document outside the largest component is a
 pivot in turn, and is compared with the documents whose distance to the first
@@ -269,6 +269,25 @@ def survivors(sizes: np.ndarray, sketches: list, percent: int) -> np.ndarray:
     return keep
 
 
+def survivors_across(sizes: np.ndarray, sketches: list, side: np.ndarray, percent: int) -> np.ndarray:
+    """Which documents may have a link with one of the other side."""
+    order = np.lexsort((sizes, side))
+    n, s = sizes[order], sketch_matrix([sketches[i] for i in order.tolist()])
+    m = int((side == 0).sum())
+    lo = m + np.searchsorted(n[m:], -(-n[:m] * percent // 100), side="left")
+    hi = m + np.searchsorted(n[m:], n[:m] * 100 // percent, side="right")
+    out = np.zeros(len(n), bool)
+    for k, (a, b) in enumerate(zip(lo.tolist(), hi.tolist(), strict=True)):
+        if a < b:
+            ok = may_link(s, n, k, slice(a, b), percent)
+            if ok.any():
+                out[k] = True
+                out[a:b] |= ok
+    keep = np.empty(len(n), bool)
+    keep[order] = out
+    return keep
+
+
 class Region:
     """The sets of a region's documents over one numbering of their n-grams."""
 
@@ -385,21 +404,65 @@ def large_regions(near: DataFrame) -> DataFrame:
 
 def by_size(near: DataFrame, large: DataFrame) -> tuple:
     """The rows of the regions whose sketches one task compares, and those of
-    ``large``, which go on whole (None without any)."""
+    ``large``, compared in cells (None without any)."""
     if large.isEmpty():
         return near, None
     return near.join(large, "region", "left_anti"), near.join(large, "region", "left_semi")
 
 
+_WANTED = "block string, region long, row long, id long, x long, y long"
+
+
+def possible_in_cells(many: DataFrame, bands: Bands, percent: int) -> DataFrame:
+    """The documents of regions of any size that may have a link there.  Linked
+    sets lie in the same size band or in neighbours, so every chunk of a band's
+    documents meets the chunks of its own band and of the next one."""
+    starts = F.array(*[F.lit(int(x)).cast("long") for x in bands.starts])
+    rows = many.withColumn("band", F.size(F.filter(starts, lambda x: x <= F.col("n_shingles"))))
+    chunks = F.ceil(F.count(F.lit(1)) / F.lit(REGION_DOCS)).cast("int")
+    held = materialise(rows.groupBy("region", "band").agg(chunks.alias("n_own")), "jaccard-bands")  # one row a band of a large region
+    beside = held.join(held.select("region", (F.col("band") - 1).alias("band"), F.col("n_own").alias("n_next")), ["region", "band"], "left")
+    beside = beside.join(held.select("region", (F.col("band") + 1).alias("band"), F.col("n_own").alias("n_last")), ["region", "band"], "left")
+    rows = rows.join(beside, ["region", "band"]).withColumn("chunk", F.pmod(F.xxhash64("x"), F.col("n_own")).cast("int"))
+    c, band, none = F.col("chunk"), F.col("band"), F.array().cast("array<int>")
+
+    def upto(n):
+        return F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(none)
+
+    def cell(lower, across, u, v, side):
+        return F.struct(lower.alias("lower"), F.lit(across).alias("across"), u.alias("u"), v.alias("v"), side.cast("int").alias("side"))
+
+    cells = F.concat(F.transform(upto("n_own"), lambda v: cell(band, 0, F.least(c, v), F.greatest(c, v), c > v)),
+                     F.transform(upto("n_next"), lambda v: cell(band, 1, c, v, F.lit(0))),
+                     F.transform(upto("n_last"), lambda v: cell(band - 1, 1, v, c, F.lit(1))))
+    rows = rows.select("block", "region", "row", *_NODE, "n_shingles", "sketch", F.inline(cells))
+
+    def possible(t):
+        t = t.sort_by([(x, "ascending") for x in _NODE])
+        size, side = t.column("n_shingles").to_numpy(), t.column("side").to_numpy()
+        sketches = [np.frombuffer(x, np.uint8) for x in t.column("sketch").to_pylist()]
+        within = not t.column("across")[0].as_py() and t.column("u")[0].as_py() == t.column("v")[0].as_py()
+        keep = survivors(size, sketches, percent) if within else survivors_across(size, sketches, side, percent)
+        return t.select(["block", "region", "row", *_NODE]).filter(pa.array(keep))
+
+    return rows.groupBy("region", "lower", "across", "u", "v").applyInArrow(possible, _WANTED).distinct()
+
+
+def chunked_regions(wanted: DataFrame) -> DataFrame:
+    """(region, count, pivot) of the regions that are joined in chunks."""
+    each = wanted.groupBy("region").agg(F.count(F.lit(1)).alias("count"), F.min(F.struct(*_NODE)).alias("pivot_node"))
+    return each.filter(F.col("count") > REGION_DOCS)
+
+
 def large_region_edges(rows: DataFrame, unpack, percent: int) -> DataFrame:
     """Regions of any size in chunks: distances to the pivot first, chunk by
     chunk; what the pivot links is one component.  Then every chunk of the other
     documents meets every chunk of the region."""
     chunk = F.pmod(F.xxhash64("x"), F.ceil(F.col("count") / F.lit(REGION_DOCS)).cast("long")).cast("int")
     rows = rows.withColumn("n_chunks", F.ceil(F.col("count") / F.lit(REGION_DOCS)).cast("int"))
-    # the pivot (its region's name is the first half of its fingerprint) goes to every chunk
+    # the pivot goes to every chunk
     own = rows.withColumn("chunk", chunk).select("region", "chunk", "n_chunks", *_NODE, "payload", F.lit(False).alias("pivot"))
-    pivot = rows.filter("x = region").select("region", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("chunk"), "n_chunks",
+    pivot = rows.filter(F.struct(*_NODE) == F.col("pivot_node")).select("region", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("chunk"), "n_chunks",
                                                *_NODE, "payload", F.lit(True).alias("pivot"))
 
     def measure(t):
@@ -410,15 +473,15 @@ def large_region_edges(rows: DataFrame, unpack, percent: int) -> DataFrame:
         near = linked(common, r.sizes, r.sizes[0], percent)
         keep = pa.array(~t.column("pivot").to_numpy())
         far = 1 - common / (r.sizes + r.sizes[0] - common)
-        for c in ("id", "y"):
+        for c in _NODE:
             t = t.append_column("pivot_" + c, pa.array(np.full(len(t), t.column(c)[0].as_py()), pa.int64()))
         return t.append_column("near", pa.array(near)).append_column("distance", pa.array(far)).filter(keep)
 
     fields = "region long, chunk int, n_chunks int, id long, x long, y long, payload binary, pivot boolean, " \
-             "pivot_id long, pivot_y long, near boolean, distance double"
+             "pivot_id long, pivot_x long, pivot_y long, near boolean, distance double"
     measured = materialise(own.unionByName(pivot).groupBy("region", "chunk").applyInArrow(measure, fields), "jaccard-measured")
-    star = measured.filter("near and x != region").select(*(F.col(c).alias("a_" + c) for c in _NODE), F.col("pivot_id").alias("b_id"),
-                                                         F.col("region").alias("b_x"), F.col("pivot_y").alias("b_y"))
+    star = measured.filter("near and not (id = pivot_id and x = pivot_x and y = pivot_y)").select(
+        *(F.col(c).alias("a_" + c) for c in _NODE), *(F.col("pivot_" + c).alias("b_" + c) for c in _NODE))
     # documents outside the radius, against the whole region
     out = measured.filter("not near").select("region", "chunk", *_NODE, "payload", "n_chunks", "distance")
     left = out.select("region", F.col("chunk").alias("u"), F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("v"), *_NODE, "payload",
@@ -518,9 +581,10 @@ def _components_of(docs: DataFrame, gram: int, percent: int, keys: bool = False)
         F.pmod(F.xxhash64("region"), F.lit(buckets)).cast("int").alias("bucket"), "block", "region", "row", *_NODE, "n_shingles", "sketch")
     large = materialise(large_regions(near), "jaccard-large-regions")
     few, many = by_size(near, large)
-    wanted = few.groupBy("bucket").applyInArrow(possible, "block string, region long, row long, id long, x long, y long")
+    wanted = few.groupBy("bucket").applyInArrow(possible, _WANTED)
     if many is not None:
-        wanted = wanted.unionByName(many.select("block", "region", "row", *_NODE))
+        wanted = materialise(wanted.unionByName(possible_in_cells(many, bands, percent)), "jaccard-wanted")
+        large = materialise(chunked_regions(wanted), "jaccard-chunked-regions")
     regions = texts.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(
         send_texts, "region long, id long, x long, y long, payload binary")
     node = lambda v: F.struct(*(F.col(v + c).alias(c) for c in _NODE))

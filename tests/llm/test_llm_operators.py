@@ -461,6 +461,35 @@ def test_jaccard_large_regions_meet_no_single_task(spark, monkeypatch):
     assert count(few) == {-3: 4} and many is None
 
 
+def test_jaccard_large_regions_send_only_texts_that_may_link(spark, docs_of, monkeypatch):
+    """Documents that share a passage and are no near copies meet in one region; their texts stay where they are."""
+    import random
+
+    rng = random.Random(8)
+    shared = "a common line that all pages have at their foot"
+    rows = [(k, " ".join("u%d" % rng.randrange(10**6) for _ in range(40 + k % 9)) + " " + shared) for k in range(60)]
+    rows += [(100 + k, rows[7][1] + " extra" * (k + 1)) for k in range(2)]
+    monkeypatch.setattr(jaccard, "REGION_DOCS", 5)
+    sent, wanted = jaccard.chunked_regions, []
+    monkeypatch.setattr(jaccard, "chunked_regions", lambda w: wanted.append(w) or sent(w))
+    kept = sorted(r["doc_id"] for r in jaccard.keep_one(docs_of(rows)).collect())
+    assert kept == sorted(i for i, _, c in brute_components(rows, 5, 80) if i == c) == list(range(60))
+    assert len(wanted) == 1 and {r["id"] for r in wanted[0].select("id").collect()} == {7, 100, 101}
+
+
+def test_jaccard_sketches_across_sides_keep_what_one_task_keeps():
+    rng = np.random.default_rng(2)
+    base = [rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2) for n in (30, 34, 41, 60, 80)]
+    sets = [np.unique(np.concatenate([x[k:], rng.integers(0, 1 << 63, k).astype(np.uint64)])) for x in base for k in range(12)]
+    sizes, sketches = np.array([len(x) for x in sets]), [jaccard.sketch(x) for x in sets]
+    side = rng.integers(0, 2, len(sets))
+    s = jaccard.sketch_matrix(sketches)
+    want = [any(100 * min(sizes[i], sizes[j]) >= 80 * max(sizes[i], sizes[j]) and jaccard.may_link(s, sizes, i, np.array([j]), 80)[0]
+                for j in range(len(sets)) if side[j] != side[i]) for i in range(len(sets))]
+    assert jaccard.survivors_across(sizes, sketches, side, 80).tolist() == want and 0 < sum(want) < len(want)
+    assert not jaccard.survivors_across(sizes, sketches, np.zeros(len(sets), int), 80).any()
+
+
 def test_decontaminate(spark, docs_of, plain_rows, monkeypatch):
     items = [(1, plain_rows[3][1][:120]), (2, "w1 W2"), (3, None), (4, "!!"), (5, plain_rows[5][1]), (5, plain_rows[5][1]), (12, "x")]
     pats = {}
