@@ -192,3 +192,24 @@ def test_queries_score_many_rows_by_packed_trees(spark, small_dir, monkeypatch):
     assert C.m10_score_batch(spark, small_dir).where("predicted_price IS NOT NULL").count() == n > 0
     assert C.x4_permutation_importance(spark, small_dir).count() == len(C.REG_FEATURES)
     assert C.x3_compare_models(spark, small_dir).count() == 4
+
+
+def test_ranked_thresholds_lead_to_the_same_leaves():
+    rng = np.random.default_rng(4)
+    x = np.round(rng.normal(size=(3, 400)), 1)
+    x[1, ::7] = np.nan
+    inf = np.inf
+    trees = [(0, np.stack([np.array([2, 1, 4, 3, 4]), np.array([1, 1, 3, 3, 4])], axis=1).ravel(), np.array([f, 0, 2, 0, 0]), np.array([c, inf, 0.3, inf, inf]),
+              rng.normal(size=5), 2) for f, c in ((1, 0.0), (0, -0.4), (1, 0.5), (2, 0.3))]
+    edges, ranked = T._ranked(trees)
+    assert [e.tolist() for e in edges] == [[-0.4], [0.0, 0.5], [0.3]] and all(t[3].dtype == np.uint8 for t in ranked)
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(v) for v in x], names=["a", "b", "c"])
+    coded = T._features(batch, ["a", "b", "c"], edges)
+    for plain, own in zip(trees, ranked):
+        assert T._leaves(T._features(batch, ["a", "b", "c"]), plain).tolist() == T._leaves(coded, own).tolist()
+    leaf = (0, np.zeros(2, np.intp), np.zeros(1, np.intp), np.array([inf]), np.ones(1), 0)
+    assert T._ranked([leaf])[0] == [] and T._leaves(T._features(batch, ["a"], []), T._ranked([leaf])[1][0]).tolist() == [0] * 400
+    many = [(0, np.zeros(2, np.intp), np.zeros(1, np.intp), np.array([float(k)]), np.ones(1), 0) for k in range(256)]
+    assert T._ranked(many) == (None, many) and T._ranked(many[:255])[0] is not None
